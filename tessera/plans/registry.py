@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import batches as B
+from tessera.operators import bleu as BL
 from tessera.operators import split as S
 from tessera.operators import vocab as V
 from tessera.plans import sqlparts as Q
@@ -157,6 +158,36 @@ def q_batch_max_length(spark, sf):
     return B.batch_max_length(b, "x").withColumn("max_len", (F.col("max_len") + 1).cast("bigint"))
 
 
+def _turn_corpus(spark, sf):
+    """Hypothesis = turn 0 of each conversation, references = its later turns."""
+    c = _captions(spark, sf)
+    hyp = c.filter(F.col("caption_no") == 0).select("key", T.tokenize("caption").alias("tokens"))
+    refs = c.filter(F.col("caption_no") > 0).select(
+        "key", F.col("caption_no").alias("ref_no"), T.tokenize("caption").alias("tokens"))
+    return hyp, refs
+
+
+def q_bleu_statistics(spark, sf):
+    return BL.bleu_statistics(*_turn_corpus(spark, sf))
+
+
+def q_corpus_bleu(spark, sf):
+    return BL.corpus_bleu(*_turn_corpus(spark, sf)).select("metric", F.round("score", 6).alias("score"))
+
+
+def q_sentence_bleu(spark, sf):
+    return BL.sentence_bleu(*_turn_corpus(spark, sf)).select(
+        "key", "metric", F.round("score", 6).alias("score"))
+
+
+def q_closest_reference_length(spark, sf):
+    return BL.closest_reference_length(*_turn_corpus(spark, sf))
+
+
+def q_clipped_matches(spark, sf):
+    return BL.clipped_ngram_matches(*_turn_corpus(spark, sf))
+
+
 QUERIES = {
     "word_counts": q_word_counts,
     "word_counts_documents": q_word_counts_documents,
@@ -179,6 +210,11 @@ QUERIES = {
     "decode": q_decode,
     "training_batches": q_training_batches,
     "batch_max_length": q_batch_max_length,
+    "bleu_statistics": q_bleu_statistics,
+    "corpus_bleu": q_corpus_bleu,
+    "sentence_bleu": q_sentence_bleu,
+    "closest_reference_length": q_closest_reference_length,
+    "clipped_matches": q_clipped_matches,
 }
 
 
@@ -273,3 +309,16 @@ FROM shifted s JOIN feats f USING (key)""",
     "batch_max_length": f"""{_BATCH_SQL}
 SELECT batch_id, CAST(max(m) AS BIGINT) AS max_len FROM shifted GROUP BY batch_id""",
 }
+
+_BLEU_SQL = f"""WITH
+hyp0 AS (SELECT conv_id AS key, {Q.tok('text')} AS t FROM conversations WHERE turn = 0),
+refs AS (SELECT conv_id AS key, turn AS ref_no, {Q.tok('text')} AS t FROM conversations WHERE turn > 0),
+{Q.bleu_ctes()}"""
+
+ORACLE.update({
+    "bleu_statistics": f"{_BLEU_SQL} SELECT * FROM stats",
+    "corpus_bleu": f"{_BLEU_SQL} {Q.bleu_scores_select('stats')}",
+    "sentence_bleu": f"{_BLEU_SQL} {Q.bleu_scores_select('stats_by_key', by_key=True)}",
+    "closest_reference_length": f"{_BLEU_SQL} SELECT key, hyp_len, ref_len FROM cl",
+    "clipped_matches": f"{_BLEU_SQL} SELECT key, n, matches FROM mk",
+})

@@ -77,3 +77,56 @@ encoded AS (
 
 def ids_text(expr: str) -> str:
     return f"array_to_string({expr}, ' ')"
+
+
+def bleu_ctes(max_n: int = 4) -> str:
+    """CTEs over ``hyp0(key, t)`` and ``refs(key, ref_no, t)`` ending in ``stats`` (corpus)
+    and ``stats_by_key``: m1..mN, d1..dN, hyp_len, ref_len."""
+    ms = ", ".join(f"CAST(sum(CASE WHEN n = {n} THEN matches ELSE 0 END) AS BIGINT) AS m{n}, "
+                   f"CAST(sum(greatest(hyp_len - {n} + 1, 1)) FILTER (WHERE n = 1) AS BIGINT) AS d{n}"
+                   for n in range(1, max_n + 1))
+    return f"""
+hyp AS (SELECT * FROM hyp0 WHERE key IN (SELECT key FROM refs)),
+ns AS (SELECT unnest(range(1, {max_n + 1})) AS n),
+hg AS (SELECT key, n, array_to_string(t[i:i + n - 1], ' ') AS gram
+       FROM (SELECT key, n, t, unnest(range(1, len(t) - n + 2)) AS i FROM hyp CROSS JOIN ns)),
+rg AS (SELECT key, ref_no, n, array_to_string(t[i:i + n - 1], ' ') AS gram
+       FROM (SELECT key, ref_no, n, t, unnest(range(1, len(t) - n + 2)) AS i FROM refs CROSS JOIN ns)),
+hc AS (SELECT key, n, gram, count(*) AS h FROM hg GROUP BY key, n, gram),
+rc AS (SELECT key, n, gram, max(c) AS r
+       FROM (SELECT key, ref_no, n, gram, count(*) AS c FROM rg GROUP BY key, ref_no, n, gram)
+       GROUP BY key, n, gram),
+mk AS (SELECT key, n, CAST(sum(least(h, coalesce(r, 0))) AS BIGINT) AS matches
+       FROM hc LEFT JOIN rc USING (key, n, gram) GROUP BY key, n),
+hl AS (SELECT key, CAST(len(t) AS INTEGER) AS hyp_len FROM hyp),
+rl AS (SELECT DISTINCT key, CAST(len(t) AS INTEGER) AS rl FROM refs),
+cl AS (SELECT hl.key, hl.hyp_len, arg_min(rl.rl, (abs(rl.rl - hl.hyp_len), rl.rl)) AS ref_len
+       FROM hl JOIN rl USING (key) GROUP BY hl.key, hl.hyp_len),
+lk AS (SELECT cl.key, ns.n, coalesce(mk.matches, 0) AS matches, cl.hyp_len, cl.ref_len
+       FROM cl CROSS JOIN ns LEFT JOIN mk ON mk.key = cl.key AND mk.n = ns.n),
+stats_by_key AS (SELECT key, {ms},
+       CAST(sum(hyp_len) FILTER (WHERE n = 1) AS BIGINT) AS hyp_len,
+       CAST(sum(ref_len) FILTER (WHERE n = 1) AS BIGINT) AS ref_len FROM lk GROUP BY key),
+stats AS (SELECT {", ".join(f"CAST(sum(m{n}) AS BIGINT) AS m{n}, CAST(sum(d{n}) AS BIGINT) AS d{n}" for n in range(1, max_n + 1))},
+       CAST(sum(hyp_len) AS BIGINT) AS hyp_len, CAST(sum(ref_len) AS BIGINT) AS ref_len FROM stats_by_key)"""
+
+
+def bleu_score_expr(weights, max_n: int = 4) -> str:
+    logs, zero = "0.0", "false"
+    for n, w in enumerate(weights[:max_n], start=1):
+        if w <= 0:
+            continue
+        zero += f" OR m{n} = 0"
+        logs = f"({logs} + {float(w)!r} * ln(CAST(m{n} AS DOUBLE) / CAST(d{n} AS DOUBLE)))"
+    bp = ("CASE WHEN hyp_len > ref_len THEN 1.0 WHEN hyp_len = 0 THEN 0.0 "
+          "ELSE exp(1.0 - CAST(ref_len AS DOUBLE) / CAST(hyp_len AS DOUBLE)) END")
+    return f"CASE WHEN {zero} OR m1 = 0 THEN 0.0 ELSE {bp} * exp({logs}) END"
+
+
+def bleu_scores_select(src: str, by_key: bool = False, weights: dict | None = None) -> str:
+    from tessera.operators.bleu import DEFAULT_WEIGHTS
+    weights = weights or DEFAULT_WEIGHTS
+    k = "key, " if by_key else ""
+    parts = [f"SELECT {k}'{name}' AS metric, round({bleu_score_expr(w)}, 6) AS score FROM {src}"
+             for name, w in weights.items()]
+    return " UNION ALL ".join(parts)
