@@ -15,6 +15,7 @@ from tessera.operators import batches as B
 from tessera.operators import bleu as BL
 from tessera.operators import split as S
 from tessera.operators import vocab as V
+from tessera.plans import evaluate as EV
 from tessera.plans import sqlparts as Q
 from tessera.sources import tables
 
@@ -188,6 +189,35 @@ def q_clipped_matches(spark, sf):
     return BL.clipped_ngram_matches(*_turn_corpus(spark, sf))
 
 
+K = 5
+
+
+def q_knn(spark, sf):
+    return EV.neighbours_for_validation(_captions(spark, sf), tables.features(spark, sf), K, test=TEST, seed=SEED)
+
+
+def q_retrieve_caption(spark, sf):
+    p = EV.predict_captions(_captions(spark, sf), tables.features(spark, sf), K, test=TEST, seed=SEED)
+    return p.select("query", "key", "caption_no", F.round("score", 6).alias("score"))
+
+
+def q_evaluate_captions(spark, sf):
+    e = EV.evaluate_captions(_captions(spark, sf), tables.features(spark, sf), K, test=TEST, seed=SEED)
+    return e.select("metric", F.round("score", 6).alias("score"))
+
+
+def flagship(spark, sf):
+    """entry(): the evaluation plan, BLEU report rounded to 4 decimals."""
+    e = EV.evaluate_captions(_captions(spark, sf), tables.features(spark, sf), K, test=TEST, seed=SEED)
+    return BL.bleu_report(e)
+
+
+def q_eval_word_counts(spark, sf):
+    c = _captions(spark, sf)
+    return c.select(F.explode(T.eval_tokenize("caption")).alias("word")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
     "word_counts": q_word_counts,
     "word_counts_documents": q_word_counts_documents,
@@ -215,6 +245,10 @@ QUERIES = {
     "sentence_bleu": q_sentence_bleu,
     "closest_reference_length": q_closest_reference_length,
     "clipped_matches": q_clipped_matches,
+    "eval_word_counts": q_eval_word_counts,
+    "knn": q_knn,
+    "retrieve_caption": q_retrieve_caption,
+    "evaluate_captions": q_evaluate_captions,
 }
 
 
@@ -322,3 +356,22 @@ ORACLE.update({
     "closest_reference_length": f"{_BLEU_SQL} SELECT key, hyp_len, ref_len FROM cl",
     "clipped_matches": f"{_BLEU_SQL} SELECT key, n, matches FROM mk",
 })
+
+_KNN_SQL = f"""{_WITH},
+{Q.knn_ctes(K)}"""
+_RETRIEVE_SQL = f"""{_KNN_SQL},
+{Q.retrieve_ctes()}"""
+
+ORACLE.update({
+    "knn": f"{_KNN_SQL} SELECT query, neighbour, sim, rank FROM knn",
+    "retrieve_caption": f"{_RETRIEVE_SQL} SELECT query, key, caption_no, round(score, 6) AS score FROM best",
+    "evaluate_captions": f"""{_RETRIEVE_SQL},
+hyp0 AS (SELECT query AS key, {Q.eval_tok('caption')} AS t FROM best),
+refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption')} AS t
+         FROM captions c JOIN split s USING (key) WHERE s.split = 'val'),
+{Q.bleu_ctes()}
+{Q.bleu_scores_select('stats')}""",
+})
+
+ORACLE["eval_word_counts"] = f"""
+SELECT word, count(*) AS n FROM (SELECT unnest({Q.eval_tok('text')}) AS word FROM conversations) GROUP BY word"""

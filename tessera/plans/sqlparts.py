@@ -14,7 +14,8 @@ def tok(expr: str) -> str:
 
 def eval_tok(expr: str) -> str:
     """Evaluation tokenizer in DuckDB."""
-    return f"regexp_extract_all(lower({expr}), '{EVAL_PATTERN}')"
+    pattern = EVAL_PATTERN.replace("'", "''")
+    return f"regexp_extract_all(lower({expr}), '{pattern}')"
 
 
 def mark(expr: str) -> str:
@@ -130,3 +131,37 @@ def bleu_scores_select(src: str, by_key: bool = False, weights: dict | None = No
     parts = [f"SELECT {k}'{name}' AS metric, round({bleu_score_expr(w)}, 6) AS score FROM {src}"
              for name, w in weights.items()]
     return " UNION ALL ".join(parts)
+
+
+def knn_ctes(k: int = 5) -> str:
+    """Exact k-NN of held-out keys' vectors against training keys' vectors (brute force)."""
+    return f"""
+qv AS (SELECT vec_id AS key, embedding AS v FROM embeddings
+       WHERE vec_id IN (SELECT key FROM split WHERE split = 'val') AND embedding IS NOT NULL),
+bv AS (SELECT vec_id AS key, embedding AS v FROM embeddings
+       WHERE vec_id IN (SELECT key FROM split WHERE split = 'train') AND embedding IS NOT NULL),
+sims AS (SELECT qv.key AS query, bv.key AS neighbour,
+                round(list_dot_product(qv.v::DOUBLE[], bv.v::DOUBLE[]), 6) AS sim
+         FROM qv CROSS JOIN bv),
+knn AS (SELECT query, neighbour, sim, CAST(rank AS INTEGER) AS rank FROM (
+          SELECT *, row_number() OVER (PARTITION BY query ORDER BY sim DESC, neighbour) AS rank FROM sims)
+        WHERE rank <= {k})"""
+
+
+def retrieve_ctes() -> str:
+    """Consensus caption among the neighbours' training captions; needs ``knn`` and ``train``."""
+    return f"""
+cand AS (SELECT knn.query, t.key, t.caption_no, t.caption FROM knn JOIN train t ON t.key = knn.neighbour),
+cwords AS (SELECT DISTINCT query, key, caption_no, unnest(list_distinct({tok('caption')})) AS w FROM cand),
+dfq AS (SELECT query, w, count(*) AS df FROM cwords GROUP BY query, w),
+per AS (SELECT cw.query, cw.key, cw.caption_no, sum(d.df - 1) AS s, count(*) AS u
+        FROM cwords cw JOIN dfq d USING (query, w) GROUP BY cw.query, cw.key, cw.caption_no),
+nq AS (SELECT query, count(*) AS n_cand FROM cand GROUP BY query),
+scored AS (SELECT c.query, c.key, c.caption_no, c.caption,
+                  CASE WHEN nq.n_cand > 1 AND coalesce(p.u, 0) > 0
+                       THEN CAST(p.s AS DOUBLE) / (p.u * (nq.n_cand - 1)) ELSE 0.0 END AS score
+           FROM cand c JOIN nq USING (query)
+           LEFT JOIN per p ON p.query = c.query AND p.key = c.key AND p.caption_no = c.caption_no),
+best AS (SELECT query, key, caption_no, caption, score FROM (
+           SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, key, caption_no) AS rn
+           FROM scored) WHERE rn = 1)"""
