@@ -16,6 +16,8 @@ from tessera.operators import bleu as BL
 from tessera.operators import split as S
 from tessera.operators import vocab as V
 from tessera.plans import evaluate as EV
+from tessera.plans import generate as GEN
+from tessera.operators import nextword as NW
 from tessera.plans import sqlparts as Q
 from tessera.sources import tables
 
@@ -218,6 +220,45 @@ def q_eval_word_counts(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+def _train_encoded(spark, sf):
+    tr = _train(spark, sf)
+    return V.encode(tr, _vocab(spark, sf), num_words=NUM_WORDS)
+
+
+def q_next_token_counts(spark, sf):
+    return NW.next_token_counts(_train_encoded(spark, sf), "tokens", 2)
+
+
+def q_trigram_counts(spark, sf):
+    return NW.next_token_counts(_train_encoded(spark, sf), "tokens", 3)
+
+
+def q_argmax_next(spark, sf):
+    return NW.argmax_next(NW.next_token_counts(_train_encoded(spark, sf), "tokens", 2), ["c1"])
+
+
+def q_cross_entropy(spark, sf):
+    ce = GEN.held_out_cross_entropy(_captions(spark, sf), NUM_WORDS, 1.0, test=TEST, seed=SEED)
+    return ce.select("pairs", F.round("cross_entropy", 6).alias("cross_entropy"),
+                     F.round("perplexity", 4).alias("perplexity"))
+
+
+def q_corpus_greedy_decode(spark, sf):
+    d = GEN.corpus_greedy_decode(_captions(spark, sf), NUM_WORDS, 30, test=TEST, seed=SEED)
+    return d.select("query", F.size("tokens").alias("n_tokens"), _ids_text("tokens").alias("tokens"), "text")
+
+
+def q_generate_captions(spark, sf):
+    d = GEN.generate_captions(_captions(spark, sf), tables.features(spark, sf), K, NUM_WORDS, 30,
+                              test=TEST, seed=SEED)
+    return d.select("query", F.size("tokens").alias("n_tokens"), _ids_text("tokens").alias("tokens"), "text")
+
+
+def q_evaluate_generated(spark, sf):
+    e = GEN.evaluate_generated(_captions(spark, sf), tables.features(spark, sf), K, test=TEST, seed=SEED)
+    return e.select("metric", F.round("score", 6).alias("score"))
+
+
 QUERIES = {
     "word_counts": q_word_counts,
     "word_counts_documents": q_word_counts_documents,
@@ -249,6 +290,13 @@ QUERIES = {
     "knn": q_knn,
     "retrieve_caption": q_retrieve_caption,
     "evaluate_captions": q_evaluate_captions,
+    "next_token_counts": q_next_token_counts,
+    "trigram_counts": q_trigram_counts,
+    "argmax_next": q_argmax_next,
+    "cross_entropy": q_cross_entropy,
+    "corpus_greedy_decode": q_corpus_greedy_decode,
+    "generate_captions": q_generate_captions,
+    "evaluate_generated": q_evaluate_generated,
 }
 
 
@@ -375,3 +423,51 @@ refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption')} AS t
 
 ORACLE["eval_word_counts"] = f"""
 SELECT word, count(*) AS n FROM (SELECT unnest({Q.eval_tok('text')}) AS word FROM conversations) GROUP BY word"""
+
+_MODEL_SQL = f"""{_WITH},
+{Q.vocab_cte('train', NUM_WORDS)},
+{Q.encode_cte('train')},
+{Q.corpus_model_ctes()}"""
+
+
+def _recursive(sql: str) -> str:
+    return "WITH RECURSIVE " + sql[len("WITH "):]
+
+
+_GEN_SQL = _recursive(f"""{_MODEL_SQL},
+{Q.knn_ctes(K)},
+{Q.neighbour_model_ctes()},
+{Q.decode_ctes('(SELECT DISTINCT query FROM knn)', 30, neighbours=True)}""")
+
+_GREEDY_SQL = _recursive(f"""{_MODEL_SQL},
+{Q.decode_ctes('(SELECT CAST(0 AS BIGINT) AS query)', 30, neighbours=False)}""")
+
+ORACLE.update({
+    "next_token_counts": f"{_MODEL_SQL} SELECT c1, nxt AS next, cnt AS count FROM bigr",
+    "trigram_counts": f"""{_MODEL_SQL},
+trigr AS (SELECT t[i] AS c2, t[i + 1] AS c1, t[i + 2] AS nxt, count(*) AS cnt
+          FROM (SELECT tokens AS t, unnest(range(1, len(tokens) - 1)) AS i FROM encoded) GROUP BY ALL)
+SELECT c2, c1, nxt AS next, cnt AS count FROM trigr""",
+    "argmax_next": f"{_MODEL_SQL} SELECT c1, nxt AS next FROM corp",
+    "cross_entropy": f"""{_MODEL_SQL},
+val AS (SELECT c.* FROM captions c JOIN split s USING (key) WHERE s.split = 'val'),
+vwords AS (SELECT key, caption_no, unnest(range(len(t))) AS pos, unnest(t) AS word
+           FROM (SELECT key, caption_no, {Q.tok(Q.mark('caption'))} AS t FROM val)),
+venc AS (SELECT w.key, w.caption_no, list(v.id ORDER BY w.pos) AS t
+         FROM vwords w JOIN vocab v USING (word) GROUP BY w.key, w.caption_no),
+vpairs AS (SELECT t[i] AS c1, t[i + 1] AS nxt FROM (SELECT t, unnest(range(1, len(t))) AS i FROM venc)),
+tot AS (SELECT c1, sum(cnt) AS ctx FROM bigr GROUP BY c1),
+sc AS (SELECT CAST(coalesce(b.cnt, 0) + 1.0 AS DOUBLE) AS num,
+              CAST(coalesce(t.ctx, 0) + 1.0 * {NUM_WORDS} AS DOUBLE) AS den
+       FROM vpairs p LEFT JOIN bigr b ON b.c1 = p.c1 AND b.nxt = p.nxt LEFT JOIN tot t ON t.c1 = p.c1)
+SELECT count(*) AS pairs, round(avg(-ln(num / den)), 6) AS cross_entropy,
+       round(exp(avg(-ln(num / den))), 4) AS perplexity FROM sc""",
+    "corpus_greedy_decode": f"{_GREEDY_SQL} {Q.decoded_select()}",
+    "generate_captions": f"{_GEN_SQL} {Q.decoded_select()}",
+    "evaluate_generated": f"""{_GEN_SQL},
+hyp0 AS (SELECT query AS key, {Q.eval_tok('text')} AS t FROM decoded),
+refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption')} AS t
+         FROM captions c JOIN split s USING (key) WHERE s.split = 'val'),
+{Q.bleu_ctes()}
+{Q.bleu_scores_select('stats')}""",
+})

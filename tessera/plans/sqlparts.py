@@ -165,3 +165,58 @@ scored AS (SELECT c.query, c.key, c.caption_no, c.caption,
 best AS (SELECT query, key, caption_no, caption, score FROM (
            SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, key, caption_no) AS rn
            FROM scored) WHERE rn = 1)"""
+
+
+def corpus_model_ctes() -> str:
+    """Needs ``vocab`` and ``encoded``: marker ids, bigram counts ``bigr`` and argmax ``corp``."""
+    return """
+ids AS (SELECT max(CASE WHEN word = 'ssss' THEN id END) AS s_id,
+               max(CASE WHEN word = 'eeee' THEN id END) AS e_id FROM vocab),
+bigr AS (SELECT t[i] AS c1, t[i + 1] AS nxt, count(*) AS cnt
+         FROM (SELECT tokens AS t, unnest(range(1, len(tokens))) AS i FROM encoded) GROUP BY ALL),
+corp AS (SELECT c1, CAST(arg_max(nxt, (cnt, -nxt)) AS INTEGER) AS nxt FROM bigr GROUP BY c1)"""
+
+
+def neighbour_model_ctes() -> str:
+    """Needs ``knn`` and ``encoded``: similarity-weighted argmax tables ``tri`` and ``bi``."""
+    return """
+src AS (SELECT k.query, greatest(k.sim, 0.0) AS w, e.tokens AS t FROM knn k JOIN encoded e ON e.key = k.neighbour),
+tri_s AS (SELECT query, t[i] AS c2, t[i + 1] AS c1, t[i + 2] AS nxt, round(sum(w), 6) AS score
+          FROM (SELECT query, w, t, unnest(range(1, len(t) - 1)) AS i FROM src) GROUP BY ALL),
+tri AS (SELECT query, c2, c1, CAST(arg_max(nxt, (score, -nxt)) AS INTEGER) AS nxt FROM tri_s GROUP BY ALL),
+bi_s AS (SELECT query, t[i] AS c1, t[i + 1] AS nxt, round(sum(w), 6) AS score
+         FROM (SELECT query, w, t, unnest(range(1, len(t))) AS i FROM src) GROUP BY ALL),
+bi AS (SELECT query, c1, CAST(arg_max(nxt, (score, -nxt)) AS INTEGER) AS nxt FROM bi_s GROUP BY ALL)"""
+
+
+def decode_ctes(queries: str, max_tokens: int, neighbours: bool) -> str:
+    """Recursive greedy decode over ``corp`` (and ``tri``/``bi``); ends in ``decoded``."""
+    if neighbours:
+        nx = "coalesce(t.nxt, b.nxt, c.nxt)"
+        joins = ("LEFT JOIN tri t ON t.query = d.query AND t.c2 = d.c2 AND t.c1 = d.c1 "
+                 "LEFT JOIN bi b ON b.query = d.query AND b.c1 = d.c1 ")
+    else:
+        nx, joins = "c.nxt", ""
+    return f"""
+dec(query, step, c2, c1, out, done) AS (
+  SELECT q.query, 0, CAST(NULL AS INTEGER), CAST(ids.s_id AS INTEGER), []::INTEGER[], false
+  FROM {queries} q CROSS JOIN ids
+  UNION ALL
+  SELECT d.query, d.step + 1, d.c1, {nx},
+         CASE WHEN {nx} IS NULL THEN d.out ELSE list_append(d.out, {nx}) END,
+         {nx} IS NULL OR {nx} = ids.e_id OR d.step + 1 >= {max_tokens}
+  FROM dec d CROSS JOIN ids {joins}
+  LEFT JOIN corp c ON c.c1 = d.c1
+  WHERE NOT d.done
+),
+fin AS (SELECT query, out FROM dec WHERE done),
+dwords AS (SELECT f.query, unnest(range(len(f.out))) AS pos, unnest(f.out) AS tid FROM fin f),
+dtext AS (SELECT d.query, string_agg(v.word, ' ' ORDER BY d.pos) AS text
+          FROM dwords d CROSS JOIN ids JOIN vocab v ON v.id = d.tid
+          WHERE d.tid <> ids.s_id AND d.tid <> ids.e_id GROUP BY d.query),
+decoded AS (SELECT f.query, f.out, coalesce(t.text, '') AS text FROM fin f LEFT JOIN dtext t USING (query))"""
+
+
+def decoded_select() -> str:
+    return ("SELECT query, CAST(len(out) AS INTEGER) AS n_tokens, array_to_string(out, ' ') AS tokens, text "
+            "FROM decoded")
