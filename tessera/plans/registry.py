@@ -471,3 +471,8 @@ refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption')} AS t
 {Q.bleu_ctes()}
 {Q.bleu_scores_select('stats')}""",
 })
+
+from tessera.plans import io_queries as _IO  # noqa: E402
+
+QUERIES.update(_IO.QUERIES)
+ORACLE.update(_IO.ORACLE)
