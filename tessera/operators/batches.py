@@ -96,9 +96,9 @@ def draw_batches(encoded: DataFrame, features: DataFrame | None = None, batch_si
     n_keys = keys.count()
     if steps is None:
         steps = cap.count() // batch_size
-    total = int(steps) * int(batch_size)
-    if n_keys == 0 or total == 0:
-        raise ValueError("no training captions or zero steps")
+    # zero steps (fewer captions than one batch) is an empty epoch, as truncation gives
+    total = int(steps) * int(batch_size) if n_keys else 0
+    n_keys = max(n_keys, 1)
     s = f"{seed}:{epoch}"
     draws = (cap.sparkSession.range(total).withColumnRenamed("id", "draw")
              .withColumn("batch_id", F.floor(F.col("draw") / batch_size).cast("bigint"))

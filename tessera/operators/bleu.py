@@ -83,7 +83,12 @@ def bleu_statistics(hyp: DataFrame, refs: DataFrame, key: str = "key", tokens: s
                           .otherwise(F.lit(0))).cast("bigint").alias(f"d{n}"))
     aggs += [F.sum(F.coalesce("hyp_len", F.lit(0))).cast("bigint").alias("hyp_len"),
              F.sum(F.coalesce("ref_len", F.lit(0))).cast("bigint").alias("ref_len")]
-    return long.groupBy(key).agg(*aggs) if by_key else long.agg(*aggs)
+    if by_key:
+        return long.groupBy(key).agg(*aggs)
+    # an empty corpus has zero counts, not nulls
+    return long.agg(*aggs).select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
+                                    for c in [a for n in range(1, max_n + 1) for a in (f"m{n}", f"d{n}")]
+                                    + ["hyp_len", "ref_len"]])
 
 
 def _score(weights, max_n: int):

@@ -108,8 +108,9 @@ lk AS (SELECT cl.key, ns.n, coalesce(mk.matches, 0) AS matches, cl.hyp_len, cl.r
 stats_by_key AS (SELECT key, {ms},
        CAST(sum(hyp_len) FILTER (WHERE n = 1) AS BIGINT) AS hyp_len,
        CAST(sum(ref_len) FILTER (WHERE n = 1) AS BIGINT) AS ref_len FROM lk GROUP BY key),
-stats AS (SELECT {", ".join(f"CAST(sum(m{n}) AS BIGINT) AS m{n}, CAST(sum(d{n}) AS BIGINT) AS d{n}" for n in range(1, max_n + 1))},
-       CAST(sum(hyp_len) AS BIGINT) AS hyp_len, CAST(sum(ref_len) AS BIGINT) AS ref_len FROM stats_by_key)"""
+stats AS (SELECT {", ".join(f"CAST(coalesce(sum(m{n}), 0) AS BIGINT) AS m{n}, CAST(coalesce(sum(d{n}), 0) AS BIGINT) AS d{n}" for n in range(1, max_n + 1))},
+       CAST(coalesce(sum(hyp_len), 0) AS BIGINT) AS hyp_len,
+       CAST(coalesce(sum(ref_len), 0) AS BIGINT) AS ref_len FROM stats_by_key)"""
 
 
 def bleu_score_expr(weights, max_n: int = 4) -> str:
