@@ -87,45 +87,67 @@ def neighbour_next_token(neighbours: DataFrame, encoded: DataFrame, key: str = "
             argmax_next(bi, ["query", "c1"], "score"))
 
 
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def _materialize(df: DataFrame, max_broadcast_rows: int) -> DataFrame:
+    """Checkpoint reliably; mark for broadcast only when the counted size proves it small."""
+    df = df.checkpoint(eager=True)
+    return F.broadcast(df) if df.count() <= max_broadcast_rows else df
+
+
 def greedy_decode(queries: DataFrame, start_id: int, end_id: int, corpus_next: DataFrame,
                   tri_next: DataFrame | None = None, bi_next: DataFrame | None = None,
-                  max_tokens: int = 30, checkpoint_every: int = 5) -> DataFrame:
+                  max_tokens: int = 30, checkpoint_every: int = 5,
+                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """(query, tokens array<int>) decoded greedily for every row of ``queries(query)``.
 
     Next id = two-word choice, else one-word choice, else the corpus choice (``corpus_next``:
     (c1, next)). A query stops after the end id (which is kept), after ``max_tokens`` ids,
     or when no table continues it.
+
+    Each step is one chain of left joins over the state (one row per query). Rows that are
+    done keep their own keys but match nothing (``NOT done`` is part of the join
+    condition), so they stay spread by key and the plan stays linear. Every
+    ``checkpoint_every`` steps the state is checkpointed and the finished rows leave it.
     """
     spark = queries.sparkSession
     ensure_checkpoint_dir(spark)
-    state = queries.select("query", F.lit(None).cast("int").alias("c2"),
-                           F.lit(int(start_id)).alias("c1"), F.array().cast("array<int>").alias("out"))
-    finished = []
+    state = queries.select("query", F.lit(None).cast("int").alias("c2"), F.lit(int(start_id)).alias("c1"),
+                           F.array().cast("array<int>").alias("out"), F.lit(False).alias("done"))
     # the choice tables are read every step: materialize them once, reliably
-    corpus = corpus_next.select("c1", F.col("next").alias("n0")).checkpoint(eager=True)
-    bi_next = bi_next.checkpoint(eager=True) if bi_next is not None else None
-    tri_next = tri_next.checkpoint(eager=True) if tri_next is not None else None
+    tables = [("n0", ["c1"], corpus_next)]
+    if bi_next is not None:
+        tables.insert(0, ("n1", ["query", "c1"], bi_next))
+    if tri_next is not None:
+        tables.insert(0, ("n2", ["query", "c2", "c1"], tri_next))
+    tables = [(name, keys, _materialize(t.select(*keys, F.col("next").alias(name)), max_broadcast_rows))
+              for name, keys, t in tables]
+    finished = []
     for step in range(1, max_tokens + 1):
-        s = state.join(corpus, "c1", "left")
-        cand = [F.col("n0")]
-        if bi_next is not None:
-            s = s.join(bi_next.select("query", "c1", F.col("next").alias("n1")), ["query", "c1"], "left")
-            cand.insert(0, F.col("n1"))
-        if tri_next is not None:
-            s = s.join(tri_next.select("query", "c2", "c1", F.col("next").alias("n2")),
-                       ["query", "c2", "c1"], "left")
-            cand.insert(0, F.col("n2"))
-        s = s.select("query", "c1", "out", F.coalesce(*cand).alias("nx"))
-        s = s.select("query", F.col("c1").alias("c2"), F.col("nx").alias("c1"),
-                     F.when(F.col("nx").isNull(), F.col("out"))
-                     .otherwise(F.concat("out", F.array("nx"))).alias("out"),
-                     (F.col("nx").isNull() | (F.col("nx") == end_id) | F.lit(step >= max_tokens)).alias("done"))
+        s = state.alias("s")
+        for name, keys, t in tables:
+            t = t.alias(name)
+            cond = ~F.col("s.done")
+            for k in keys:
+                cond = cond & (F.col(f"s.{k}") == F.col(f"{name}.{k}"))
+            s = s.join(t, cond, "left").select("s.*", F.col(f"{name}.{name}")).alias("s")
+        nx = F.coalesce(*[F.col(name) for name, _, _ in tables])
+        s = s.select("query", "c2", "c1", "out", "done", nx.alias("nx"))
+        state = s.select(
+            "query",
+            F.when(F.col("done"), F.col("c2")).otherwise(F.col("c1")).alias("c2"),
+            F.when(F.col("done"), F.col("c1")).otherwise(F.col("nx")).alias("c1"),
+            F.when(F.col("done") | F.col("nx").isNull(), F.col("out"))
+            .otherwise(F.concat("out", F.array("nx"))).alias("out"),
+            (F.col("done") | F.col("nx").isNull() | (F.col("nx") == end_id) | F.lit(step >= max_tokens))
+            .alias("done"))
         if step % checkpoint_every == 0 or step == max_tokens:
-            s = s.checkpoint(eager=True)
-        finished.append(s.filter("done").select("query", F.col("out").alias("tokens")))
-        state = s.filter(~F.col("done")).drop("done")
-        if step % checkpoint_every == 0 and state.isEmpty():
-            break
+            state = state.checkpoint(eager=True)
+            finished.append(state.filter(F.col("done")).select("query", F.col("out").alias("tokens")))
+            state = state.filter(~F.col("done"))
+            if state.isEmpty():
+                break
     out = finished[0]
     for f in finished[1:]:
         out = out.unionByName(f)

@@ -54,6 +54,26 @@ def split_by_key(df: DataFrame, key: str = "key", test: float = 0.2, seed: int =
     return df.join(sides, key)
 
 
+def in_side(side: str, key: str = "key", test: float = 0.2, seed: int = 42,
+            train_name: str = "train", test_name: str = "val") -> Column:
+    """Predicate: the row's key falls on ``side`` under the default hash split.
+
+    Membership is a pure function of the key, so selecting one side of a table is a narrow
+    filter in the scan stage - no distinct keys, no join, no shuffle.
+    """
+    held = (seeded_hash(seed, key) % HASH_BUCKETS) < F.lit(int(round(test * HASH_BUCKETS)))
+    if side == test_name:
+        return held
+    if side == train_name:
+        return ~held
+    raise ValueError(f"unknown side {side!r}")
+
+
+def split_rows(df: DataFrame, side: str, key: str = "key", test: float = 0.2, seed: int = 42) -> DataFrame:
+    """Rows of ``df`` on one side of the default hash split (narrow filter)."""
+    return df.filter(in_side(side, key, test, seed))
+
+
 def split_keys(df: DataFrame, key: str = "key", **kw) -> DataFrame:
     """(key, split) for every distinct key."""
     return split_by_key(df.select(key).distinct(), key, **kw)

@@ -12,13 +12,23 @@ from tessera.operators import split as S
 
 
 def split_sides(captions: DataFrame, key: str = "key", test: float = 0.2, seed: int = 42):
-    keys = S.split_keys(captions, key, test=test, seed=seed)
-    return keys.filter(F.col("split") == "train").select(key), keys.filter(F.col("split") == "val").select(key)
+    """(train keys, val keys) that have captions: distinct keys of a narrow split filter."""
+    return tuple(S.split_rows(captions, side, key, test, seed).select(key).distinct()
+                 for side in ("train", "val"))
+
+
+def caption_side(captions: DataFrame, side: str, key: str = "key", test: float = 0.2,
+                 seed: int = 42) -> DataFrame:
+    """Captions on one side of the split: a narrow filter, no join."""
+    return S.split_rows(captions, side, key, test, seed)
 
 
 def neighbours_for_validation(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
                               test: float = 0.2, seed: int = 42, block_rows: int = 2048) -> DataFrame:
-    """k nearest training vectors for every held-out key that has a vector."""
+    """k nearest training vectors for every held-out key that has a vector.
+
+    A vector takes part only when its key has captions (semi join on the side's keys).
+    """
     train_keys, val_keys = split_sides(captions, key, test, seed)
     q = S.select_split(features, val_keys, key)
     b = S.select_split(features, train_keys, key)
@@ -28,9 +38,8 @@ def neighbours_for_validation(captions: DataFrame, features: DataFrame, k: int =
 def predict_captions(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
                      test: float = 0.2, seed: int = 42) -> DataFrame:
     """(query, key, caption_no, caption, score): one retrieved caption per held-out key."""
-    train_keys, _ = split_sides(captions, key, test, seed)
     nb = neighbours_for_validation(captions, features, k, key, test, seed)
-    return SIM.retrieve_caption(nb, S.select_split(captions, train_keys, key), key)
+    return SIM.retrieve_caption(nb, caption_side(captions, "train", key, test, seed), key)
 
 
 def evaluate_captions(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
@@ -38,9 +47,8 @@ def evaluate_captions(captions: DataFrame, features: DataFrame, k: int = 5, key:
                       weights: dict | None = None) -> DataFrame:
     """(metric, score): corpus BLEU of retrieved captions against each held-out key's own
     captions, both tokenized by ``tokenizer`` (the evaluation tokenizer by default)."""
-    _, val_keys = split_sides(captions, key, test, seed)
     pred = predict_captions(captions, features, k, key, test, seed)
     hyp = pred.select(F.col("query").alias(key), tokenizer("caption").alias("tokens"))
-    refs = S.select_split(captions, val_keys, key).select(
+    refs = caption_side(captions, "val", key, test, seed).select(
         key, F.col("caption_no").alias("ref_no"), tokenizer("caption").alias("tokens"))
     return BL.corpus_bleu(hyp, refs, weights, key)

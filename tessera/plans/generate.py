@@ -10,7 +10,8 @@ from tessera.operators import bleu as BL
 from tessera.operators import nextword as NW
 from tessera.operators import split as S
 from tessera.operators import vocab as V
-from tessera.plans.evaluate import neighbours_for_validation, split_sides
+from tessera.plans.evaluate import caption_side, neighbours_for_validation
+from tessera.session import ensure_checkpoint_dir
 
 
 def marker_id_values(vocab: DataFrame) -> tuple[int, int]:
@@ -21,10 +22,21 @@ def marker_id_values(vocab: DataFrame) -> tuple[int, int]:
     return int(got[T.MARK_START]), int(got[T.MARK_END])
 
 
-def corpus_model(captions: DataFrame, num_words: int = 10000):
-    """(vocab, encoded, corpus argmax (c1, next), bigram counts) from the given training captions."""
+def corpus_model(captions: DataFrame, num_words: int = 10000, materialize: bool = True):
+    """(vocab, encoded, corpus argmax (c1, next), bigram counts) from the given training captions.
+
+    With ``materialize`` the vocabulary (at most ``num_words - 1`` rows) and the encoded
+    captions are checkpointed once, reliably: each has several readers downstream (marker
+    ids, n-gram counts, neighbour tables, decoding), which would otherwise each re-read and
+    re-tokenize the raw text.
+    """
     vocab = V.build_vocabulary(captions, num_words)
+    if materialize:
+        ensure_checkpoint_dir(captions.sparkSession)
+        vocab = vocab.checkpoint(eager=True)
     enc = V.encode(captions, vocab, num_words=num_words)
+    if materialize:
+        enc = enc.checkpoint(eager=True)
     counts = NW.next_token_counts(enc, "tokens", 2)
     return vocab, enc, NW.argmax_next(counts, ["c1"]), counts
 
@@ -32,8 +44,7 @@ def corpus_model(captions: DataFrame, num_words: int = 10000):
 def corpus_greedy_decode(captions: DataFrame, num_words: int = 10000, max_tokens: int = 30,
                          key: str = "key", test: float = 0.2, seed: int = 42) -> DataFrame:
     """(query, tokens, text): the corpus-only chain from the start word (one word of context)."""
-    train_keys, _ = split_sides(captions, key, test, seed)
-    vocab, enc, corpus, _ = corpus_model(S.select_split(captions, train_keys, key), num_words)
+    vocab, enc, corpus, _ = corpus_model(caption_side(captions, "train", key, test, seed), num_words)
     start, end = marker_id_values(vocab)
     q = captions.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("query"))
     dec = NW.greedy_decode(q, start, end, corpus, max_tokens=max_tokens)
@@ -53,8 +64,7 @@ def generate_captions(captions: DataFrame, features: DataFrame, k: int = 5, num_
 
     Two words of neighbour context, backing off to one, then to the corpus bigram choice.
     """
-    train_keys, _ = split_sides(captions, key, test, seed)
-    vocab, enc, corpus, _ = corpus_model(S.select_split(captions, train_keys, key), num_words)
+    vocab, enc, corpus, _ = corpus_model(caption_side(captions, "train", key, test, seed), num_words)
     start, end = marker_id_values(vocab)
     nb = neighbours_for_validation(captions, features, k, key, test, seed)
     tri, bi = NW.neighbour_next_token(nb, enc, key)
@@ -65,10 +75,9 @@ def generate_captions(captions: DataFrame, features: DataFrame, k: int = 5, num_
 def evaluate_generated(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
                        test: float = 0.2, seed: int = 42, tokenizer=T.eval_tokenize) -> DataFrame:
     """(metric, score): corpus BLEU of generated captions against held-out keys' captions."""
-    _, val_keys = split_sides(captions, key, test, seed)
     gen = generate_captions(captions, features, k, key=key, test=test, seed=seed)
     hyp = gen.select(F.col("query").alias(key), tokenizer("text").alias("tokens"))
-    refs = S.select_split(captions, val_keys, key).select(
+    refs = caption_side(captions, "val", key, test, seed).select(
         key, F.col("caption_no").alias("ref_no"), tokenizer("caption").alias("tokens"))
     return BL.corpus_bleu(hyp, refs, None, key)
 
@@ -76,9 +85,8 @@ def evaluate_generated(captions: DataFrame, features: DataFrame, k: int = 5, key
 def held_out_cross_entropy(captions: DataFrame, num_words: int = 10000, alpha: float = 1.0,
                            key: str = "key", test: float = 0.2, seed: int = 42) -> DataFrame:
     """Bigram cross-entropy of held-out captions under the training-split corpus model."""
-    train_keys, val_keys = split_sides(captions, key, test, seed)
-    vocab, _, _, counts = corpus_model(S.select_split(captions, train_keys, key), num_words)
-    val = V.encode(S.select_split(captions, val_keys, key), vocab, num_words=num_words)
+    vocab, _, _, counts = corpus_model(caption_side(captions, "train", key, test, seed), num_words)
+    val = V.encode(caption_side(captions, "val", key, test, seed), vocab, num_words=num_words)
     m = F.size("tokens")
     pairs = val.filter(m >= 2).select(T.shift_input("tokens", m).alias("x"), T.shift_target("tokens", m).alias("y"))
     return NW.token_cross_entropy(counts, pairs, num_words, alpha)

@@ -15,12 +15,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-spread rows over the session's cores when the scan gives fewer splits than that.
+
+    A file written as one large row group is read by one task, so all per-row text work
+    after it would run on one core. A cluster scan of many files already has more splits
+    than cores and is returned unchanged: no shuffle is added there. ``cols`` should be
+    (nearly) unique per row, so a hot key cannot pull its rows into one partition.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *cols)
+
+
 def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select(
+    return spread(table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("key"),
         F.col("turn").alias("caption_no"),
         F.col("text").alias("caption"),
-    )
+    ), "key", "caption_no")
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,8 +45,8 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("key"),
         F.lit(0).cast("bigint").alias("caption_no"),
         F.col("text").alias("caption"),
-    )
+    ), "key")
