@@ -476,3 +476,8 @@ from tessera.plans import io_queries as _IO  # noqa: E402
 
 QUERIES.update(_IO.QUERIES)
 ORACLE.update(_IO.ORACLE)
+
+from tessera.plans import array_queries as _AQ  # noqa: E402
+
+QUERIES.update(_AQ.QUERIES)
+ORACLE.update(_AQ.ORACLE)
