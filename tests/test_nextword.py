@@ -45,3 +45,17 @@ def test_cross_entropy_padding_flag(spark):
     a = NW.token_cross_entropy(counts, b, 10, include_padding=False).first()
     p = NW.token_cross_entropy(counts, b, 10, include_padding=True).first()
     assert a["pairs"] == 1 and p["pairs"] == 2
+
+
+def test_decode_shuffle_path_equals_broadcast_path_across_checkpoints(spark):
+    # queries finish at steps 1, 3 and 6 (cap), across checkpoint blocks of 2 steps
+    corpus = spark.createDataFrame([(1, 9), (9, 9)], "c1 int, next int")
+    bi = spark.createDataFrame([(0, 1, 2), (1, 1, 4), (1, 4, 5), (1, 5, 2)],
+                               "query bigint, c1 int, next int")
+    q = spark.createDataFrame([(0,), (1,), (2,)], "query bigint")
+    want = {0: [2], 1: [4, 5, 2], 2: [9] * 6}
+    for rows in (0, 1_000_000):
+        got = {r["query"]: r["tokens"] for r in
+               NW.greedy_decode(q, 1, 2, corpus, None, bi, max_tokens=6, checkpoint_every=2,
+                                max_broadcast_rows=rows).collect()}
+        assert got == want, rows

@@ -100,3 +100,15 @@ def test_extract_missing_scores_each_key_once(spark, tmp):
     C.extract_missing(spark, keys.filter("key < 4"), done, score)
     out = C.extract_missing(spark, keys, done, score)
     assert scored == [4, 6] and out.count() == 10
+
+
+def test_spread_only_when_the_scan_has_few_splits(spark):
+    from tessera.sources import tables
+    from conftest import SF01
+    one = tables.table(spark, SF01, "documents")
+    assert one.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    spread = tables.spread(one, "doc_id")
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism * 2)
+    assert tables.spread(many, "id") is many
+    assert spread.count() == one.count()

@@ -49,3 +49,15 @@ def test_sample_keys_seeded(spark):
     a = [r["key"] for r in S.sample_keys(c, 10, 3).collect()]
     b = [r["key"] for r in S.sample_keys(c.repartition(5), 10, 3).collect()]
     assert a == b and len(set(a)) == 10
+
+
+def test_split_side_is_a_narrow_filter_equal_to_the_semi_join(spark):
+    from tessera.plans.evaluate import caption_side
+    from tessera.sources import tables
+    from conftest import SF01
+    c = tables.table(spark, SF01, "conversations").selectExpr("conv_id AS key", "turn AS caption_no",
+                                                              "text AS caption")
+    side = caption_side(c, "val")
+    assert "Exchange" not in side._jdf.queryExecution().executedPlan().toString()
+    keys = S.split_keys(c).filter("split = 'val'")
+    assert sorted(map(tuple, side.collect())) == sorted(map(tuple, S.select_split(c, keys).collect()))
