@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.session import ensure_checkpoint_dir
 
 SIM_DECIMALS = 6
 
@@ -48,10 +49,13 @@ def _block_topk(k: int, decimals: int):
 
 
 def nearest(query: DataFrame, base: DataFrame, k: int = 5, query_key: str = "key", base_key: str = "key",
-            vec: str = "features", block_rows: int = 2048, exclude_self: bool = False) -> DataFrame:
+            vec: str = "features", block_rows: int = 2048, exclude_self: bool = False,
+            materialize: bool = True) -> DataFrame:
     """(query, neighbour, sim, rank): the k base rows with the largest dot product.
 
     Similarity is rounded to 6 decimals before ranking; ties go to the lowest neighbour id.
+    The result (k rows per query) is checkpointed reliably: downstream plans read it several
+    times, and each read would otherwise rerun the quadratic block product.
     """
     q = query.select(F.col(query_key).alias("q"), F.col(vec).alias("v")).filter(F.col("v").isNotNull())
     b = base.select(F.col(base_key).alias("b"), F.col(vec).alias("v")).filter(F.col("v").isNotNull())
@@ -73,8 +77,11 @@ def nearest(query: DataFrame, base: DataFrame, k: int = 5, query_key: str = "key
     if exclude_self:
         cand = cand.filter(F.col("query") != F.col("neighbour"))
     w = Window.partitionBy("query").orderBy(F.col("sim").desc(), F.col("neighbour").asc())
-    return (cand.withColumn("rank", F.row_number().over(w).cast("int"))
-            .filter(F.col("rank") <= k))
+    out = cand.withColumn("rank", F.row_number().over(w).cast("int")).filter(F.col("rank") <= k)
+    if not materialize:
+        return out
+    ensure_checkpoint_dir(query.sparkSession)
+    return out.checkpoint(eager=True)
 
 
 def retrieve_caption(neighbours: DataFrame, captions: DataFrame, key: str = "key",

@@ -48,7 +48,8 @@ def evaluate_captions(captions: DataFrame, features: DataFrame, k: int = 5, key:
     """(metric, score): corpus BLEU of retrieved captions against each held-out key's own
     captions, both tokenized by ``tokenizer`` (the evaluation tokenizer by default)."""
     pred = predict_captions(captions, features, k, key, test, seed)
-    hyp = pred.select(F.col("query").alias(key), tokenizer("caption").alias("tokens"))
+    # one row per query, read twice by BLEU (matches and lengths): materialize it once
+    hyp = pred.select(F.col("query").alias(key), tokenizer("caption").alias("tokens")).checkpoint(eager=True)
     refs = caption_side(captions, "val", key, test, seed).select(
         key, F.col("caption_no").alias("ref_no"), tokenizer("caption").alias("tokens"))
     return BL.corpus_bleu(hyp, refs, weights, key)
