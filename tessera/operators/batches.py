@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
-from tessera.operators.indexing import dense_index
+from tessera.operators.indexing import dense_index_counted
 from tessera.operators.split import seeded_hash
 
 
@@ -72,11 +72,12 @@ def attach_features(rows: DataFrame, features: DataFrame, key: str = "key") -> D
 
 
 def index_captions(encoded: DataFrame, key: str = "key", order: str = "caption_no"):
-    """(captions with a global 0-based ``gidx``, keys with ``kidx``, first gidx and count)."""
-    cap = dense_index(encoded, [key, order], "gidx")
+    """(captions with a global 0-based ``gidx``, keys with ``kidx``, first gidx and count,
+    number of captions, number of keys)."""
+    cap, n_captions = dense_index_counted(encoded, [key, order], "gidx")
     per_key = cap.groupBy(key).agg(F.min("gidx").alias("first"), F.count(F.lit(1)).alias("n"))
-    keys = dense_index(per_key, [key], "kidx")
-    return cap, keys
+    keys, n_keys = dense_index_counted(per_key, [key], "kidx")
+    return cap, keys, n_captions, n_keys
 
 
 def draw_batches(encoded: DataFrame, features: DataFrame | None = None, batch_size: int = 384,
@@ -92,10 +93,9 @@ def draw_batches(encoded: DataFrame, features: DataFrame | None = None, batch_si
 
     Output: batch_id, slot, key, caption_no, x array<int>, y array<int>[, features].
     """
-    cap, keys = index_captions(encoded, key, order)
-    n_keys = keys.count()
+    cap, keys, n_captions, n_keys = index_captions(encoded, key, order)
     if steps is None:
-        steps = cap.count() // batch_size
+        steps = n_captions // batch_size
     # zero steps (fewer captions than one batch) is an empty epoch, as truncation gives
     total = int(steps) * int(batch_size) if n_keys else 0
     n_keys = max(n_keys, 1)

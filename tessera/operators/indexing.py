@@ -1,7 +1,9 @@
 """Global numbering without funnelling rows through one task.
 
 ``dense_index`` is the DataFrame form of zipWithIndex: a range-partitioned sort, one small
-job that counts rows per partition, and a broadcast of those (#partitions-sized) offsets.
+job that counts rows per partition, and a broadcast of those offsets. The offsets table has
+one row per partition - bounded by the partition count, not the data - so it is computed
+once, eagerly, and joined as a small local table wherever the index is read.
 Range partitioning splits a hot key over several partitions, so a key holding a third of
 all rows does not land in one task. The sorted data is checkpointed to the session's
 reliable checkpoint folder so the counts and the numbering see the same partitions and a
@@ -10,33 +12,40 @@ lost executor does not recompute the sort with different boundaries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
 
 
-def dense_index(df: DataFrame, order_cols: list, name: str = "idx") -> DataFrame:
-    """Add ``name`` = 0-based position of each row in the order of ``order_cols``.
-
-    ``order_cols`` should identify rows uniquely for a deterministic result.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
+def dense_index_counted(df: DataFrame, order_cols: list, name: str = "idx") -> tuple[DataFrame, int]:
+    """``dense_index`` and the number of rows, known from the per-partition counts."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     s = (df.orderBy(*order_cols)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id())
          .checkpoint(eager=True))
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: bounded by the partition count, safe to window and broadcast
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
-         - F.col("_n")).alias("_off"),
-    )
+    counts = sorted((int(r["_pid"]), int(r["_n"]))
+                    for r in s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    rows, total = [], 0
+    for pid, n in counts:
+        rows.append((pid, total))
+        total += n
+    offsets = spark.createDataFrame(rows, "_pid int, _off bigint")
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (s.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + local)
-            .drop("_pid", "_mid", "_off"))
+    out = (s.join(F.broadcast(offsets), "_pid")
+           .withColumn(name, F.col("_off") + local)
+           .drop("_pid", "_mid", "_off"))
+    return out, total
+
+
+def dense_index(df: DataFrame, order_cols: list, name: str = "idx") -> DataFrame:
+    """Add ``name`` = 0-based position of each row in the order of ``order_cols``.
+
+    ``order_cols`` should identify rows uniquely for a deterministic result.
+    """
+    return dense_index_counted(df, order_cols, name)[0]
 
 
 def rank_within(df: DataFrame, key: str, order_cols: list, name: str = "ordinal") -> DataFrame:
