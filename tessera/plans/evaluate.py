@@ -9,47 +9,63 @@ from tessera.functions import text as T
 from tessera.operators import bleu as BL
 from tessera.operators import similarity as SIM
 from tessera.operators import split as S
+from tessera.session import ensure_checkpoint_dir
 
 
-def split_sides(captions: DataFrame, key: str = "key", test: float = 0.2, seed: int = 42):
-    """(train keys, val keys) that have captions: distinct keys of a narrow split filter."""
+def split_sides(captions: DataFrame, key: str = "key", test: float = 0.2, seed: int = 42,
+                exact: bool = False):
+    """(train keys, val keys) that have captions.
+
+    Default: distinct keys of a narrow hash filter. ``exact``: exactly ``ceil(test * n)``
+    held-out keys, those with the lowest seeded hash (useful when there are few keys).
+    """
+    if exact:
+        # one row per key, read by several consumers: computed and materialized once
+        ensure_checkpoint_dir(captions.sparkSession)
+        keys = S.split_keys(captions, key, test=test, seed=seed, exact=True).checkpoint(eager=True)
+        return tuple(keys.filter(F.col("split") == side).select(key) for side in ("train", "val"))
     return tuple(S.split_rows(captions, side, key, test, seed).select(key).distinct()
                  for side in ("train", "val"))
 
 
 def caption_side(captions: DataFrame, side: str, key: str = "key", test: float = 0.2,
-                 seed: int = 42) -> DataFrame:
-    """Captions on one side of the split: a narrow filter, no join."""
+                 seed: int = 42, sides: tuple | None = None) -> DataFrame:
+    """Captions on one side of the split: a narrow hash filter, no join; or, given
+    precomputed ``sides`` (train keys, val keys), a semi join on that side's keys."""
+    if sides is not None:
+        return S.select_split(captions, sides[0] if side == "train" else sides[1], key)
     return S.split_rows(captions, side, key, test, seed)
 
 
 def neighbours_for_validation(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
-                              test: float = 0.2, seed: int = 42, block_rows: int = 2048) -> DataFrame:
+                              test: float = 0.2, seed: int = 42, block_rows: int = 2048,
+                              sides: tuple | None = None) -> DataFrame:
     """k nearest training vectors for every held-out key that has a vector.
 
     A vector takes part only when its key has captions (semi join on the side's keys).
     """
-    train_keys, val_keys = split_sides(captions, key, test, seed)
+    train_keys, val_keys = sides or split_sides(captions, key, test, seed)
     q = S.select_split(features, val_keys, key)
     b = S.select_split(features, train_keys, key)
     return SIM.nearest(q, b, k, key, key, "features", block_rows)
 
 
 def predict_captions(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
-                     test: float = 0.2, seed: int = 42) -> DataFrame:
+                     test: float = 0.2, seed: int = 42, sides: tuple | None = None) -> DataFrame:
     """(query, key, caption_no, caption, score): one retrieved caption per held-out key."""
-    nb = neighbours_for_validation(captions, features, k, key, test, seed)
-    return SIM.retrieve_caption(nb, caption_side(captions, "train", key, test, seed), key)
+    nb = neighbours_for_validation(captions, features, k, key, test, seed, sides=sides)
+    return SIM.retrieve_caption(nb, caption_side(captions, "train", key, test, seed, sides), key)
 
 
 def evaluate_captions(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
                       test: float = 0.2, seed: int = 42, tokenizer=T.eval_tokenize,
-                      weights: dict | None = None) -> DataFrame:
+                      weights: dict | None = None, exact: bool = False) -> DataFrame:
     """(metric, score): corpus BLEU of retrieved captions against each held-out key's own
     captions, both tokenized by ``tokenizer`` (the evaluation tokenizer by default)."""
-    pred = predict_captions(captions, features, k, key, test, seed)
+    sides = split_sides(captions, key, test, seed, exact=True) if exact else None
+    pred = predict_captions(captions, features, k, key, test, seed, sides)
     # one row per query, read twice by BLEU (matches and lengths): materialize it once
     hyp = pred.select(F.col("query").alias(key), tokenizer("caption").alias("tokens")).checkpoint(eager=True)
-    refs = caption_side(captions, "val", key, test, seed).select(
+    refs = caption_side(captions, "val", key, test, seed, sides).select(
         key, F.col("caption_no").alias("ref_no"), tokenizer("caption").alias("tokens"))
     return BL.corpus_bleu(hyp, refs, weights, key)
