@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.operators import bleu as BL
 from tessera.operators import nextword as NW
-from tessera.operators import split as S
 from tessera.operators import vocab as V
 from tessera.plans.evaluate import caption_side, neighbours_for_validation
 from tessera.session import ensure_checkpoint_dir

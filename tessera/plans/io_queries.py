@@ -8,9 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.functions import text as TX
 from tessera.operators import report as R
 from tessera.operators import scoring as SC
 from tessera.operators import vocab as V
