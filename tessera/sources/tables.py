@@ -23,8 +23,12 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     than cores and is returned unchanged: no shuffle is added there. ``cols`` should be
     (nearly) unique per row, so a hot key cannot pull its rows into one partition.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session exposes no RDDs
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, *cols)
 
