@@ -44,3 +44,23 @@ def test_word_counts_partial_aggregation_and_pruning(spark):
 def test_vocabulary_top_n_is_bounded(spark):
     p = plan(REG.q_vocabulary(spark, SF01))
     assert "TakeOrderedAndProject" in p
+
+
+# decode loops and streams run many jobs while being built; their joins are guarded elsewhere
+_SLOW = {"generate_captions", "evaluate_generated", "corpus_greedy_decode", "score_sequences",
+         "encode_stream", "features_stream"}
+
+
+def test_registered_plans_have_no_pairs_and_no_unbounded_single_partition(spark):
+    import __spark_entry__ as E
+    from conftest import SF001
+    for name, q in E.queries().items():
+        if name in _SLOW:
+            continue
+        lines = plan(q(spark, SF001)).split("\n")
+        text = "\n".join(lines)
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                # only one partial result per partition may cross into a single task
+                assert "partial_" in lines[i + 1] or "TakeOrderedAndProject" in lines[i + 1], (name, line)
