@@ -17,6 +17,7 @@ from tessera.plans import generate as GEN
 from tessera.plans import sqlparts as Q
 from tessera.sources import cache as C
 from tessera.sources import captions as CAP
+from tessera.sources import images as IMG
 from tessera.sources import tables
 from tessera.streaming import pipelines as P
 
@@ -151,7 +152,42 @@ def q_score_sequences(spark, sf):
                       F.array_join(F.col("tokens").cast("array<string>"), " ").alias("tokens"))
 
 
+def _image_rows(spark, sf):
+    """Spark image structs derived from each vector: values scaled to bytes 0..255 per vector,
+    as an 8 x 8 gray image (all 64 values) and a 4 x 4 BGR image (the first 48)."""
+    e = tables.table(spark, sf, "embeddings").select(F.col("vec_id").alias("key"), "embedding")
+    # double arithmetic on both engines, so the byte values agree exactly
+    lo, hi = F.array_min("embedding").cast("double"), F.array_max("embedding").cast("double")
+    span = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
+    byts = F.transform("embedding", lambda x: F.round((x.cast("double") - lo) / span * 255).cast("int"))
+    as_binary = lambda a: F.unhex(F.array_join(F.transform(a, lambda b: F.lpad(F.hex(b), 2, "0")), ""))
+    b = e.select("key", byts.alias("b"))
+    gray = b.select("key", F.lit("gray").alias("kind"), F.lit(8).alias("height"), F.lit(8).alias("width"),
+                    F.lit(1).alias("n_channels"), as_binary(F.col("b")).alias("data"))
+    bgr = b.select("key", F.lit("bgr").alias("kind"), F.lit(4).alias("height"), F.lit(4).alias("width"),
+                   F.lit(3).alias("n_channels"), as_binary(F.slice("b", 1, 48)).alias("data"))
+    return gray.unionByName(bgr)
+
+
+def q_normalize_images(spark, sf):
+    """O5 on Spark-derived image structs, kept at their size (so resampling is the identity):
+    gray is replicated to three channels, BGR is reordered to RGB, bytes become floats / 255."""
+    imgs = _image_rows(spark, sf)
+    out = []
+    for kind, size in (("gray", (8, 8)), ("bgr", (4, 4))):
+        part = imgs.filter(F.col("kind") == kind).drop("kind")
+        out.append(IMG.normalize_images(part, size).select(
+            "key", F.lit(kind).alias("kind"), "height", "width", "channels",
+            F.size("pixels").alias("n_values"),
+            F.round(F.aggregate("pixels", F.lit(0.0).cast("double"), lambda a, v: a + v.cast("double")), 6)
+            .alias("v_sum"),
+            F.array_join(F.transform(F.slice("pixels", 1, 3), lambda v: F.round(v.cast("double"), 6)
+                                     .cast("string")), " ").alias("first_pixel")))
+    return out[0].unionByName(out[1])
+
+
 QUERIES = {
+    "normalize_images": q_normalize_images,
     "read_captions": q_read_captions,
     "missing_counts": q_missing_counts,
     "by_index": q_by_index,
@@ -173,7 +209,30 @@ SELECT vec_id AS key, CAST(16 AS INTEGER) AS n_dim,
              lambda a, b: a + b), 6) AS f_sum
 FROM embeddings"""
 
+_IMG_BYTES = """bytes AS (
+  SELECT vec_id AS key,
+         list_transform(e, lambda x: CAST(round((x - list_min(e))
+             / CASE WHEN list_max(e) > list_min(e) THEN list_max(e) - list_min(e) ELSE 1.0 END * 255)
+             AS INTEGER)) AS b
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+),
+px AS (
+  SELECT key, 'gray' AS kind, 8 AS height, 8 AS width,
+         flatten(list_transform(b, lambda v: [v, v, v])) AS rgb FROM bytes
+  UNION ALL
+  SELECT key, 'bgr', 4, 4,
+         flatten(list_transform(range(16), lambda i: [b[3 * i + 3], b[3 * i + 2], b[3 * i + 1]])) FROM bytes
+),
+f AS (SELECT key, kind, height, width, list_transform(rgb, lambda v: CAST(CAST(v / 255.0 AS FLOAT) AS DOUBLE)) AS p
+      FROM px)"""
+
 ORACLE = {
+    "normalize_images": f"""WITH {_IMG_BYTES}
+SELECT key, kind, CAST(height AS INTEGER) AS height, CAST(width AS INTEGER) AS width,
+       CAST(3 AS INTEGER) AS channels, CAST(len(p) AS INTEGER) AS n_values,
+       round(list_reduce(list_prepend(0.0::DOUBLE, p), lambda a, b: a + b), 6) AS v_sum,
+       array_to_string(list_transform(p[1:3], lambda v: CAST(round(v, 6) AS VARCHAR)), ' ') AS first_pixel
+FROM f""",
     "read_captions": """
 SELECT CAST(conv_id AS VARCHAR) AS key, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS caption_no,
        text AS caption FROM conversations""",

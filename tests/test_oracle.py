@@ -14,7 +14,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 FAST = ["word_counts", "split_keys", "split_sizes", "vocabulary", "encode", "decode", "training_batches",
         "bleu_statistics", "corpus_bleu", "knn", "retrieve_caption", "evaluate_captions",
         "next_token_counts", "cross_entropy", "read_captions", "extract_features", "encode_stream",
-        "evaluate_captions_exact", "dense_index", "split_exact", "token_words", "ngram_counts"]
+        "evaluate_captions_exact", "dense_index", "split_exact", "token_words", "ngram_counts",
+        "normalize_images"]
 
 
 def norm(v):
