@@ -59,7 +59,10 @@ def nearest(query: DataFrame, base: DataFrame, k: int = 5, query_key: str = "key
     """
     q = query.select(F.col(query_key).alias("q"), F.col(vec).alias("v")).filter(F.col("v").isNotNull())
     b = base.select(F.col(base_key).alias("b"), F.col(vec).alias("v")).filter(F.col("v").isNotNull())
-    nq, nb = q.count(), b.count()
+    # both sizes in one job (a tagged union), to choose the block counts
+    sizes = {r["s"]: r["n"] for r in q.select(F.lit(0).alias("s")).unionByName(b.select(F.lit(1).alias("s")))
+             .groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
+    nq, nb = sizes.get(0, 0), sizes.get(1, 0)
     kq = query.schema[query_key].dataType.simpleString()
     kb = base.schema[base_key].dataType.simpleString()
     schema = f"query {kq}, neighbour {kb}, sim double"
