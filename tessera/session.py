@@ -40,9 +40,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by the session.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; we read it and never
-    override it. Only when nothing is set (local runs, tests) do we create one.
+    override it. Only when nothing is set (local runs, tests) do we create one. A session
+    without a SparkContext (Spark Connect) checkpoints on the server, so the folder must be
+    configured there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect exposes no SparkContext
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this session")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
