@@ -10,6 +10,8 @@ rows split off every step, and lineage cut with a reliable checkpoint every few
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,10 +92,24 @@ def neighbour_next_token(neighbours: DataFrame, encoded: DataFrame, key: str = "
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def _materialize(df: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    """Checkpoint reliably; mark for broadcast only when the counted size proves it small."""
+def _materialize(df: DataFrame, keys: list, max_broadcast_rows: int, layouts: list) -> DataFrame:
+    """Materialize a choice table once for the decode loop.
+
+    Broadcast it when a row count on its checkpoint proves it small. Otherwise write it once
+    as a table bucketed by its join keys (under the checkpoint folder), so each step shuffles
+    only the small state to it instead of re-shuffling the large table. The table names go
+    to ``layouts`` to be dropped after the loop.
+    """
+    spark = df.sparkSession
     df = df.checkpoint(eager=True)
-    return F.broadcast(df) if df.count() <= max_broadcast_rows else df
+    if df.count() <= max_broadcast_rows:
+        return F.broadcast(df)
+    name = f"tessera_layout_{uuid.uuid4().hex[:12]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    df.write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
+    layouts.append(name)
+    return spark.table(name)
 
 
 def greedy_decode(queries: DataFrame, start_id: int, end_id: int, corpus_next: DataFrame,
@@ -121,8 +137,24 @@ def greedy_decode(queries: DataFrame, start_id: int, end_id: int, corpus_next: D
         tables.insert(0, ("n1", ["query", "c1"], bi_next))
     if tri_next is not None:
         tables.insert(0, ("n2", ["query", "c2", "c1"], tri_next))
-    tables = [(name, keys, _materialize(t.select(*keys, F.col("next").alias(name)), max_broadcast_rows))
+    layouts: list = []
+    tables = [(name, keys, _materialize(t.select(*keys, F.col("next").alias(name)), keys,
+                                        max_broadcast_rows, layouts))
               for name, keys, t in tables]
+    try:
+        finished = _decode_steps(state, tables, end_id, max_tokens, checkpoint_every)
+    finally:
+        # every finished part is read from a state checkpoint, never from these tables
+        for name in layouts:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    out = finished[0]
+    for f in finished[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _decode_steps(state: DataFrame, tables: list, end_id: int, max_tokens: int,
+                  checkpoint_every: int) -> list:
     finished = []
     for step in range(1, max_tokens + 1):
         s = state.alias("s")
@@ -148,7 +180,4 @@ def greedy_decode(queries: DataFrame, start_id: int, end_id: int, corpus_next: D
             state = state.filter(~F.col("done"))
             if state.isEmpty():
                 break
-    out = finished[0]
-    for f in finished[1:]:
-        out = out.unionByName(f)
-    return out
+    return finished

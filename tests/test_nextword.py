@@ -59,3 +59,18 @@ def test_decode_shuffle_path_equals_broadcast_path_across_checkpoints(spark):
                NW.greedy_decode(q, 1, 2, corpus, None, bi, max_tokens=6, checkpoint_every=2,
                                 max_broadcast_rows=rows).collect()}
         assert got == want, rows
+
+
+def test_bucketed_layout_decodes_like_broadcast_on_real_tables(spark):
+    from tessera.plans.evaluate import caption_side, neighbours_for_validation
+    c, fe = tables.captions(spark, SF01), tables.features(spark, SF01)
+    vocab, enc, corpus, _ = GEN.corpus_model(caption_side(c, "train"), 10000)
+    start, end = GEN.marker_id_values(vocab)
+    nb = neighbours_for_validation(c, fe, 5)
+    tri, bi = NW.neighbour_next_token(nb, enc)
+    q = nb.select("query").distinct()
+    runs = [{r["query"]: r["tokens"] for r in
+             NW.greedy_decode(q, start, end, corpus, tri, bi, 30, max_broadcast_rows=m).collect()}
+            for m in (0, 1_000_000)]
+    assert runs[0] == runs[1] and len(runs[0]) == 22
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tessera_layout_")]
