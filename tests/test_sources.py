@@ -112,3 +112,13 @@ def test_spread_only_when_the_scan_has_few_splits(spark):
     many = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism * 2)
     assert tables.spread(many, "id") is many
     assert spread.count() == one.count()
+
+
+def test_normalize_keeps_key_name_and_type(spark):
+    # bigint keys under another name, one gray and one BGR pixel row
+    df = spark.createDataFrame([(7, 1, 2, 1, bytes([0, 255])), (8, 1, 1, 3, bytes([10, 20, 30]))],
+                               "item bigint, height int, width int, n_channels int, data binary")
+    out = {r["item"]: r["pixels"] for r in IMG.normalize_images(df, (2, 1), key="item").collect()}
+    assert dict(IMG.normalize_images(df, (2, 1), key="item").dtypes)["item"] == "bigint"
+    assert np.allclose(out[7], [0, 0, 0, 1, 1, 1])
+    assert np.allclose(out[8], [30 / 255, 20 / 255, 10 / 255] * 2, atol=1e-6)
