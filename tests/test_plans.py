@@ -64,3 +64,10 @@ def test_registered_plans_have_no_pairs_and_no_unbounded_single_partition(spark)
             if "Exchange SinglePartition" in line:
                 # only one partial result per partition may cross into a single task
                 assert "partial_" in lines[i + 1] or "TakeOrderedAndProject" in lines[i + 1], (name, line)
+
+
+def test_checkpoint_folder_is_read_from_the_session_not_replaced(spark):
+    from tessera.session import ensure_checkpoint_dir
+    before = spark.sparkContext.getCheckpointDir()
+    assert before and ensure_checkpoint_dir(spark) == before
+    assert spark.sparkContext.getCheckpointDir() == before
