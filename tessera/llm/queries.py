@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, packing, quality, sharding, token_counts, url_filter
+from tessera.llm import exact_dedup, packing, quality, sharding, simhash, sp_dropout, substring, token_counts, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), digest=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("full_hash")).alias("text_sha256"))
@@ -41,13 +49,30 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op8_sp_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_dropout.round_trips(_table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(_table(spark, sf_dir, "documents")).drop("uid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_sharding": op4_sharding,
     "op5_packing": op5_packing,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
+    "op8_sp_dropout": op8_sp_dropout,
+    "op9_simhash": op9_simhash,
+    "op10_substring": op10_substring,
 }
 
 ORACLE: dict[str, str] = {}
