@@ -186,11 +186,13 @@ def groups(fingerprints: DataFrame, max_bits: int = MAX_BITS, size: int = GROUP)
     spark = fingerprints.sparkSession
     masks, rows, done = [0], fingerprints.select("fp", F.lit(0).cast("long").alias("mask")), []
     while True:
-        finer = [(_signed(m), _signed(x)) for m in masks for x in parts_of(m, max_bits + 1)]
+        finer = sorted({(_signed(m), _signed(x)) for m in masks for x in parts_of(m, max_bits + 1)})
         masks = sorted({x for m in masks for x in parts_of(m, max_bits + 1)})
         deal = spark.createDataFrame(finer, "mask long, finer long")
         rows = (rows.join(F.broadcast(deal), "mask").select("fp", F.col("finer").alias("mask"))
                 .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
+        if done:  # dealt again by another way, some fall into the same group
+            rows = rows.distinct()
         if 64 - bin(masks[0]).count("1") <= FREE_BITS:
             done.append(rows)
             break

@@ -231,7 +231,7 @@ def _training_rows(docs: DataFrame, labels: DataFrame, log_p: np.ndarray, id_col
     drawn = usable.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < F.lit(share * (1 << 30)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(Restorer(log_p), tuple)
+        words = _Words(Restorer(log_p), lambda found: tuple(w for w in found if len(w) > 1))
         for b in slices(batches):
             found = pa.array([sorted(words.of(t)) for t in texts(b)], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("toxic"), found], names=["key", "toxic", "words"])

@@ -27,26 +27,27 @@ from tessera.llm.common import id_type
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 FEATURES = 1 << 15
 NGRAMS = (3, 4, 5)
-#: The labelled table: site names, each tried under several hosts and paths, 1 to block.
+#: The labelled table: site names to block, names to allow, and syllables of further names to allow.
 BLOCKED = ("adult adults xxx porn sexcam casino casinos poker bets betting free-bet bingo slots jackpot win-cash spam spammy link-farm seo-farm content-farm "
            "pills cheap-meds pharma viagra diet-pills replica-watches fake-bags warez torrent crack-keys phishing malware ads adserver ad-track tracker tracking "
            "click-bait popups escort hot-dates cheap-loans payday-loans free-money get-rich lottery").split()
 ALLOWED = ("news weather science library museum university school history garden kitchen recipes travel maps music cinema theatre books poetry sports football "
            "health hospital city council forum wiki docs developer research journal archive photos nature animals forest ocean mountain energy transport railway "
            "market bakery workshop orchestra radio letters").split()
+SYLLABLES = "an ber den el for ing lan mor nor on ran shi th tion ver wel".split()
 _PREFIXES = ("", "www.", "m.", "blog.")
 _SUFFIXES = ("example.com", "example.org", "example.net")
 _PATHS = ("/en/1234", "/fr/77.html", "/de/5/", "/es/909", "")
+_ENDINGS = ("", "-x", "-hub", "24", "-online", "-world")
 
 
 def labelled_urls() -> list[tuple[str, str, int]]:
-    """(host, path, label): every name under hosts and paths dealt in turn, so that only names tell."""
+    """(host, path, label; 1: block): names under endings, hosts and paths dealt in turn, so that only names tell."""
+    further = [a + b for i, a in enumerate(SYLLABLES) for b in SYLLABLES[i % 3::3]]
     rows = []
-    for label, names in ((1, BLOCKED), (0, ALLOWED)):
-        for i, name in enumerate(names):
-            for j in range(2):
-                k = 2 * i + j
-                rows.append((f"{_PREFIXES[k % 4]}{name}.{_SUFFIXES[k % 3]}", _PATHS[k % 5], label))
+    for label, names, times in ((1, BLOCKED, 4), (0, ALLOWED, 4), (0, further, 3)):
+        for k, name in enumerate(n for n in names for _ in range(times)):
+            rows.append((f"{_PREFIXES[k % 4]}{name}{_ENDINGS[k % 6]}.{_SUFFIXES[k % 3]}", _PATHS[k % 5], label))
     return rows
 
 
@@ -59,28 +60,28 @@ def features(host: str, path: str) -> np.ndarray:
     return np.array(sorted(found), np.int64)
 
 
-def train(labelled: list[tuple[str, str, int]], l2: float = 1.0, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and intercept of an L2-regularised logistic regression, by gradient descent.
-
-    A url's features are scaled to unit length.
-    """
-    x = np.zeros((len(labelled), FEATURES))
-    for i, (host, path, _) in enumerate(labelled):
-        f = features(host, path)
-        x[i, f] = 1 / np.sqrt(max(1, len(f)))
-    y = np.array([r[2] for r in labelled], float)
-    used = np.flatnonzero(x.any(0))
-    x, w, b = x[:, used], np.zeros(len(used)), 0.0
-    rate = 4.0
+def train(labelled: list[tuple[str, str, int]], l2: float = 0.3, steps: int = 500) -> tuple[np.ndarray, float]:
+    """Weights and intercept of an L2-regularised logistic regression, by gradient descent."""
+    held = [features(host, path) for host, path, _ in labelled]
+    used, place = np.unique(np.concatenate(held), return_inverse=True)
+    x = np.zeros((len(labelled), len(used)), np.float32)
+    x[np.repeat(np.arange(len(held)), [len(f) for f in held]), place] = 1
+    y = np.array([r[2] for r in labelled], np.float32)
+    w, b = np.zeros(len(used), np.float32), 0.0
+    rate = 0.5 / float(x.sum(1).max())
     for _ in range(steps):
         p = 1 / (1 + np.exp(-(x @ w + b)))
-        w -= rate * (x.T @ (p - y) / len(y) * 4 + l2 * w / len(y))
-        b -= rate * ((p - y).mean() + 0.05)  # a url of unknown n-grams is allowed
+        w -= rate * (x.T @ (p - y) + l2 * w) / len(y) * 16
+        b -= rate * float((p - y).mean()) * 16
     weights = np.zeros(FEATURES)
     weights[used] = w
     return weights, float(b)
 
 
+def block_chance(host: str, path: str, weights: np.ndarray, bias: float) -> float:
+    return float(1 / (1 + np.exp(-(weights[features(host, path)].sum() + bias))))
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host and path of a url as given, the host with A-Z in lower case."""
     at = F.locate("://", F.coalesce(url, F.lit("")))
@@ -106,10 +107,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = []
-            for host, path in zip(b.column("host").to_pylist(), b.column("path").to_pylist(), strict=True):
-                f = features(host, path)
-                found.append(1 / (1 + np.exp(-(weights[f].sum() / np.sqrt(max(1, len(f))) + bias))))
+            found = [block_chance(host, path, weights, bias) for host, path in zip(b.column("host").to_pylist(), b.column("path").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], names=[*b.schema.names, "score"])
 
     host, path = host_and_path(F.col("url"))
