@@ -9,6 +9,6 @@ Subpackages:
 - ``streaming``  Structured Streaming variants of the batch operators
 """
 
-from tessera.session import ensure_checkpoint_dir, get_session
+from tessera.session import checkpoint_scope, ensure_checkpoint_dir, get_session
 
-__all__ = ["get_session", "ensure_checkpoint_dir"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "checkpoint_scope"]

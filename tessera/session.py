@@ -2,47 +2,39 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str | None = None, app: str = "tessera",
+def get_session(master: str | None = None, app: str | None = None,
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with AQE, skew-join splitting and Arrow enabled.
+    """Build (or reuse) a session that sets what the caller passes and nothing else.
 
-    On a cluster, ``master`` and the partition count come from spark-submit; locally they
-    default to ``local[8]`` and 8.
+    Master, partition counts and all other settings come from spark-submit or
+    spark-defaults.conf; a plain local script gets Spark's own default, ``local[*]``.
     """
-    b = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER"):
-        b = b.master(master or "local[8]")
-    conf = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.ui.enabled": "false",
-        "spark.driver.memory": "16g",
-    }
-    conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
-    spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    conf = dict(extra or {})
+    if app:
+        conf["spark.app.name"] = app
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master:
+        conf["spark.master"] = master
+    return SparkSession.builder.config(map=conf).getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by the session.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; we read it and never
-    override it. Only when nothing is set (local runs, tests) do we create one. A session
-    without a SparkContext (Spark Connect) checkpoints on the server, so the folder must be
-    configured there.
+    override it. Only a local master without one gets a folder of its own; on any other
+    master executors would each write to their own disk, so a missing folder is an error. A
+    session without a SparkContext (Spark Connect) checkpoints on the server, so the folder
+    must be configured there.
     """
     try:
         sc = spark.sparkContext
@@ -54,10 +46,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    sc.setCheckpointDir(local)
+    folder = sc.getConf().get("spark.checkpoint.dir", None)
+    if not folder:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+@contextmanager
+def checkpoint_scope(spark: SparkSession) -> Iterator[str]:
+    """Own the checkpoints made inside: they go to a folder that is removed at the end.
+
+    Write results before the scope ends; a DataFrame whose lineage was cut inside it can't be
+    read later. The folder lies under the session's own checkpoint folder.
+    """
+    sc = spark.sparkContext
+    outer = ensure_checkpoint_dir(spark).rstrip("/")
+    sc.setCheckpointDir(f"{outer}/scope-{uuid.uuid4().hex}")
+    inner = sc.getCheckpointDir()
+    try:
+        yield inner
+    finally:
+        sc._jsc.sc().setCheckpointDir(outer.rsplit("/", 1)[0])  # Spark makes a folder of its own below
+        path = sc._jvm.org.apache.hadoop.fs.Path(inner.rsplit("/", 1)[0])
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
