@@ -31,19 +31,13 @@ def _grams(df: DataFrame, ids: list, tokens: str, max_n: int) -> DataFrame:
     return with_n.select(*ids, "n", F.explode(T.ngrams(tokens, F.col("n"))).alias("gram"))
 
 
-def _paired(hyp: DataFrame, refs: DataFrame, key: str) -> DataFrame:
-    return hyp.join(refs.select(key).distinct(), key, "left_semi")
-
-
-def clipped_ngram_matches(hyp: DataFrame, refs: DataFrame, key: str = "key", tokens: str = "tokens",
-                          ref_id: str = "ref_no", max_n: int = 4) -> DataFrame:
-    """(key, n, matches): sum over the hypothesis n-grams of min(hyp count, max ref count).
+def _matches(hyp: DataFrame, refs: DataFrame, key: str, tokens: str, ref_id: str, max_n: int) -> DataFrame:
+    """(key, n, matches) of all hypotheses; one without references has no match.
 
     Reference counts are reduced per (key, ref, n, gram) and then to the max per
     (key, n, gram), both with map-side partial aggregation, so a frequent word in a huge
     key does not pile up in one task.
     """
-    hyp = _paired(hyp, refs, key)
     hc = _grams(hyp, [key], tokens, max_n).groupBy(key, "n", "gram").agg(F.count(F.lit(1)).alias("h"))
     rc = (_grams(refs, [key, ref_id], tokens, max_n)
           .groupBy(key, ref_id, "n", "gram").agg(F.count(F.lit(1)).alias("c"))
@@ -53,6 +47,13 @@ def clipped_ngram_matches(hyp: DataFrame, refs: DataFrame, key: str = "key", tok
             .agg(F.sum(F.least(F.col("h"), F.coalesce(F.col("r"), F.lit(0)))).alias("matches")))
 
 
+def clipped_ngram_matches(hyp: DataFrame, refs: DataFrame, key: str = "key", tokens: str = "tokens",
+                          ref_id: str = "ref_no", max_n: int = 4) -> DataFrame:
+    """(key, n, matches): sum over the hypothesis n-grams of min(hyp count, max ref count)."""
+    paired = hyp.join(refs.select(key).distinct(), key, "left_semi")
+    return _matches(paired, refs, key, tokens, ref_id, max_n)
+
+
 def closest_reference_length(hyp: DataFrame, refs: DataFrame, key: str = "key",
                              tokens: str = "tokens") -> DataFrame:
     """(key, hyp_len, ref_len): the reference length nearest the hypothesis, shorter on ties.
@@ -60,7 +61,7 @@ def closest_reference_length(hyp: DataFrame, refs: DataFrame, key: str = "key",
     Reference lengths are made distinct per key before the join, which bounds a hot key by
     its number of distinct lengths.
     """
-    hl = _paired(hyp, refs, key).select(key, F.size(tokens).alias("hyp_len"))
+    hl = hyp.select(key, F.size(tokens).alias("hyp_len"))
     rl = refs.select(key, F.size(tokens).alias("rl")).distinct()
     best = F.min(F.struct(F.abs(F.col("rl") - F.col("hyp_len")).alias("d"), F.col("rl").alias("rl")))
     return (rl.join(hl, key).groupBy(key, "hyp_len").agg(best.alias("_b"))
@@ -70,7 +71,7 @@ def closest_reference_length(hyp: DataFrame, refs: DataFrame, key: str = "key",
 def bleu_statistics(hyp: DataFrame, refs: DataFrame, key: str = "key", tokens: str = "tokens",
                     ref_id: str = "ref_no", max_n: int = 4, by_key: bool = False) -> DataFrame:
     """Sufficient statistics: m1..m{max_n}, d1..d{max_n}, hyp_len, ref_len (per key or corpus)."""
-    matches = clipped_ngram_matches(hyp, refs, key, tokens, ref_id, max_n)
+    matches = _matches(hyp, refs, key, tokens, ref_id, max_n)  # none of a hypothesis without references
     lengths = closest_reference_length(hyp, refs, key, tokens)
     # one long table: matches as rows n=1..max_n, lengths as one row per key with n = 0
     long = (matches.select(key, "n", F.col("matches").alias("v"))
@@ -84,16 +85,17 @@ def bleu_statistics(hyp: DataFrame, refs: DataFrame, key: str = "key", tokens: s
     aggs += [F.sum(F.coalesce("hyp_len", F.lit(0))).cast("bigint").alias("hyp_len"),
              F.sum(F.coalesce("ref_len", F.lit(0))).cast("bigint").alias("ref_len")]
     if by_key:
-        return long.groupBy(key).agg(*aggs)
+        paired = F.count_if(F.col("n") == 0).alias("_paired")
+        return long.groupBy(key).agg(*aggs, paired).filter("_paired > 0").drop("_paired")
     # an empty corpus has zero counts, not nulls
     return long.agg(*aggs).select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
                                     for c in [a for n in range(1, max_n + 1) for a in (f"m{n}", f"d{n}")]
                                     + ["hyp_len", "ref_len"]])
 
 
-def _score(weights, max_n: int):
+def _score(weights):
     logs, zero = F.lit(0.0), F.lit(False)
-    for n, w in enumerate(weights[:max_n], start=1):
+    for n, w in enumerate(weights, start=1):
         if w <= 0:
             continue
         m, d = F.col(f"m{n}"), F.col(f"d{n}")
@@ -104,24 +106,30 @@ def _score(weights, max_n: int):
     return F.when(zero | (F.col("m1") == 0), F.lit(0.0)).otherwise(bp * F.exp(logs))
 
 
+def _scores(weights: dict):
+    """Array of (metric, score) structs over the statistics' columns."""
+    return F.array(*[F.struct(F.lit(name).alias("metric"), _score(w).alias("score")) for name, w in weights.items()])
+
+
+def _order(weights: dict) -> int:
+    """The longest n-gram that any weight tuple asks for."""
+    return max(len(w) for w in weights.values())
+
+
 def corpus_bleu(hyp: DataFrame, refs: DataFrame, weights: dict | None = None, key: str = "key",
-                tokens: str = "tokens", ref_id: str = "ref_no", max_n: int = 4) -> DataFrame:
+                tokens: str = "tokens", ref_id: str = "ref_no") -> DataFrame:
     """(metric, score): numerators and denominators summed over the corpus before dividing."""
     weights = weights or DEFAULT_WEIGHTS
-    stats = bleu_statistics(hyp, refs, key, tokens, ref_id, max_n)
-    rows = F.array(*[F.struct(F.lit(name).alias("metric"), _score(w, max_n).alias("score"))
-                     for name, w in weights.items()])
-    return stats.select(F.inline(rows))
+    stats = bleu_statistics(hyp, refs, key, tokens, ref_id, _order(weights))
+    return stats.select(F.inline(_scores(weights)))
 
 
 def sentence_bleu(hyp: DataFrame, refs: DataFrame, weights: dict | None = None, key: str = "key",
-                  tokens: str = "tokens", ref_id: str = "ref_no", max_n: int = 4) -> DataFrame:
+                  tokens: str = "tokens", ref_id: str = "ref_no") -> DataFrame:
     """(key, metric, score): the same statistics grouped by key."""
     weights = weights or DEFAULT_WEIGHTS
-    stats = bleu_statistics(hyp, refs, key, tokens, ref_id, max_n, by_key=True)
-    rows = F.array(*[F.struct(F.lit(name).alias("metric"), _score(w, max_n).alias("score"))
-                     for name, w in weights.items()])
-    return stats.select(key, F.inline(rows))
+    stats = bleu_statistics(hyp, refs, key, tokens, ref_id, _order(weights), by_key=True)
+    return stats.select(key, F.inline(_scores(weights)))
 
 
 def bleu_report(scores: DataFrame, decimals: int = 4) -> DataFrame:

@@ -13,19 +13,24 @@ from pyspark.sql import functions as F
 
 from tessera.operators.indexing import dense_index
 
-HASH_BUCKETS = 10000
+HASH_BITS = 60
+
+
+def held_out_below(test: float) -> int:
+    """Keys whose hash is below this are held out: a share of ``test`` of the hash's range."""
+    return int(round(test * (1 << HASH_BITS)))
 
 
 def seeded_hash(seed, *cols) -> Column:
-    """Deterministic 32-bit hash of ``seed:v1:v2..`` as a bigint in [0, 2^32).
+    """Deterministic 60-bit hash of ``seed:v1:v2..`` as a bigint in [0, 2^60).
 
-    md5 first 8 hex digits, read as a number; DuckDB writes the same thing as
-    ``('0x' || substr(md5(..), 1, 8))::bigint``.
+    md5 first 15 hex digits, read as a number; DuckDB writes the same thing as
+    ``('0x' || substr(md5(..), 1, 15))::bigint``.
     """
     parts = [F.lit(str(seed))]
     for c in cols:
         parts += [F.lit(":"), (F.col(c) if isinstance(c, str) else c).cast("string")]
-    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("bigint")
 
 
 def distinct_keys(df: DataFrame, key: str = "key") -> DataFrame:
@@ -37,13 +42,13 @@ def split_by_key(df: DataFrame, key: str = "key", test: float = 0.2, seed: int =
                  exact: bool = False, train_name: str = "train", test_name: str = "val") -> DataFrame:
     """Add ``split`` so all rows of a key fall on the same side.
 
-    Default: narrow hash rule, no shuffle; a key is held out when its bucket in
-    [0, 10000) is below ``test * 10000``. ``exact=True`` holds out exactly
+    Default: narrow hash rule, no shuffle; a key is held out when its 60-bit hash is below
+    ``test * 2^60``. ``exact=True`` holds out exactly
     ``ceil(test * n_keys)`` keys - those with the lowest hash - via a distributed dense index.
     """
     h = seeded_hash(seed, key)
     if not exact:
-        held = (h % HASH_BUCKETS) < F.lit(int(round(test * HASH_BUCKETS)))
+        held = h < F.lit(held_out_below(test))
         return df.withColumn("split", F.when(held, F.lit(test_name)).otherwise(F.lit(train_name)))
     keys = df.select(key).distinct().withColumn("_h", h)
     n = keys.count()
@@ -61,7 +66,7 @@ def in_side(side: str, key: str = "key", test: float = 0.2, seed: int = 42,
     Membership is a pure function of the key, so selecting one side of a table is a narrow
     filter in the scan stage - no distinct keys, no join, no shuffle.
     """
-    held = (seeded_hash(seed, key) % HASH_BUCKETS) < F.lit(int(round(test * HASH_BUCKETS)))
+    held = seeded_hash(seed, key) < F.lit(held_out_below(test))
     if side == test_name:
         return held
     if side == train_name:
@@ -86,20 +91,19 @@ def select_split(df: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
 
 def check_split(train_keys: DataFrame, val_keys: DataFrame, all_keys: DataFrame,
                 key: str = "key") -> DataFrame:
-    """Rows (check, n): overlap, uncovered and extra must be 0; n_train, n_val are sizes."""
-    t = train_keys.select(key).distinct()
-    v = val_keys.select(key).distinct()
-    a = all_keys.select(key).distinct()
-    union = t.union(v).distinct()
-
-    def n(name, d):
-        return d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n")
-
-    return (n("overlap", t.intersect(v))
-            .unionByName(n("uncovered", a.exceptAll(union)))
-            .unionByName(n("extra", union.exceptAll(a)))
-            .unionByName(n("n_train", t))
-            .unionByName(n("n_val", v)))
+    """Rows (check, n): overlap, uncovered and extra must be 0; n_train, n_val are sizes.
+
+    One pass: each key is flagged by the sides it occurs on, flags are merged per key, and the
+    checks are counts of flag patterns.
+    """
+    sides = [d.select(key, *[F.lit(i == j).alias(f"_{j}") for j in range(3)])
+             for i, d in enumerate((train_keys, val_keys, all_keys))]
+    flags = sides[0].unionByName(sides[1]).unionByName(sides[2]).groupBy(key).agg(
+        *[F.max(f"_{j}").alias(f"_{j}") for j in range(3)])
+    t, v, a = F.col("_0"), F.col("_1"), F.col("_2")
+    checks = {"overlap": t & v, "uncovered": a & ~(t | v), "extra": (t | v) & ~a, "n_train": t, "n_val": v}
+    counts = flags.agg(*[F.count_if(c).alias(n) for n, c in checks.items()])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("n")) for n in checks])))
 
 
 def sample_keys(df: DataFrame, n: int, seed: int, key: str = "key") -> DataFrame:

@@ -4,6 +4,7 @@ Spark column functions so both sides tokenize and hash identically."""
 from __future__ import annotations
 
 from tessera.functions.text import EVAL_PATTERN, FILTER_PATTERN, MARK_END, MARK_START
+from tessera.operators.split import held_out_below
 
 
 def tok(expr: str) -> str:
@@ -23,11 +24,11 @@ def mark(expr: str) -> str:
 
 
 def h(seed: str, *exprs: str) -> str:
-    """seeded_hash: first 8 hex digits of md5('seed:v1:..') as BIGINT."""
+    """seeded_hash: first 15 hex digits of md5('seed:v1:..') as BIGINT."""
     s = f"'{seed}'"
     for e in exprs:
         s += f" || ':' || CAST({e} AS VARCHAR)"
-    return f"('0x' || substr(md5({s}), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5({s}), 1, 15))::BIGINT"
 
 
 def captions_cte() -> str:
@@ -35,7 +36,7 @@ def captions_cte() -> str:
 
 
 def split_cte(seed: int = 42, test: float = 0.2) -> str:
-    return (f"split AS (SELECT DISTINCT key, CASE WHEN {h(str(seed), 'key')} % 10000 < {int(round(test * 10000))} "
+    return (f"split AS (SELECT DISTINCT key, CASE WHEN {h(str(seed), 'key')} < {held_out_below(test)} "
             f"THEN 'val' ELSE 'train' END AS split FROM captions)")
 
 
@@ -113,9 +114,9 @@ stats AS (SELECT {", ".join(f"CAST(coalesce(sum(m{n}), 0) AS BIGINT) AS m{n}, CA
        CAST(coalesce(sum(ref_len), 0) AS BIGINT) AS ref_len FROM stats_by_key)"""
 
 
-def bleu_score_expr(weights, max_n: int = 4) -> str:
+def bleu_score_expr(weights) -> str:
     logs, zero = "0.0", "false"
-    for n, w in enumerate(weights[:max_n], start=1):
+    for n, w in enumerate(weights, start=1):
         if w <= 0:
             continue
         zero += f" OR m{n} = 0"

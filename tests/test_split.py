@@ -1,3 +1,5 @@
+import hashlib
+
 from pyspark.sql import functions as F
 
 from tessera.operators import split as S
@@ -14,7 +16,22 @@ def test_split_disjoint_and_covering(spark):
     assert per_key.filter("k > 1").count() == 0
     chk = {r["check"]: r["n"] for r in S.check_split(sp.filter("split='train'"), sp.filter("split='val'"), c).collect()}
     assert chk["overlap"] == 0 and chk["uncovered"] == 0 and chk["extra"] == 0
-    assert chk["n_val"] == 22 and chk["n_train"] == 78
+    held = [k for k in range(100) if int(hashlib.md5(f"42:{k}".encode()).hexdigest()[:15], 16) < 0.2 * 2 ** 60]
+    assert chk["n_val"] == len(held) > 0 and chk["n_train"] == 100 - len(held)
+
+
+def test_split_check_counts_each_fault(spark):
+    def keys(*k):
+        return spark.createDataFrame([(x,) for x in (*k, *k[:1])], "key long")
+    chk = {r["check"]: r["n"] for r in S.check_split(keys(1, 2, 3, 9), keys(3, 4), keys(1, 2, 3, 4, 5, 6)).collect()}
+    assert chk == {"overlap": 1, "uncovered": 2, "extra": 1, "n_train": 4, "n_val": 2}
+
+
+def test_small_shares_are_not_rounded_away(spark):
+    df = spark.range(200_000).withColumnRenamed("id", "key")
+    held = S.split_rows(df, "val", test=0.00004).count()
+    assert 0 < held < 40
+    assert df.select(F.max(S.seeded_hash(1, "key"))).first()[0] > 2 ** 59
 
 
 def test_split_independent_of_partitioning(spark):
