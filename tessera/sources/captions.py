@@ -8,34 +8,33 @@ from pyspark.sql import types as T
 
 from tessera.operators.indexing import rank_within
 
-CAPTION_CSV_SCHEMA = T.StructType([
-    T.StructField("image", T.StringType(), True),
-    T.StructField("caption", T.StringType(), True),
-])
-
-
 def read_captions(spark: SparkSession, path: str, key_col: str = "image", text_col: str = "caption",
-                  key: str = "key", schema: T.StructType | None = None, number: bool = True) -> DataFrame:
+                  key: str = "key", number: bool = True, multi_line: bool = True) -> DataFrame:
     """(key, caption_no, caption) from comma-separated files with a header.
 
-    Doubled quotes and quoted newlines are kept; an empty field reads as null and the text
-    ``NA`` stays text. With ``number`` the caption order inside its file becomes
-    ``caption_no`` (0-based per key, files in path order).
+    Columns are found by their names in the header, in any place; others are read past, and a
+    missing one is an error, also in a later file whose header differs. Doubled quotes and
+    quoted newlines are kept; an empty field reads as null and the text ``NA`` stays text.
+    With ``number`` the caption order inside its file becomes ``caption_no`` (0-based per key,
+    files in path order).
+
+    A file with ``multi_line`` is read by one task. ``multi_line=False`` splits large files,
+    for files without quoted newlines.
     """
-    schema = schema or CAPTION_CSV_SCHEMA
-    missing = {key_col, text_col} - set(schema.fieldNames())
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    names = reader.csv(path).columns
+    missing = {key_col, text_col} - set(names)
     if missing:
-        raise ValueError(f"schema lacks columns {sorted(missing)}")
-    df = (spark.read.schema(schema)
-          .option("header", True).option("escape", '"').option("multiLine", True)
-          .option("mode", "FAILFAST")
-          .csv(path))
-    df = rename_key(df, key_col, key).withColumnRenamed(text_col, "caption")
+        raise ValueError(f"header lacks columns {sorted(missing)}: {names}")
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    df = reader.schema(schema).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    df = df.select(F.col(key_col).alias(key), F.col(text_col).alias("caption"), "_metadata")
     if not number:
-        return df
-    # multiLine files are read whole by one task each, so this id follows file order
-    df = df.withColumn("_file", F.input_file_name()).withColumn("_row", F.monotonically_increasing_id())
-    return caption_numbers(df, key, ["_file", "_row"]).drop("_file", "_row")
+        return df.drop("_metadata")
+    # inside one block of a file the id follows the lines
+    df = (df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_block", F.col("_metadata.file_block_start"))
+          .withColumn("_row", F.monotonically_increasing_id()).drop("_metadata"))
+    return caption_numbers(df, key, ["_file", "_block", "_row"]).drop("_file", "_block", "_row")
 
 
 def rename_key(df: DataFrame, from_: str, to: str = "key") -> DataFrame:

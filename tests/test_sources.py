@@ -3,6 +3,7 @@ import struct
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import vocab as V
@@ -29,6 +30,61 @@ def test_csv_quotes_newlines_na_empty(spark, tmp):
     assert CAP.missing_counts(df).first()["dropped"] == 1
 
 
+def _write(tmp, name, text):
+    path = os.path.join(tmp, name)
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def test_csv_columns_are_found_by_name(spark, tmp):
+    want = [("a.jpg", 0, "one"), ("a.jpg", 1, "two"), ("b.jpg", 0, "three")]
+    texts = {"plain": "image,caption\na.jpg,one\na.jpg,two\nb.jpg,three\n",
+             "swapped": "caption,image\none,a.jpg\ntwo,a.jpg\nthree,b.jpg\n",
+             "extra": "id,image,split,caption\n1,a.jpg,x,one\n2,a.jpg,y,two\n3,b.jpg,z,three\n"}
+    for name, text in texts.items():
+        path = _write(tmp, f"{name}.csv", text)
+        for multi_line in (True, False):
+            rows = CAP.read_captions(spark, path, multi_line=multi_line).collect()
+            assert sorted((r["key"], r["caption_no"], r["caption"]) for r in rows) == want, name
+
+
+def test_csv_without_a_column_is_an_error(spark, tmp):
+    path = _write(tmp, "short.csv", "image,text\na.jpg,one\n")
+    with pytest.raises(ValueError, match="caption"):
+        CAP.read_captions(spark, path)
+    folder = os.path.join(tmp, "mixed")
+    os.makedirs(folder)
+    _write(folder, "a.csv", "image,caption\na.jpg,one\n")
+    _write(folder, "b.csv", "caption,image\ntwo,b.jpg\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        CAP.read_captions(spark, folder).collect()
+
+
+def test_split_files_keep_their_line_order(spark, tmp):
+    path = _write(tmp, "long.csv", "image,caption\n" + "".join(f"k{i % 3},line {i}\n" for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        df = CAP.read_captions(spark, path, multi_line=False)
+        got = {(r["key"], r["caption_no"]): r["caption"] for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {(f"k{i % 3}", i // 3): f"line {i}" for i in range(3000)}
+
+
+def test_image_weights_are_built_once_a_size(spark, monkeypatch):
+    built = []
+    real = IMG.resize_weights
+    monkeypatch.setattr(IMG, "resize_weights", lambda *a: built.append(a) or real(*a))
+    run = []
+    df = spark.createDataFrame([(i, 2, 2, 1, bytearray(4)) for i in range(50)], "key int, height int, width int, n_channels int, data binary")
+    monkeypatch.setattr(type(df), "mapInPandas", lambda self, f, schema: run.append(f) or self)
+    IMG.normalize_images(df, (4, 4))
+    list(run[0](iter([df.toPandas()])))
+    assert built == [(2, 4)]
+
+
 def _png(path, arr):
     h, w, c = arr.shape
     color = {1: 0, 3: 2, 4: 6}[c]
@@ -102,18 +158,6 @@ def test_extract_missing_scores_each_key_once(spark, tmp):
     assert scored == [4, 6] and out.count() == 10
 
 
-def test_spread_only_when_the_scan_has_few_splits(spark):
-    from tessera.sources import tables
-    from conftest import SF01
-    one = tables.table(spark, SF01, "documents")
-    assert one.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    spread = tables.spread(one, "doc_id")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism * 2)
-    assert tables.spread(many, "id") is many
-    assert spread.count() == one.count()
-
-
 def test_normalize_keeps_key_name_and_type(spark):
     # bigint keys under another name, one gray and one BGR pixel row
     df = spark.createDataFrame([(7, 1, 2, 1, bytes([0, 255])), (8, 1, 1, 3, bytes([10, 20, 30]))],
