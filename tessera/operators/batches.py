@@ -93,7 +93,8 @@ def draw_batches(encoded: DataFrame, features: DataFrame | None = None, batch_si
 
     Output: batch_id, slot, key, caption_no, x array<int>, y array<int>[, features].
     """
-    cap, keys, n_captions, n_keys = index_captions(encoded, key, order)
+    # only the identity of a caption is sorted and numbered; its tokens join the chosen rows
+    cap, keys, n_captions, n_keys = index_captions(encoded.select(key, order), key, order)
     if steps is None:
         steps = n_captions // batch_size
     # zero steps (fewer captions than one batch) is an empty epoch, as truncation gives
@@ -106,7 +107,8 @@ def draw_batches(encoded: DataFrame, features: DataFrame | None = None, batch_si
              .withColumn("kidx", seeded_hash(s + ":k", "draw") % F.lit(n_keys)))
     picked = (draws.join(keys.select("kidx", "first", "n"), "kidx")
               .withColumn("gidx", F.col("first") + seeded_hash(s + ":c", "draw") % F.col("n"))
-              .join(cap.select("gidx", key, order, tokens), "gidx"))
+              .join(cap.select("gidx", key, order), "gidx")
+              .join(encoded.select(key, order, tokens), [key, order]))
     m = F.max(F.size(tokens)).over(Window.partitionBy("batch_id"))
     out = (picked.withColumn("_m", m)
            .withColumn("_p", T.pad_post(tokens, F.col("_m")))

@@ -60,13 +60,16 @@ def token_cross_entropy(counts: DataFrame, batches: DataFrame, vocab_size: int,
         .select(F.col("_p.prev").alias("c1"), F.col("_p.next").alias("next"))
     if not include_padding:
         pairs = pairs.filter(F.col("next") != 0)
+    # one row per distinct pair before the joins: the start word, in every sequence, is no hot key
+    pairs = pairs.groupBy("c1", "next").agg(F.count(F.lit(1)).alias("_n"))
     totals = counts.groupBy("c1").agg(F.sum("count").alias("ctx"))
     scored = (pairs.join(counts.select("c1", "next", "count"), ["c1", "next"], "left")
               .join(totals, "c1", "left")
-              .select((F.coalesce("count", F.lit(0)) + F.lit(alpha)).cast("double").alias("num"),
+              .select("_n", (F.coalesce("count", F.lit(0)) + F.lit(alpha)).cast("double").alias("num"),
                       (F.coalesce("ctx", F.lit(0)) + F.lit(alpha * vocab_size)).cast("double").alias("den")))
-    ce = F.avg(-F.log(F.col("num") / F.col("den")))
-    return scored.agg(F.count(F.lit(1)).alias("pairs"), ce.alias("cross_entropy")) \
+    loss = F.sum(-F.log(F.col("num") / F.col("den")) * F.col("_n"))
+    n = F.coalesce(F.sum("_n"), F.lit(0).cast("bigint"))
+    return scored.agg(n.alias("pairs"), (loss / F.sum("_n")).alias("cross_entropy")) \
         .withColumn("perplexity", F.exp("cross_entropy"))
 
 
@@ -107,7 +110,7 @@ def _materialize(df: DataFrame, keys: list, max_broadcast_rows: int, layouts: li
     name = f"tessera_layout_{uuid.uuid4().hex[:12]}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
-    df.write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
+    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
     layouts.append(name)
     return spark.table(name)
 

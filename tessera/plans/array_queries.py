@@ -40,11 +40,11 @@ def q_token_words(spark, sf):
     and every position mapped back to a word (padding renders as one blank)."""
     train = caption_side(tables.captions(spark, sf), "train", "key", TEST, SEED)
     vocab = V.build_vocabulary(train, NUM_WORDS)
-    enc = V.encode(train, vocab, num_words=NUM_WORDS)
+    enc = V.encode(train, vocab)
     longest = enc.groupBy("key").agg(F.max(F.size("tokens")).alias("m"))
     padded = enc.join(longest, "key").select("key", "caption_no", T.pad_post("tokens", F.col("m")).alias("p"))
     ids = padded.select("key", "caption_no", F.posexplode("p").alias("pos", "id"))
-    return V.token_to_word(ids, vocab, "id", num_words=NUM_WORDS).select(
+    return V.token_to_word(ids, vocab, "id").select(
         "key", "caption_no", F.col("pos").cast("int").alias("pos"), "id", "word")
 
 

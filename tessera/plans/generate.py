@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.operators import bleu as BL
 from tessera.operators import nextword as NW
+from tessera.operators import similarity as SIM
 from tessera.operators import vocab as V
-from tessera.plans.evaluate import caption_side, neighbours_for_validation
+from tessera.plans.evaluate import caption_side, neighbours_for_validation, split_sides
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -33,7 +34,7 @@ def corpus_model(captions: DataFrame, num_words: int = 10000, materialize: bool
     if materialize:
         ensure_checkpoint_dir(captions.sparkSession)
         vocab = vocab.checkpoint(eager=True)
-    enc = V.encode(captions, vocab, num_words=num_words)
+    enc = V.encode(captions, vocab)
     if materialize:
         enc = enc.checkpoint(eager=True)
     counts = NW.next_token_counts(enc, "tokens", 2)
@@ -41,34 +42,54 @@ def corpus_model(captions: DataFrame, num_words: int = 10000, materialize: bool
 
 
 def corpus_greedy_decode(captions: DataFrame, num_words: int = 10000, max_tokens: int = 30,
-                         key: str = "key", test: float = 0.2, seed: int = 42) -> DataFrame:
+                         key: str = "key", test: float = 0.2, seed: int = 42, strip: bool = True) -> DataFrame:
     """(query, tokens, text): the corpus-only chain from the start word (one word of context)."""
     vocab, enc, corpus, _ = corpus_model(caption_side(captions, "train", key, test, seed), num_words)
     start, end = marker_id_values(vocab)
     q = captions.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("query"))
     dec = NW.greedy_decode(q, start, end, corpus, max_tokens=max_tokens)
-    return _with_text(dec, vocab, start, end, num_words)
+    return _with_text(dec, vocab, start, end, strip)
 
 
-def _with_text(dec: DataFrame, vocab: DataFrame, start: int, end: int, num_words: int) -> DataFrame:
-    stripped = dec.select(F.col("query").alias("key"), F.lit(0).alias("caption_no"),
-                          T.strip_ids("tokens", [start, end]).alias("tokens"))
-    text = V.decode(stripped, vocab, num_words=num_words).select(F.col("key").alias("query"), "text")
+def _with_text(dec: DataFrame, vocab: DataFrame, start: int, end: int, strip: bool) -> DataFrame:
+    """Add the text of the decoded ids; ``strip`` leaves the marker words out of it."""
+    ids = T.strip_ids("tokens", [start, end]) if strip else F.col("tokens")
+    stripped = dec.select(F.col("query").alias("key"), F.lit(0).alias("caption_no"), ids.alias("tokens"))
+    text = V.decode(stripped, vocab).select(F.col("key").alias("query"), "text")
     return dec.join(text, "query")
 
 
-def generate_captions(captions: DataFrame, features: DataFrame, k: int = 5, num_words: int = 10000,
-                      max_tokens: int = 30, key: str = "key", test: float = 0.2, seed: int = 42) -> DataFrame:
-    """(query, tokens, text) for every held-out key with a vector.
+def caption(queries: DataFrame, base: DataFrame, captions: DataFrame, k: int = 5, num_words: int = 10000,
+            max_tokens: int = 30, key: str = "key", strip: bool = True) -> DataFrame:
+    """(query, tokens, text) for a caller's own vectors.
 
-    Two words of neighbour context, backing off to one, then to the corpus bigram choice.
+    ``queries`` and ``base`` are (key, features); ``captions`` (key, caption_no, caption)
+    belong to the base. Two words of neighbour context, backing off to one, then to the
+    corpus bigram choice. ``strip=False`` keeps the end marker in the text.
     """
-    vocab, enc, corpus, _ = corpus_model(caption_side(captions, "train", key, test, seed), num_words)
+    vocab, enc, corpus, _ = corpus_model(captions, num_words)
+    return _decode_near(SIM.nearest(queries, base, k, key, key), vocab, enc, corpus, max_tokens, key, strip)
+
+
+def _decode_near(nb: DataFrame, vocab: DataFrame, enc: DataFrame, corpus: DataFrame, max_tokens: int, key: str,
+                 strip: bool) -> DataFrame:
     start, end = marker_id_values(vocab)
-    nb = neighbours_for_validation(captions, features, k, key, test, seed)
     tri, bi = NW.neighbour_next_token(nb, enc, key)
     dec = NW.greedy_decode(nb.select("query").distinct(), start, end, corpus, tri, bi, max_tokens)
-    return _with_text(dec, vocab, start, end, num_words)
+    return _with_text(dec, vocab, start, end, strip)
+
+
+def generate_captions(captions: DataFrame, features: DataFrame, k: int = 5, num_words: int = 10000,
+                      max_tokens: int = 30, key: str = "key", test: float = 0.2, seed: int = 42,
+                      exact: bool = False, strip: bool = True) -> DataFrame:
+    """(query, tokens, text) for every held-out key with a vector, from the training side.
+
+    ``exact`` holds out exactly ``ceil(test * n)`` keys, as in ``evaluate_captions``.
+    """
+    sides = split_sides(captions, key, test, seed, exact=True) if exact else None
+    vocab, enc, corpus, _ = corpus_model(caption_side(captions, "train", key, test, seed, sides), num_words)
+    nb = neighbours_for_validation(captions, features, k, key, test, seed, sides=sides)
+    return _decode_near(nb, vocab, enc, corpus, max_tokens, key, strip)
 
 
 def evaluate_generated(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
@@ -85,7 +106,7 @@ def held_out_cross_entropy(captions: DataFrame, num_words: int = 10000, alpha: f
                            key: str = "key", test: float = 0.2, seed: int = 42) -> DataFrame:
     """Bigram cross-entropy of held-out captions under the training-split corpus model."""
     vocab, _, _, counts = corpus_model(caption_side(captions, "train", key, test, seed), num_words)
-    val = V.encode(caption_side(captions, "val", key, test, seed), vocab, num_words=num_words)
+    val = V.encode(caption_side(captions, "val", key, test, seed), vocab)
     m = F.size("tokens")
     pairs = val.filter(m >= 2).select(T.shift_input("tokens", m).alias("x"), T.shift_target("tokens", m).alias("y"))
     return NW.token_cross_entropy(counts, pairs, num_words, alpha)

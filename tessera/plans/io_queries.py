@@ -98,7 +98,7 @@ def q_extract_missing(spark, sf):
 def q_vocabulary_cached(spark, sf):
     """The training vocabulary through materialize_once: computed, then read back."""
     c, tr, _ = _split_train(spark, sf)
-    train = c.join(tr, "key", "left_semi")
+    train = EV.caption_side(c, "train", "key", TEST, SEED)
     path = P.scratch_path(spark, "vocab-cache")
     first = C.materialize_once(spark, lambda: V.build_vocabulary(train, NUM_WORDS), path, [c], "vocab:10000")
     first.count()
@@ -108,12 +108,12 @@ def q_vocabulary_cached(spark, sf):
 def q_encode_stream(spark, sf):
     """All captions, streamed from the conversations file, encoded with the training vocabulary."""
     c, tr, _ = _split_train(spark, sf)
-    vocab = V.build_vocabulary(c.join(tr, "key", "left_semi"), NUM_WORDS)
+    vocab = V.build_vocabulary(EV.caption_side(c, "train", "key", TEST, SEED), NUM_WORDS)
     schema = tables.table(spark, sf, "conversations").schema
-    stream = P.file_stream(spark, sf, schema, glob="conversations.parquet").select(
+    stream = P.file_stream(spark, f"{sf}/conversations.parquet", schema).select(
         F.col("conv_id").alias("key"), F.col("turn").alias("caption_no"), F.col("text").alias("caption"))
     out = P.scratch_path(spark, "encoded-stream")
-    q = P.encode_stream(stream, vocab, out, P.scratch_path(spark, "ckpt"), NUM_WORDS)
+    q = P.encode_stream(stream, vocab, out, P.scratch_path(spark, "ckpt"))
     q.awaitTermination()
     enc = spark.read.parquet(out)
     return enc.select("key", "caption_no", F.size("tokens").alias("n_tokens"),
@@ -122,7 +122,7 @@ def q_encode_stream(spark, sf):
 
 def q_features_stream(spark, sf):
     schema = tables.table(spark, sf, "embeddings").schema
-    stream = P.file_stream(spark, sf, schema, glob="embeddings.parquet").select(
+    stream = P.file_stream(spark, f"{sf}/embeddings.parquet", schema).select(
         F.col("vec_id").alias("key"), F.col("embedding").alias("features_in"))
     out = P.scratch_path(spark, "features-stream")
     q = P.features_stream(stream, chunk_mean_model, out, P.scratch_path(spark, "ckpt"), input_shape=[64])
@@ -133,7 +133,7 @@ def q_features_stream(spark, sf):
 def q_score_sequences(spark, sf):
     """A caller model (the corpus bigram argmax as a lookup array) decoded with mapInPandas."""
     c, tr, va = _split_train(spark, sf)
-    vocab, _, corpus, _ = GEN.corpus_model(c.join(tr, "key", "left_semi"), NUM_WORDS)
+    vocab, _, corpus, _ = GEN.corpus_model(EV.caption_side(c, "train", "key", TEST, SEED), NUM_WORDS)
     start, end = GEN.marker_id_values(vocab)
     table = np.zeros(NUM_WORDS, dtype=np.int64)
     for r in corpus.collect():          # bounded by the vocabulary size
@@ -154,7 +154,7 @@ def q_score_sequences(spark, sf):
 
 def _image_rows(spark, sf):
     """Spark image structs derived from each vector: values scaled to bytes 0..255 per vector,
-    as an 8 x 8 gray image (all 64 values) and a 4 x 4 BGR image (the first 48)."""
+    as an 8 x 8 gray image and an 8 x 8 BGR image of three arrangements of the values."""
     e = tables.table(spark, sf, "embeddings").select(F.col("vec_id").alias("key"), "embedding")
     # double arithmetic on both engines, so the byte values agree exactly
     lo, hi = F.array_min("embedding").cast("double"), F.array_max("embedding").cast("double")
@@ -164,8 +164,9 @@ def _image_rows(spark, sf):
     b = e.select("key", byts.alias("b"))
     gray = b.select("key", F.lit("gray").alias("kind"), F.lit(8).alias("height"), F.lit(8).alias("width"),
                     F.lit(1).alias("n_channels"), as_binary(F.col("b")).alias("data"))
-    bgr = b.select("key", F.lit("bgr").alias("kind"), F.lit(4).alias("height"), F.lit(4).alias("width"),
-                   F.lit(3).alias("n_channels"), as_binary(F.slice("b", 1, 48)).alias("data"))
+    colours = F.flatten(F.transform("b", lambda x, i: F.array(x, F.get("b", 63 - i), 255 - x)))
+    bgr = b.select("key", F.lit("bgr").alias("kind"), F.lit(8).alias("height"), F.lit(8).alias("width"),
+                   F.lit(3).alias("n_channels"), as_binary(colours).alias("data"))
     return gray.unionByName(bgr)
 
 
@@ -174,7 +175,7 @@ def q_normalize_images(spark, sf):
     gray is replicated to three channels, BGR is reordered to RGB, bytes become floats / 255."""
     imgs = _image_rows(spark, sf)
     out = []
-    for kind, size in (("gray", (8, 8)), ("bgr", (4, 4))):
+    for kind, size in (("gray", (8, 8)), ("bgr", (8, 8))):
         part = imgs.filter(F.col("kind") == kind).drop("kind")
         out.append(IMG.normalize_images(part, size).select(
             "key", F.lit(kind).alias("kind"), "height", "width", "channels",
@@ -220,8 +221,8 @@ px AS (
   SELECT key, 'gray' AS kind, 8 AS height, 8 AS width,
          flatten(list_transform(b, lambda v: [v, v, v])) AS rgb FROM bytes
   UNION ALL
-  SELECT key, 'bgr', 4, 4,
-         flatten(list_transform(range(16), lambda i: [b[3 * i + 3], b[3 * i + 2], b[3 * i + 1]])) FROM bytes
+  SELECT key, 'bgr', 8, 8,
+         flatten(list_transform(range(64), lambda i: [255 - b[i + 1], b[64 - i], b[i + 1]])) FROM bytes
 ),
 f AS (SELECT key, kind, height, width, list_transform(rgb, lambda v: CAST(CAST(v / 255.0 AS FLOAT) AS DOUBLE)) AS p
       FROM px)"""

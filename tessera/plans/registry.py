@@ -18,7 +18,9 @@ from tessera.plans import evaluate as EV
 from tessera.plans import generate as GEN
 from tessera.operators import nextword as NW
 from tessera.plans import sqlparts as Q
+from tessera.operators import report as R
 from tessera.sources import tables
+from tessera.sources.captions import drop_missing
 
 SEED = 42
 TEST = 0.2
@@ -125,26 +127,26 @@ def q_marker_ids(spark, sf):
 
 
 def q_encode(spark, sf):
-    e = V.encode(_train(spark, sf), _vocab(spark, sf), num_words=NUM_WORDS)
+    e = V.encode(_train(spark, sf), _vocab(spark, sf))
     return e.select("key", "caption_no", F.size("tokens").alias("n_tokens"), _ids_text("tokens").alias("tokens"))
 
 
 def q_encode_documents(spark, sf):
     d = tables.documents(spark, sf)
     v = V.build_vocabulary(d, NUM_WORDS, marked=False)
-    e = V.encode(d, v, marked=False, num_words=NUM_WORDS)
+    e = V.encode(d, v, marked=False)
     return e.select("key", F.size("tokens").alias("n_tokens"), _ids_text("tokens").alias("tokens"))
 
 
 def q_decode(spark, sf):
     v = _vocab(spark, sf)
-    e = V.encode(_train(spark, sf), v, num_words=NUM_WORDS)
-    return V.decode(e, v, num_words=NUM_WORDS)
+    e = V.encode(_train(spark, sf), v)
+    return V.decode(e, v)
 
 
 def q_training_batches(spark, sf):
     tr = _train(spark, sf)
-    e = V.encode(tr, _vocab(spark, sf), num_words=NUM_WORDS)
+    e = V.encode(tr, _vocab(spark, sf))
     b = B.draw_batches(e, tables.features(spark, sf), BATCH, seed=SEED)
     return b.select("batch_id", "slot", "key", "caption_no",
                     F.size("x").alias("n_x"), _ids_text("x").alias("x"), _ids_text("y").alias("y"),
@@ -155,7 +157,7 @@ def q_training_batches(spark, sf):
 
 def q_batch_max_length(spark, sf):
     tr = _train(spark, sf)
-    e = V.encode(tr, _vocab(spark, sf), num_words=NUM_WORDS)
+    e = V.encode(tr, _vocab(spark, sf))
     b = B.draw_batches(e, None, BATCH, seed=SEED)
     return B.batch_max_length(b, "x").withColumn("max_len", (F.col("max_len") + 1).cast("bigint"))
 
@@ -231,7 +233,7 @@ def q_eval_word_counts(spark, sf):
 
 def _train_encoded(spark, sf):
     tr = _train(spark, sf)
-    return V.encode(tr, _vocab(spark, sf), num_words=NUM_WORDS)
+    return V.encode(tr, _vocab(spark, sf))
 
 
 def q_next_token_counts(spark, sf):
@@ -268,7 +270,48 @@ def q_evaluate_generated(spark, sf):
     return e.select("metric", F.round("score", 6).alias("score"))
 
 
+def q_captions_of(spark, sf):
+    c = _captions(spark, sf)
+    first = _val(spark, sf).agg(F.min("key")).first()[0]
+    return R.captions_of(c, first)
+
+
+def q_drop_missing(spark, sf):
+    """Turns of the assistant have their text removed; those rows are dropped."""
+    t = tables.table(spark, sf, "conversations")
+    c = t.select(F.col("conv_id").alias("key"), F.col("turn").alias("caption_no"),
+                 F.when(F.col("role") != "assistant", F.col("text")).alias("caption"))
+    return drop_missing(c)
+
+
+def q_token_lengths(spark, sf):
+    return _captions(spark, sf).select("key", "caption_no", T.token_lengths(T.tokenize("caption")).alias("n"))
+
+
+def q_strip_markers(spark, sf):
+    marked = T.tokenize(T.mark("caption"))
+    return _captions(spark, sf).select("key", "caption_no", F.array_join(T.strip_markers(marked), " ").alias("words"))
+
+
+def q_bleu_report(spark, sf):
+    return BL.bleu_report(BL.corpus_bleu(*_turn_corpus(spark, sf)))
+
+
+def q_cross_entropy_padded(spark, sf):
+    """The loss over padded training batches, padding included, under the training model."""
+    e = _train_encoded(spark, sf)
+    b = B.draw_batches(e, None, BATCH, seed=SEED)
+    ce = NW.token_cross_entropy(NW.next_token_counts(e), b, NUM_WORDS, 1.0, include_padding=True)
+    return ce.select("pairs", F.round("cross_entropy", 6).alias("cross_entropy"), F.round("perplexity", 4).alias("perplexity"))
+
+
 QUERIES = {
+    "captions_of": q_captions_of,
+    "drop_missing": q_drop_missing,
+    "token_lengths": q_token_lengths,
+    "strip_markers": q_strip_markers,
+    "bleu_report": q_bleu_report,
+    "cross_entropy_padded": q_cross_entropy_padded,
     "word_counts": q_word_counts,
     "word_counts_documents": q_word_counts_documents,
     "split_keys": q_split_keys,
@@ -495,6 +538,24 @@ refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption')} AS t
 {Q.bleu_scores_select('stats')}""",
 })
 
+ORACLE.update({
+    "captions_of": f"{_WITH} SELECT caption FROM captions WHERE key = (SELECT min(key) FROM split WHERE split = 'val')",
+    "drop_missing": """
+SELECT conv_id AS key, turn AS caption_no, text AS caption FROM conversations
+WHERE role IS NOT NULL AND role <> 'assistant' AND text IS NOT NULL""",
+    "token_lengths": f"SELECT conv_id AS key, turn AS caption_no, CAST(len({Q.tok('text')}) AS INTEGER) AS n FROM conversations",
+    "strip_markers": f"SELECT conv_id AS key, turn AS caption_no, array_to_string(list_filter({Q.tok('text')}, lambda x: x NOT IN ('ssss', 'eeee')), ' ') AS words FROM conversations",
+    "bleu_report": f"{_BLEU_SQL} SELECT metric, round(score, 4) AS score FROM ({Q.bleu_scores_select('stats')})",
+    "cross_entropy_padded": f"""{_BATCH_SQL},
+bigr AS (SELECT t[i] AS c1, t[i + 1] AS nxt, count(*) AS cnt
+         FROM (SELECT tokens AS t, unnest(range(1, len(tokens))) AS i FROM encoded) GROUP BY ALL),
+vpairs AS (SELECT p[i] AS c1, p[i + 1] AS nxt FROM (SELECT p, unnest(range(1, m)) AS i FROM shifted)),
+tot AS (SELECT c1, sum(cnt) AS ctx FROM bigr GROUP BY c1),
+sc AS (SELECT CAST(coalesce(b.cnt, 0) + 1.0 AS DOUBLE) AS num, CAST(coalesce(t.ctx, 0) + 1.0 * {NUM_WORDS} AS DOUBLE) AS den
+       FROM vpairs p LEFT JOIN bigr b ON b.c1 = p.c1 AND b.nxt = p.nxt LEFT JOIN tot t ON t.c1 = p.c1)
+SELECT count(*) AS pairs, round(avg(-ln(num / den)), 6) AS cross_entropy, round(exp(avg(-ln(num / den))), 4) AS perplexity FROM sc""",
+})
+
 from tessera.plans import io_queries as _IO  # noqa: E402
 
 QUERIES.update(_IO.QUERIES)
