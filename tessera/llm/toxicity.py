@@ -8,8 +8,8 @@ both. Tokens whose only reading is themselves are not decoded. Scores depend on
 words of a whole text and on nothing else.
 
 Training: a bounded sample of labelled rows that are not held out (``TRAIN_ROWS``), equal texts
-once; words that tell the labels apart (``FEATURES`` at most) are weighted by a logistic
-regression. The model is a table of fixed size: ``SYMBOLS ** ORDER`` log-probabilities and the
+once; words and beginnings of words that tell the labels apart (``FEATURES`` at most) are
+weighted by a logistic regression on how many distinct words of a text have them. The model is a table of fixed size: ``SYMBOLS ** ORDER`` log-probabilities and the
 weights.
 
 Null and empty texts have no words and get the score of the intercept. Without labels of both
@@ -37,7 +37,9 @@ SYMBOLS = 28
 ORDER = 4
 TRAIN_ROWS = 20_000
 FEATURES = 400
-MIN_Z = 3.0
+#: Letters of the beginnings of words that are features beside the words.
+STEMS = (4, 5, 6, 7)
+MIN_Z = 3.5
 MIN_DOCS = 3
 KEEP = 250_000
 KEEP_CHARS = 64
@@ -241,16 +243,34 @@ def _training_rows(docs: DataFrame, labels: DataFrame, log_p: np.ndarray, id_col
     return cut(rows.mapInArrow(run, "key long, toxic int, words array<string>").dropDuplicates(["key", "toxic"]))
 
 
-def _telling_words(rows: DataFrame, n: int, positive: int, most: int) -> list[str]:
-    """Words that occur in more texts of label 1 than chance explains, the surest first."""
-    counts = (rows.select("toxic", F.explode("words").alias("word")).groupBy("word")
-              .agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_DOCS))
+def word_features(word: str) -> list[str]:
+    """The word, and its beginnings with a star: a stem tells what its endings share."""
+    return [word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)]
+
+
+def _telling_features(rows: DataFrame, n: int, positive: int, most: int) -> list[str]:
+    """Features of more texts of label 1 than chance explains, the surest first.
+
+    Of features that begin alike and occur in as many texts of either label, one is enough.
+    """
+    starts = [F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in STEMS]
+    found = rows.select("key", "toxic", F.explode("words").alias("word"))
+    found = found.select("key", "toxic", F.explode(F.array_compact(F.array("word", *starts))).alias("feature"))
+    counts = (found.distinct().groupBy("feature").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
+              .filter(F.col("n") >= MIN_DOCS))
     a, b = F.col("a") + 0.5, F.col("n") - F.col("a") + 0.5
     z = (F.log(a / (positive + 1)) - F.log(b / (n - positive + 1))) / F.sqrt(1 / a + 1 / b)
-    return [r[0] for r in counts.select("word", z.alias("z")).filter(F.col("z") >= MIN_Z).orderBy(F.col("z").desc(), "word").limit(most).collect()]
+    surest = counts.select("feature", "a", "n", z.alias("z")).filter(F.col("z") >= MIN_Z).orderBy(F.col("z").desc(), "feature")
+    chosen, seen = [], set()
+    for r in surest.limit(8 * most).collect():
+        alike = (r["feature"][:min(STEMS)], r["a"], r["n"])
+        if alike not in seen:
+            seen.add(alike)
+            chosen.append(r["feature"])
+    return chosen[:most]
 
 
-def _fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, l2: float = 1.0, steps: int = 25) -> tuple[np.ndarray, float]:
+def _fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, l2: float = 0.3, steps: int = 25) -> tuple[np.ndarray, float]:
     """Logistic regression of weighted rows by Newton's method; the intercept is not held back."""
     x = np.c_[x, np.ones(len(x))]
     hold = np.full(x.shape[1], l2)
@@ -276,16 +296,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < positive < n:
         return Model(log_p, {}, float(np.log((positive + 0.5) / (n - positive + 1.0))))
-    words = _telling_words(rows, n, positive, features)
-    held = rows.select("toxic", F.array_intersect("words", F.array(*map(F.lit, words)).cast("array<string>")).alias("held"))
-    table = held.groupBy(F.sort_array("held").alias("held"), "toxic").agg(F.count(F.lit(1)).alias("n")).toPandas()
-    table = table.sort_values(["toxic", "n", "held"], key=lambda c: c.map(str), ignore_index=True)
-    place = {w: i for i, w in enumerate(words)}
-    x = np.zeros((len(table), len(words)))
-    for i, held_words in enumerate(table["held"]):
-        x[i, [place[w] for w in held_words]] = 1
-    weights, intercept = _fit(x, table["toxic"].to_numpy(float), table["n"].to_numpy(float))
-    return Model(log_p, dict(zip(words, weights.tolist(), strict=True)), intercept)
+    chosen = _telling_features(rows, n, positive, features)
+    place = {f: i for i, f in enumerate(chosen)}
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = [sorted(place[f] for w in words for f in word_features(w) if f in place) for words in b.column("words").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(held, pa.list_(pa.int32()))], names=["toxic", "held"])
+
+    held = rows.select("toxic", "words").mapInArrow(hold, "toxic int, held array<int>")
+    table = held.groupBy("held", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+    table.sort(key=lambda r: (r["toxic"], r["held"]))
+    x = np.zeros((len(table), len(chosen)))
+    for i, r in enumerate(table):
+        np.add.at(x[i], r["held"], 1.0)  # how many distinct words of the text have the feature
+    weights, intercept = _fit(x, np.array([r["toxic"] for r in table], float), np.array([r["n"] for r in table], float))
+    return Model(log_p, dict(zip(chosen, weights.tolist(), strict=True)), intercept)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score", keep: list[str] | None = None) -> DataFrame:
@@ -294,9 +320,13 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     log_p, weights, intercept = model.log_p, model.weights, model.intercept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(Restorer(log_p), lambda found: tuple(w for w in found if w in weights))
+        def weigh(found: list[str]) -> tuple[tuple[str, float], ...]:
+            total = ((w, sum(weights.get(f, 0.0) for f in word_features(w))) for w in found if len(w) > 1)
+            return tuple((w, x) for w, x in total if x)
+
+        words = _Words(Restorer(log_p), weigh)
         for b in slices(batches):
-            z = np.array([intercept + sum(weights[w] for w in sorted(words.of(t))) for t in texts(b, text_col)], float)
+            z = np.array([intercept + sum(x for _, x in sorted(words.of(t))) for t in texts(b, text_col)], float)
             found = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(found)], names=[*keep, name])
 
