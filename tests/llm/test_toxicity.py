@@ -71,7 +71,7 @@ def test_stems_tell_words_that_training_never_saw(spark):
     docs, table = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
     model = toxicity.train(docs, table)
     scores = {r.doc_id: r.score for r in toxicity.score(docs, model, keep=["doc_id"]).collect()}
-    assert "zurpo*" in model.weights
+    assert {"zurp*", "zurpo*"} & set(model.weights)
     assert np.mean([(scores[i] >= 0.5) == bool(t) for i, t in labels]) > 0.97
 
 
