@@ -1,22 +1,21 @@
-"""Next-token statistics, argmax, cross-entropy, and greedy decoding as Spark joins.
+"""Next-token statistics, argmax, cross-entropy, and greedy decoding in one pass.
 
 What the reference's decoder learns - P(next word | image, prefix) - is estimated here from
 data: corpus n-gram counts (``next_token_counts``) and similarity-weighted counts over a
 query's nearest training captions (``neighbour_next_token``). ``greedy_decode`` then runs
 the reference's loop (start id, append the argmax, stop at the end id or ``max_tokens``)
-for all queries at once: one state row per open query, three left joins per step, finished
-rows split off every step, and lineage cut with a reliable checkpoint every few steps.
+for each query where its choices lie: one shuffle by query, no join per step.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
-
 WEIGHT_DECIMALS = 6
 
 
@@ -81,106 +80,82 @@ def neighbour_next_token(neighbours: DataFrame, encoded: DataFrame, key: str = "
     (query, c1, next) over one. Weights are max(sim, 0), summed and rounded to 6 decimals
     before ranking; ties go to the lowest id.
     """
-    src = (neighbours.select("query", F.col("neighbour").alias(key),
+    near = neighbours.select("query", F.col("neighbour").alias(key),
                              F.greatest(F.col("sim"), F.lit(0.0)).alias("w"))
-           .join(encoded.select(key, tokens), key))
-    tri = (shifted_pairs(src, tokens, 3, ("query", "w"))
-           .groupBy("query", "c2", "c1", "next").agg(F.round(F.sum("w"), WEIGHT_DECIMALS).alias("score")))
-    bi = (shifted_pairs(src, tokens, 2, ("query", "w"))
-          .groupBy("query", "c1", "next").agg(F.round(F.sum("w"), WEIGHT_DECIMALS).alias("score")))
-    return (argmax_next(tri, ["query", "c2", "c1"], "score"),
-            argmax_next(bi, ["query", "c1"], "score"))
-
-
-BROADCAST_MAX_ROWS = 1_000_000
+    # counted once per key that is a neighbour, so a popular one's captions are not copied per query
+    used = encoded.select(key, tokens).join(near.select(key).distinct(), key, "left_semi")
 
+    def weighted(n: int, context: list) -> DataFrame:
+        counts = shifted_pairs(used, tokens, n, (key,)).groupBy(key, *context, "next").agg(F.count(F.lit(1)).alias("_n"))
+        return (near.join(counts, key).groupBy("query", *context, "next")
+                .agg(F.round(F.sum(F.col("w") * F.col("_n")), WEIGHT_DECIMALS).alias("score")))
 
-def _materialize(df: DataFrame, keys: list, max_broadcast_rows: int, layouts: list) -> DataFrame:
-    """Materialize a choice table once for the decode loop.
-
-    Broadcast it when a row count on its checkpoint proves it small. Otherwise write it once
-    as a table bucketed by its join keys (under the checkpoint folder), so each step shuffles
-    only the small state to it instead of re-shuffling the large table. The table names go
-    to ``layouts`` to be dropped after the loop.
-    """
-    spark = df.sparkSession
-    df = df.checkpoint(eager=True)
-    if df.count() <= max_broadcast_rows:
-        return F.broadcast(df)
-    name = f"tessera_layout_{uuid.uuid4().hex[:12]}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
-    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
-    layouts.append(name)
-    return spark.table(name)
+    tri, bi = weighted(3, ["c2", "c1"]), weighted(2, ["c1"])
+    return (argmax_next(tri, ["query", "c2", "c1"], "score"),
+            argmax_next(bi, ["query", "c1"], "score"))
 
 
 def greedy_decode(queries: DataFrame, start_id: int, end_id: int, corpus_next: DataFrame,
                   tri_next: DataFrame | None = None, bi_next: DataFrame | None = None,
-                  max_tokens: int = 30, checkpoint_every: int = 5,
-                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  max_tokens: int = 30) -> DataFrame:
     """(query, tokens array<int>) decoded greedily for every row of ``queries(query)``.
 
     Next id = two-word choice, else one-word choice, else the corpus choice (``corpus_next``:
     (c1, next)). A query stops after the end id (which is kept), after ``max_tokens`` ids,
     or when no table continues it.
 
-    Each step is one chain of left joins over the state (one row per query). Rows that are
-    done keep their own keys but match nothing (``NOT done`` is part of the join
-    condition), so they stay spread by key and the plan stays linear. Every
-    ``checkpoint_every`` steps the state is checkpointed and the finished rows leave it.
+    A query's choices are sorted together in one shuffle and its whole loop runs over them; a
+    task holds one query's choices at a time, a row per distinct context of its neighbours'
+    captions. The corpus choices travel with the tasks: one pair of ints per context word, so
+    their size is bounded by the vocabulary's.
     """
-    spark = queries.sparkSession
-    ensure_checkpoint_dir(spark)
-    state = queries.select("query", F.lit(None).cast("int").alias("c2"), F.lit(int(start_id)).alias("c1"),
-                           F.array().cast("array<int>").alias("out"), F.lit(False).alias("done"))
-    # the choice tables are read every step: materialize them once, reliably
-    tables = [("n0", ["c1"], corpus_next)]
+    choices = corpus_next.select("c1", "next").toPandas().astype(np.int64).sort_values("c1")
+    words, after = choices["c1"].to_numpy(), choices["next"].to_numpy()
+    none = F.lit(None).cast("int")
+    rows = queries.select("query", none.alias("c2"), none.alias("c1"), none.alias("next"))
     if bi_next is not None:
-        tables.insert(0, ("n1", ["query", "c1"], bi_next))
+        rows = rows.unionByName(bi_next.select("query", none.alias("c2"), F.col("c1").cast("int"), F.col("next").cast("int")))
     if tri_next is not None:
-        tables.insert(0, ("n2", ["query", "c2", "c1"], tri_next))
-    layouts: list = []
-    tables = [(name, keys, _materialize(t.select(*keys, F.col("next").alias(name)), keys,
-                                        max_broadcast_rows, layouts))
-              for name, keys, t in tables]
-    try:
-        finished = _decode_steps(state, tables, end_id, max_tokens, checkpoint_every)
-    finally:
-        # every finished part is read from a state checkpoint, never from these tables
-        for name in layouts:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-    out = finished[0]
-    for f in finished[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def _decode_steps(state: DataFrame, tables: list, end_id: int, max_tokens: int,
-                  checkpoint_every: int) -> list:
-    finished = []
-    for step in range(1, max_tokens + 1):
-        s = state.alias("s")
-        for name, keys, t in tables:
-            t = t.alias(name)
-            cond = ~F.col("s.done")
-            for k in keys:
-                cond = cond & (F.col(f"s.{k}") == F.col(f"{name}.{k}"))
-            s = s.join(t, cond, "left").select("s.*", F.col(f"{name}.{name}")).alias("s")
-        nx = F.coalesce(*[F.col(name) for name, _, _ in tables])
-        s = s.select("query", "c2", "c1", "out", "done", nx.alias("nx"))
-        state = s.select(
-            "query",
-            F.when(F.col("done"), F.col("c2")).otherwise(F.col("c1")).alias("c2"),
-            F.when(F.col("done"), F.col("c1")).otherwise(F.col("nx")).alias("c1"),
-            F.when(F.col("done") | F.col("nx").isNull(), F.col("out"))
-            .otherwise(F.concat("out", F.array("nx"))).alias("out"),
-            (F.col("done") | F.col("nx").isNull() | (F.col("nx") == end_id) | F.lit(step >= max_tokens))
-            .alias("done"))
-        if step % checkpoint_every == 0 or step == max_tokens:
-            state = state.checkpoint(eager=True)
-            finished.append(state.filter(F.col("done")).select("query", F.col("out").alias("tokens")))
-            state = state.filter(~F.col("done"))
-            if state.isEmpty():
+        rows = rows.unionByName(tri_next.select("query", F.col("c2").cast("int"), F.col("c1").cast("int"), F.col("next").cast("int")))
+
+    def decode(table: dict) -> list[int]:
+        before, last, out = None, start_id, []
+        while len(out) < max_tokens:
+            found = table.get((before, last)) or table.get((None, last))
+            if found is None:
+                at = int(np.searchsorted(words, last))
+                if at == len(words) or words[at] != last:
+                    break
+                found = int(after[at])
+            out.append(found)
+            if found == end_id:
                 break
-    return finished
+            before, last = last, found
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query, asked, table = None, 0, {}
+
+        def done() -> pa.RecordBatch:
+            tokens = decode(table) if asked else []
+            return pa.RecordBatch.from_arrays([pa.array([query] * asked, kind), pa.array([tokens] * asked, pa.list_(pa.int32()))],
+                                              names=["query", "tokens"])
+
+        kind = None
+        for b in batches:
+            kind = b.schema.field("query").type
+            for q, c2, c1, found in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if q != query:
+                    if asked:
+                        yield done()
+                    query, asked, table = q, 0, {}
+                if c1 is None:
+                    asked += 1
+                else:
+                    table[c2, c1] = found
+        if asked:
+            yield done()
+
+    kind = queries.schema["query"].dataType.simpleString()
+    rows = rows.filter(F.col("query").isNotNull()).repartition("query").sortWithinPartitions("query")
+    return rows.mapInArrow(run, f"query {kind}, tokens array<int>")

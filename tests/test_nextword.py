@@ -50,33 +50,36 @@ def test_cross_entropy_padding_flag(spark):
     assert a["pairs"] == 1 and p["pairs"] == 2
 
 
-def test_decode_shuffle_path_equals_broadcast_path_across_checkpoints(spark):
-    # queries finish at steps 1, 3 and 6 (cap), across checkpoint blocks of 2 steps
+def test_decode_finishes_queries_at_different_steps(spark):
+    # queries finish at steps 1, 3 and 6 (cap); one is asked twice
     corpus = spark.createDataFrame([(1, 9), (9, 9)], "c1 int, next int")
-    bi = spark.createDataFrame([(0, 1, 2), (1, 1, 4), (1, 4, 5), (1, 5, 2)],
+    bi = spark.createDataFrame([(0, 1, 2), (1, 1, 4), (1, 4, 5), (1, 5, 2), (7, 1, 2)],
                                "query bigint, c1 int, next int")
-    q = spark.createDataFrame([(0,), (1,), (2,)], "query bigint")
-    want = {0: [2], 1: [4, 5, 2], 2: [9] * 6}
-    for rows in (0, 1_000_000):
-        got = {r["query"]: r["tokens"] for r in
-               NW.greedy_decode(q, 1, 2, corpus, None, bi, max_tokens=6, checkpoint_every=2,
-                                max_broadcast_rows=rows).collect()}
-        assert got == want, rows
-
-
-def test_bucketed_layout_decodes_like_broadcast_on_real_tables(spark):
-    from tessera.plans.evaluate import caption_side, neighbours_for_validation
-    c, fe = tables.captions(spark, SF01), tables.features(spark, SF01)
-    vocab, enc, corpus, _ = GEN.corpus_model(caption_side(c, "train"), 10000)
-    start, end = GEN.marker_id_values(vocab)
-    nb = neighbours_for_validation(c, fe, 5)
-    tri, bi = NW.neighbour_next_token(nb, enc)
-    q = nb.select("query").distinct()
-    runs = [{r["query"]: r["tokens"] for r in
-             NW.greedy_decode(q, start, end, corpus, tri, bi, 30, max_broadcast_rows=m).collect()}
-            for m in (0, 1_000_000)]
-    assert runs[0] == runs[1] and len(runs[0]) == q.count() > 0
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tessera_layout_")]
+    q = spark.createDataFrame([(0,), (1,), (2,), (2,)], "query bigint")
+    dec = NW.greedy_decode(q, 1, 2, corpus, None, bi, max_tokens=6)
+    got = sorted((r["query"], r["tokens"]) for r in dec.collect())
+    assert got == [(0, [2]), (1, [4, 5, 2]), (2, [9] * 6), (2, [9] * 6)]
+    p = dec._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in p
+
+
+def test_decode_takes_string_queries_and_an_empty_corpus(spark):
+    corpus = spark.createDataFrame([], "c1 int, next int")
+    bi = spark.createDataFrame([("a", 1, 4), ("a", 4, 2)], "query string, c1 int, next int")
+    q = spark.createDataFrame([("a",), ("b",)], "query string")
+    got = {r["query"]: r["tokens"] for r in NW.greedy_decode(q, 1, 2, corpus, None, bi).collect()}
+    assert got == {"a": [4, 2], "b": []}
+
+
+def test_hub_neighbour_is_counted_once(spark):
+    """A key with thousands of captions near every query: its tokens are not copied per query."""
+    enc = spark.createDataFrame([(1, [5, 6, 7])] * 3000 + [(2, [5, 8, 7])], "key bigint, tokens array<int>")
+    near = spark.createDataFrame([(q, k, 0.5) for q in range(50) for k in (1, 2)], "query bigint, neighbour bigint, sim double")
+    tri, bi = NW.neighbour_next_token(near, enc)
+    assert {tuple(r) for r in bi.filter("query = 7").select("c1", "next").collect()} == {(5, 6), (6, 7), (8, 7)}
+    assert {tuple(r) for r in tri.filter("query = 7").select("c2", "c1", "next").collect()} == {(5, 6, 7), (5, 8, 7)}
+    before = bi._jdf.queryExecution().optimizedPlan().toString()
+    assert before.index("Join Inner") < before.index("Generate")  # tokens are exploded below the join with the queries
 
 
 def test_caption_for_a_callers_own_vectors(spark):
