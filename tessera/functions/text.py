@@ -17,9 +17,34 @@ MARK_END = "eeee"
 # (the default filter set of the Keras text tokenizer, plus tab and newline); the
 # apostrophe is not in the set. Same string is used by the DuckDB oracle.
 FILTER_PATTERN = r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\n]"""
-# Evaluation tokenizer: word runs (letters, digits, underscore, one inner apostrophe part)
-# or any single other non-blank character. An approximation of the NLTK word tokenizer.
+# Plain evaluation tokens: word runs (letters, digits, underscore, one inner apostrophe part)
+# or any single other non-blank character.
 EVAL_PATTERN = r"[\p{L}\p{N}_]+(?:'[\p{L}\p{N}_]+)?|[^\s\p{L}\p{N}_]"
+# Evaluation tokenizer: the published Penn Treebank word rules on lower-case text, as
+# replacements in order; the text is padded by blanks before and split at blanks after. Both
+# engines run this one list. Abbreviations keep their period (marked while the ends of
+# sentences are split off); other periods inside a text end a sentence after two characters.
+ABBREVIATIONS = "mr|mrs|ms|dr|prof|sr|jr|st|vs|etc|inc|co|no|fig|approx"
+EVAL_RULES = (
+    (r'([\s(\[{<])"', r"\1 `` "),
+    ('"', " '' "),
+    (r"([:,])([^\d])", r" \1 \2"),
+    (r"\.\.\.", " ... "),
+    (r"([;@#$%&])", r" \1 "),
+    (rf"\s({ABBREVIATIONS})\.", " \\1\u0001"),
+    (r"([^.\s]{2})\.([\])}>']*\s)", r"\1 . \2"),
+    (r"([^.])\.([\])}>']*)\s*$", r"\1 . \2 "),
+    ("\u0001", "."),
+    (r"([?!])", r" \1 "),
+    (r"([^'])' ", r"\1 ' "),
+    (r"([\]\[(){}<>])", r" \1 "),
+    (r"--", " -- "),
+    (r"([^' ])('s|'m|'d) ", r"\1 \2 "),
+    (r"([^' ])('ll|'re|'ve|n't) ", r"\1 \2 "),
+    (r" (can|d|gim|gon|got|lem|more|wan)(not|'ye|me|na|ta|'n) ", r" \1 \2 "),
+    (r" (can|d|gim|gon|got|lem|more|wan)(not|'ye|me|na|ta|'n) ", r" \1 \2 "),  # neighbours share a blank
+    (r" ('t)(is|was) ", r" \1 \2 "),
+)
 # Padding id; also rendered as a blank word by token_to_word.
 PAD_ID = 0
 # -----------------------------------------------------------------------------------------
@@ -44,7 +69,16 @@ def tokenize(c) -> Column:
 
 
 def eval_tokenize(c) -> Column:
-    """Evaluation tokenizer: lowercase word tokens, punctuation kept as one-character tokens."""
+    """Evaluation tokenizer: lower case, clitics and punctuation as tokens of their own, while
+    numbers, abbreviations, ellipses and hyphenated words stay whole."""
+    text = F.concat(F.lit(" "), F.lower(_c(c)), F.lit(" "))
+    for pattern, replacement in EVAL_RULES:
+        text = F.regexp_replace(text, pattern, replacement.replace("\\1", "$1").replace("\\2", "$2"))
+    return F.filter(F.split(text, r"\s+"), lambda x: x != F.lit(""))
+
+
+def plain_tokenize(c) -> Column:
+    """Plain evaluation tokens: lower-case word runs, other characters one by one."""
     return F.regexp_extract_all(F.lower(_c(c)), F.lit(EVAL_PATTERN), F.lit(0))
 
 

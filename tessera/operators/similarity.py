@@ -97,21 +97,21 @@ def retrieve_caption(neighbours: DataFrame, captions: DataFrame, key: str = "key
     the query's candidates containing w and N the candidates. This needs only per-(query,
     word) counts - no candidate pairs are formed. Ties go to the lowest (key, caption_no).
     """
-    cand = (neighbours.select("query", F.col("neighbour").alias(key))
-            .join(captions.select(key, order, text), key))
-    words = cand.select("query", key, order,
-                        F.explode(F.array_distinct(T.tokenize(text))).alias("w"))
+    near = neighbours.select("query", F.col("neighbour").alias(key))
+    # scored by ids; the text of the chosen caption is fetched last
+    cand = near.join(captions.select(key, order, F.array_distinct(T.tokenize(text)).alias("_w")), key)
+    words = cand.select("query", key, order, F.explode("_w").alias("w"))
     dfq = words.groupBy("query", "w").agg(F.count(F.lit(1)).alias("df"))
     per = (words.join(dfq, ["query", "w"])
            .groupBy("query", key, order)
            .agg(F.sum(F.col("df") - 1).alias("s"), F.count(F.lit(1)).alias("u")))
-    nq = cand.groupBy("query").agg(F.count(F.lit(1)).alias("N"))
-    scored = (cand.join(nq, "query").join(per, ["query", key, order], "left")
+    ids = cand.select("query", key, order)
+    nq = ids.groupBy("query").agg(F.count(F.lit(1)).alias("N"))
+    scored = (ids.join(nq, "query").join(per, ["query", key, order], "left")
               .withColumn("score", F.when((F.col("N") > 1) & (F.coalesce("u", F.lit(0)) > 0),
                                           F.col("s") / (F.col("u") * (F.col("N") - 1)))
                           .otherwise(F.lit(0.0))))
-    best = F.min(F.struct((-F.col("score")).alias("ns"), F.col(key).alias(key),
-                          F.col(order).alias(order), F.col(text).alias(text)))
-    return (scored.groupBy("query").agg(best.alias("_b"))
-            .select("query", F.col(f"_b.{key}").alias(key), F.col(f"_b.{order}").alias(order),
-                    F.col(f"_b.{text}").alias(text), (-F.col("_b.ns")).alias("score")))
+    best = F.min(F.struct((-F.col("score")).alias("ns"), F.col(key).alias(key), F.col(order).alias(order)))
+    chosen = (scored.groupBy("query").agg(best.alias("_b"))
+              .select("query", F.col(f"_b.{key}").alias(key), F.col(f"_b.{order}").alias(order), (-F.col("_b.ns")).alias("score")))
+    return chosen.join(captions.select(key, order, text), [key, order]).select("query", key, order, text, "score")

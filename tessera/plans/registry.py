@@ -270,6 +270,12 @@ def q_evaluate_generated(spark, sf):
     return e.select("metric", F.round("score", 6).alias("score"))
 
 
+def q_plain_word_counts(spark, sf):
+    c = _captions(spark, sf)
+    return c.select(F.explode(T.plain_tokenize("caption")).alias("word")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def q_captions_of(spark, sf):
     c = _captions(spark, sf)
     first = _val(spark, sf).agg(F.min("key")).first()[0]
@@ -306,6 +312,7 @@ def q_cross_entropy_padded(spark, sf):
 
 
 QUERIES = {
+    "plain_word_counts": q_plain_word_counts,
     "captions_of": q_captions_of,
     "drop_missing": q_drop_missing,
     "token_lengths": q_token_lengths,
@@ -539,6 +546,8 @@ refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption')} AS t
 })
 
 ORACLE.update({
+    "plain_word_counts": f"""
+SELECT word, count(*) AS n FROM (SELECT unnest({Q.plain_tok('text')}) AS word FROM conversations) GROUP BY word""",
     "captions_of": f"{_WITH} SELECT caption FROM captions WHERE key = (SELECT min(key) FROM split WHERE split = 'val')",
     "drop_missing": """
 SELECT conv_id AS key, turn AS caption_no, text AS caption FROM conversations

@@ -3,7 +3,7 @@ Spark column functions so both sides tokenize and hash identically."""
 
 from __future__ import annotations
 
-from tessera.functions.text import EVAL_PATTERN, FILTER_PATTERN, MARK_END, MARK_START
+from tessera.functions.text import EVAL_PATTERN, EVAL_RULES, FILTER_PATTERN, MARK_END, MARK_START
 from tessera.operators.split import held_out_below
 
 
@@ -14,9 +14,19 @@ def tok(expr: str) -> str:
 
 
 def eval_tok(expr: str) -> str:
-    """Evaluation tokenizer in DuckDB."""
-    pattern = EVAL_PATTERN.replace("'", "''")
-    return f"regexp_extract_all(lower({expr}), '{pattern}')"
+    """Evaluation tokenizer in DuckDB: the same replacements."""
+    text = f"(' ' || lower({expr}) || ' ')"
+    for pattern, replacement in EVAL_RULES:
+        text = f"regexp_replace({text}, {_quoted(pattern)}, {_quoted(replacement)}, 'g')"
+    return f"list_filter(regexp_split_to_array({text}, '\\s+'), lambda x: x <> '')"
+
+
+def plain_tok(expr: str) -> str:
+    return f"regexp_extract_all(lower({expr}), {_quoted(EVAL_PATTERN)})"
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
 
 
 def mark(expr: str) -> str:

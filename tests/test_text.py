@@ -27,10 +27,10 @@ def test_tokenizer_keeps_accents_and_splits_tabs(spark):
     assert one(spark, T.tokenize("s"), "Éléphant\tÇa\nva") == ["éléphant", "ça", "va"]
 
 
-def test_eval_tokenizer_keeps_punctuation(spark):
-    assert one(spark, T.eval_tokenize("s"), "A dog's ball, running!") == \
+def test_plain_tokenizer_keeps_punctuation(spark):
+    assert one(spark, T.plain_tokenize("s"), "A dog's ball, running!") == \
         ["a", "dog's", "ball", ",", "running", "!"]
-    assert one(spark, T.eval_tokenize("s"), "Élan vital") == ["élan", "vital"]
+    assert one(spark, T.plain_tokenize("s"), "Élan vital") == ["élan", "vital"]
 
 
 def test_pad_and_truncate(spark):
@@ -53,3 +53,25 @@ def test_ngrams(spark):
 
 def test_strip_markers(spark):
     assert one(spark, T.strip_markers("t"), ["ssss", "a", "eeee"], "t array<string>") == ["a"]
+
+
+def test_evaluation_tokens(spark):
+    golden = {
+        "The dog's bone can't fit.": "the dog 's bone ca n't fit .",
+        "They'll say we're I'm it'd": "they 'll say we 're i 'm it 'd",
+        "3.5 U.S. troops... left, at 10:30": "3.5 u.s. troops ... left , at 10:30",
+        'He said "hi there" (ok).': "he said `` hi there '' ( ok ) .",
+        "dogs' toys, red-blue; $5 -- 10%!": "dogs ' toys , red-blue ; $ 5 -- 10 % !",
+        "Dr. Smith left. He ran.": "dr. smith left . he ran .",
+        "cannot gonna 'tis": "can not gon na 't is",
+        "what?! no; yes: a": "what ? ! no ; yes : a",
+        "": "", "  ": "", "...": "...",
+    }
+    import duckdb
+
+    from tessera.plans import sqlparts as Q
+    df = spark.createDataFrame([(t,) for t in golden], "t string")
+    got = {r["t"]: " ".join(r["w"]) for r in df.select("t", T.eval_tokenize("t").alias("w")).collect()}
+    assert got == golden
+    for text, words in golden.items():
+        assert " ".join(duckdb.execute(f"SELECT {Q.eval_tok('t')} FROM (SELECT ? AS t)", [text]).fetchone()[0]) == words
