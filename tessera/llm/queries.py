@@ -75,4 +75,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring": op10_substring,
 }
 
-ORACLE: dict[str, str] = {}
+_SPACE = r"[\x20\x09-\x0D]+"
+
+#: SQL for the queries that it can state; the others need a tokenizer, a 64-bit hash or a model.
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": f"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{_SPACE}', ' ', 'g')) AS text_sha256 FROM documents),
+g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)""",
+    "op7_quality_rules": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS host FROM documents),
+w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '{_SPACE}'), lambda x: x <> '') AS ws FROM d),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + {quality.WINDOW - 1}], ' ') AS g
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {quality.WINDOW - 2})) AS i FROM w)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + {quality.WINDOW})) AS p FROM rep) GROUP BY doc_id),
+ln AS (SELECT doc_id, t, host, unnest(string_split(t, chr(10))) AS raw FROM d),
+lw AS (SELECT doc_id, t, host, raw, trim(regexp_replace(lower(raw), '{_SPACE}', ' ', 'g')) AS line,
+              len(list_filter(regexp_split_to_array(raw, '{_SPACE}'), lambda x: x <> '')) AS nw
+       FROM ln WHERE regexp_replace(raw, '{_SPACE}', '', 'g') <> ''),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM lw GROUP BY doc_id),
+hosts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
+held AS (SELECT host, line, count(DISTINCT t) AS n_docs FROM lw GROUP BY host, line),
+bad AS (SELECT host, line FROM held JOIN hosts USING (host)
+        WHERE n_docs > greatest({float(quality.MAX_LINE_DOCS)}::DOUBLE, n * {quality.MAX_LINE_SHARE}::DOUBLE)),
+lost AS (SELECT doc_id, sum(nw) AS lost_words, count(*) AS lost_lines FROM lw JOIN bad USING (host, line) GROUP BY doc_id),
+base AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+                CAST(length(regexp_replace(t, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
+                CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
+                CAST(coalesce(lost_words, 0) AS BIGINT) AS words_removed, CAST(coalesce(lost_lines, 0) AS BIGINT) AS lines_removed
+         FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN lost USING (doc_id)),
+judged AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND n_words - words_removed >= {quality.MIN_WORDS}
+          AND n_words - words_removed >= {quality.MIN_WORDS_LEFT} * n_words AS kept FROM judged""",
+}
