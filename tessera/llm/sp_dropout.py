@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -35,21 +36,23 @@ from tessera.llm.common import id_type, narrow, slices, texts
 DROPOUT = 0.1
 SEED = 20
 VARIANTS = 4
-#: Chunks kept for each variant; a variant's dictionary is cleared when full.
-KEEP = 120_000
+#: Chunks kept for each variant in each of two generations.
+KEEP = 200_000
 KEEP_CHARS = 48
 _CHUNK = re.compile(r" +[^ ]*")
-_MASK = (1 << 64) - 1
 
 
 class Vocabulary:
-    """Pieces of a model with a space in place of U+2581, byte pieces, and their bytes by id."""
+    """Pieces of a model with a space in place of U+2581, byte pieces, and their bytes by id.
+
+    ``rank`` orders the pieces by score, best first, as small whole numbers.
+    """
 
     def __init__(self, name: str):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name))
-        self.ids, self.scores, self.byte_ids, self.spelled = {}, {}, [0] * 256, []
+        self.ids, self.byte_ids, self.spelled, scores = {}, [0] * 256, [], {}
         for i in range(model.vocab_size()):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -60,8 +63,10 @@ class Vocabulary:
                 self.spelled.append(b"")
             else:
                 piece = piece.replace("▁", " ")
-                self.ids[piece], self.scores[piece] = i, model.get_score(i)
+                self.ids[piece], scores[piece] = i, model.get_score(i)
                 self.spelled.append(piece.encode())
+        place = {score: r for r, score in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.rank = {piece: place[score] for piece, score in scores.items()}
 
 
 @cache
@@ -70,31 +75,37 @@ def vocabulary(name: str) -> Vocabulary:
 
 
 def segment(chunk: str, vocab: Vocabulary, dropout: float, key: int) -> list[int]:
-    """Ids of a chunk; ``key`` decides which candidate merges are skipped."""
+    """Ids of a chunk; ``key`` decides which candidate merges are skipped.
+
+    A candidate on the agenda is one number: its piece's rank, then where it starts and ends.
+    """
     n = len(chunk)
-    scores, limit = vocab.scores, int(dropout * (1 << 64))
+    rank, limit, bits = vocab.rank.get, int(dropout * (1 << 64)), n.bit_length()
+    mask = (1 << bits) - 1
     end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the symbol that starts at a place; end 0: merged away
-    agenda: list[tuple[float, int, int, int]] = []
-
-    def propose(left: int, middle: int, right: int) -> None:
-        score = scores.get(chunk[left:right])
-        if score is not None:
-            heapq.heappush(agenda, (-score, left, middle, right))
-
-    for i in range(n - 1):
-        propose(i, i + 1, i + 2)
+    agenda = [(r << bits | i) << bits | i + 2 for i in range(n - 1) if (r := rank(chunk[i:i + 2])) is not None]
+    heapq.heapify(agenda)
+    pop, push = heapq.heappop, heapq.heappush
     while agenda:
-        _, left, middle, right = heapq.heappop(agenda)
-        if end[left] != middle or middle >= n or end[middle] != right:
+        entry = pop(agenda)
+        left, right = entry >> bits & mask, entry & mask
+        middle = end[left]
+        if not middle or middle >= right or end[middle] != right:
             continue  # one of its symbols has been merged since
         if limit and _draw(key, left, middle, right) < limit:
             continue
         end[left], end[middle] = right, 0
         if right < n:
             before[right] = left
-            propose(left, right, end[right])
-        if left > 0:
-            propose(before[left], left, right)
+            further = end[right]
+            r = rank(chunk[left:further])
+            if r is not None:
+                push(agenda, (r << bits | left) << bits | further)
+        start = before[left]
+        if start >= 0:
+            r = rank(chunk[start:right])
+            if r is not None:
+                push(agenda, (r << bits | start) << bits | right)
     out, at = [], 0
     while at < n:
         piece = chunk[at:end[at]]
@@ -108,29 +119,44 @@ def segment(chunk: str, vocab: Vocabulary, dropout: float, key: int) -> list[int
 
 
 def _draw(key: int, left: int, middle: int, right: int) -> int:
-    """A well-mixed 64-bit value of the key and a candidate's places."""
-    x = (key + left * 0x9E3779B97F4A7C15 + middle * 0xC2B2AE3D27D4EB4F + right * 0x165667B19E3779F9) & _MASK
-    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & _MASK
-    x = ((x ^ x >> 27) * 0x94D049BB133111EB) & _MASK
-    return x ^ x >> 31
+    """A 64-bit value of the key and a candidate's places."""
+    places = bytes((left, middle, right)) if right < 256 else struct.pack("<3I", left, middle, right)
+    return xxhash.xxh64_intdigest(places, key)
 
 
 class _Segmented(dict):
-    """Chunk -> its ids in one variant, as little-endian unsigned 32-bit bytes."""
+    """Chunk -> its ids in one variant, as little-endian unsigned 32-bit bytes.
+
+    Full, it becomes the older generation, from which chunks that come again are taken over.
+    """
 
     def __init__(self, vocab: Vocabulary, dropout: float, seed: int):
         super().__init__()
-        self.vocab, self.dropout, self.seed = vocab, dropout, seed
+        self.vocab, self.dropout, self.seed, self.older = vocab, dropout, seed, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(segment(chunk, self.vocab, self.dropout, xxhash.xxh64_intdigest(chunk, self.seed)), "<u4").tobytes()
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = pack(segment(chunk, self.vocab, self.dropout, xxhash.xxh64_intdigest(chunk, self.seed)))
         if len(chunk) <= KEEP_CHARS:
             if len(self) >= KEEP:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
 
 
+def pack(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@cache
+def coder(model: str = "piece_bpe_32k.model", dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> MergeDropout:
+    """One for a worker process, whose tasks share its dictionaries."""
+    return MergeDropout(model, dropout, seed, variants)
+
+
 class MergeDropout:
     """``encode(text, key)``: ids as bytes; ``decode(ids)``: the text."""
 
@@ -164,9 +190,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
            dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
     """(doc_id, ids): one row per input row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = MergeDropout(model, dropout, seed, variants)
+        bpe = coder(model, dropout, seed, variants)
         for b in slices(batches):
-            found = [np.frombuffer(coder.encode(t, k), "<u4").astype(np.int32) for t, k in zip(texts(b), b.column("key").to_pylist(), strict=True)]
+            found = [np.frombuffer(bpe.encode(t, k), "<u4").astype(np.int32) for t, k in zip(texts(b), b.column("key").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return _keyed(docs, id_col, text_col).mapInArrow(run, f"doc_id {id_type(docs, id_col)}, ids array<int>")
@@ -175,9 +201,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", model: str = "piece_bpe_32k.model") -> DataFrame:
     """(doc_id, text): the texts of ``encode``; null ids count as none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = MergeDropout(model, 0.0)
+        bpe = coder(model, 0.0)
         for b in slices(batches):
-            found = [coder.decode(np.array(x or [], "<u4").tobytes()) for x in b.column("ids").to_pylist()]
+            found = [bpe.decode(pack(x or [])) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.string())], names=["doc_id", "text"])
 
     rows = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
@@ -188,12 +214,12 @@ def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
     """(doc_id, n_ids, ids_crc32, n_bytes, lossless): each text encoded, decoded and compared."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = MergeDropout(model, dropout, seed, variants)
+        bpe = coder(model, dropout, seed, variants)
         for b in slices(batches):
             out = []
             for text, key in zip(texts(b), b.column("key").to_pylist(), strict=True):
-                ids = coder.encode(text, key)
-                out.append((len(ids) // 4, zlib.crc32(ids), len(text.encode()), coder.decode(ids) == text))
+                ids = bpe.encode(text, key)
+                out.append((len(ids) // 4, zlib.crc32(ids), len(text.encode()), bpe.decode(ids) == text))
             if out:
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), *map(pa.array, zip(*out, strict=True))],
                                                  names=["doc_id", "n_ids", "ids_crc32", "n_bytes", "lossless"])
