@@ -184,15 +184,10 @@ def _forest(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.Rec
 def groups(fingerprints: DataFrame, max_bits: int = MAX_BITS, size: int = GROUP) -> DataFrame:
     """(mask, key, members): groups of two or more distinct fingerprints that agree on a mask's bits."""
     spark = fingerprints.sparkSession
-    masks, rows, done = [0], fingerprints.select("fp", F.lit(0).cast("long").alias("mask")), []
+    masks, done = parts_of(0, max_bits + 1), []
+    rows = fingerprints.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
     while True:
-        finer = sorted({(_signed(m), _signed(x)) for m in masks for x in parts_of(m, max_bits + 1)})
-        masks = sorted({x for m in masks for x in parts_of(m, max_bits + 1)})
-        deal = spark.createDataFrame(finer, "mask long, finer long")
-        rows = (rows.join(F.broadcast(deal), "mask").select("fp", F.col("finer").alias("mask"))
-                .withColumn("key", F.col("fp").bitwiseAND(F.col("mask"))))
-        if done:  # dealt again by another way, some fall into the same group
-            rows = rows.distinct()
+        rows = rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         if 64 - bin(masks[0]).count("1") <= FREE_BITS:
             done.append(rows)
             break
@@ -201,7 +196,12 @@ def groups(fingerprints: DataFrame, max_bits: int = MAX_BITS, size: int = GROUP)
             done.append(rows)
             break
         done.append(rows.join(large, ["mask", "key"], "left_anti").select("fp", "mask", "key"))
-        rows = cut(rows.join(large, ["mask", "key"], "left_semi").select("fp", "mask"))
+        finer = sorted({(_signed(m), _signed(x)) for m in masks for x in parts_of(m, max_bits + 1)})
+        masks = sorted({x for m in masks for x in parts_of(m, max_bits + 1)})
+        deal = spark.createDataFrame(finer, "mask long, finer long")
+        # dealt again by different ways, some would fall into the same group twice
+        rows = cut(rows.join(large, ["mask", "key"], "left_semi").join(F.broadcast(deal), "mask")
+                   .select("fp", F.col("finer").alias("mask")).distinct())
     together = done[0]
     for more in done[1:]:
         together = together.unionByName(more)
