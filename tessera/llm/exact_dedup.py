@@ -86,9 +86,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, keep_id, group_size, kept, full_hash): one row per input row."""
     rows = refine(docs, id_col, text_col, bits, digest)
     survivors = rows.filter("survivor")
-    groups = (survivors.groupBy("full_hash")
-              .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-              .filter("group_size > 1"))
+    # written before it is joined back, so that Spark can split the join's side with the copies
+    groups = cut(survivors.groupBy("full_hash")
+                 .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+                 .filter("group_size > 1"))
     # rows that repeat id and text are one key with a count, so that just one of them stays
     keys = survivors.groupBy("full_hash", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     in_groups = (keys.join(groups, "full_hash", "left")
@@ -118,8 +119,9 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     others = dropped.filter(~F.col("_xd_id").eqNullSafe(F.col("_xd_keep"))).select("_xd_id", "_xd_hash").distinct()
     same = (F.col(id_col).eqNullSafe(others["_xd_id"])) & (tagged["_xd_hash"] == others["_xd_hash"])
     left = tagged.join(others, same, "left_anti")
-    # rows that repeat id and text: dropped once too often by nothing above, so one is taken here
     repeated = dropped.filter(F.col("_xd_id").eqNullSafe(F.col("_xd_keep"))).select("_xd_id", "_xd_hash").distinct()
+    if repeated.isEmpty():
+        return left.drop("_xd_hash")
     again = (F.col(id_col).eqNullSafe(repeated["_xd_id"])) & (left["_xd_hash"] == repeated["_xd_hash"])
     once = left.join(repeated, again, "left_anti")
     twice = left.join(repeated, again, "left_semi").dropDuplicates([id_col, "_xd_hash"])
