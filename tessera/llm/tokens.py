@@ -9,14 +9,15 @@ dictionary of bounded size, since most words of a corpus are repeats.
 from __future__ import annotations
 
 import base64
+import json
 import re
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import public_tokenizers
 
 #: Chunks kept in a task's dictionary; it is cleared when full.
-KEEP = 300_000
+KEEP = 150_000
 #: Longer chunks are not kept, so that the dictionary's bytes are bounded too.
 KEEP_CHARS = 64
 _CROSSING = re.compile(r"\s \s")
@@ -43,10 +44,10 @@ class ByteBpe:
 
     def __init__(self, name: str = "byte_bpe_50k"):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.file = public_tokenizers.path(f"{name}.json")
+        with open(self.file, encoding="utf-8") as f:
+            added = [t["content"] for t in json.load(f)["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, added))) if added else re.compile(r"(?!)")
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -54,6 +55,13 @@ class ByteBpe:
         fast = tiktoken.Encoding("chunks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.first, self.later = ChunkIds(fast.encode_ordinary, ""), ChunkIds(fast.encode_ordinary, " ")
 
+    @cached_property
+    def whole(self):
+        """The tokenizer itself; loaded where a text can't be cut into chunks, which is rare."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.file)
+
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
