@@ -2,12 +2,11 @@
 
 A chunk (a run of spaces and what follows up to the next space) is segmented by an agenda of
 candidate merges, best score first, leftmost first among equals. Each candidate is skipped with
-probability ``dropout``, decided by a hash keyed by the seed, the chunk, the variant and the
-places of the merge: the same seed gives the same ids on any cluster and after any retry. A
-chunk has ``VARIANTS`` segmentations; which of them a place in a document takes follows from
-the seed, the document's id and the place, so repeats of a word vary and yet a task can keep
-segmentations in a dictionary of bounded size. Without dropout the ids are those of the plain
-encoder.
+probability ``dropout``: keyed hashes of the seed, the document's id and the chunk's place say how
+many candidates pass before the next one is skipped, so every occurrence of a chunk has draws of
+its own, and the same seed gives the same ids on any cluster and after any retry. What a chunk
+gives once the skipped candidates are known is kept in a dictionary of bounded size. Without
+dropout the ids are those of the plain encoder.
 
 Characters outside the vocabulary, and a literal U+2581, are spelled in byte pieces, and a
 leading space is put before the text, so decoding gives back every text exactly. Null texts
@@ -21,6 +20,7 @@ import heapq
 import re
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,9 +35,10 @@ from tessera.llm.common import id_type, narrow, slices, texts
 
 DROPOUT = 0.1
 SEED = 20
-VARIANTS = 4
-#: Chunks kept for each variant in each of two generations.
-KEEP = 200_000
+#: Chunks with their skipped candidates kept in each of two generations.
+KEEP = 400_000
+#: Candidates that one draw can let pass; where all of them pass, another draw follows.
+MOST_PASS = 4096
 KEEP_CHARS = 48
 _CHUNK = re.compile(r" +[^ ]*")
 
@@ -74,13 +75,13 @@ def vocabulary(name: str) -> Vocabulary:
     return Vocabulary(name)
 
 
-def segment(chunk: str, vocab: Vocabulary, dropout: float, key: int) -> list[int]:
-    """Ids of a chunk; ``key`` decides which candidate merges are skipped.
+def segment(chunk: str, vocab: Vocabulary, skips: Iterator[int]) -> tuple[list[int], int]:
+    """Ids of a chunk and how many candidate merges were met; ``skips``: which of them are skipped, ascending.
 
     A candidate on the agenda is one number: its piece's rank, then where it starts and ends.
     """
     n = len(chunk)
-    rank, limit, bits = vocab.rank.get, int(dropout * (1 << 64)), n.bit_length()
+    rank, bits, met, skip = vocab.rank.get, n.bit_length(), 0, next(skips, -1)
     mask = (1 << bits) - 1
     end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the symbol that starts at a place; end 0: merged away
     agenda = [(r << bits | i) << bits | i + 2 for i in range(n - 1) if (r := rank(chunk[i:i + 2])) is not None]
@@ -92,7 +93,9 @@ def segment(chunk: str, vocab: Vocabulary, dropout: float, key: int) -> list[int
         middle = end[left]
         if not middle or middle >= right or end[middle] != right:
             continue  # one of its symbols has been merged since
-        if limit and _draw(key, left, middle, right) < limit:
+        met += 1
+        if met - 1 == skip:
+            skip = next(skips, -1)
             continue
         end[left], end[middle] = right, 0
         if right < n:
@@ -115,35 +118,52 @@ def segment(chunk: str, vocab: Vocabulary, dropout: float, key: int) -> list[int
         else:
             out.append(found)
         at = end[at]
-    return out
+    return out, met
 
 
-def _draw(key: int, left: int, middle: int, right: int) -> int:
-    """A 64-bit value of the key and a candidate's places."""
-    places = bytes((left, middle, right)) if right < 256 else struct.pack("<3I", left, middle, right)
-    return xxhash.xxh64_intdigest(places, key)
+def _draw(key: int, place: int, nth: int, again: int = 0) -> int:
+    """A 64-bit value of a document's key, a chunk's place and which of its draws it is."""
+    return xxhash.xxh64_intdigest(struct.pack("<3I", place, nth, again), key)
+
+
+def _first_draws(key: int, n: int) -> np.ndarray:
+    """64-bit values of a document's key and the places 0 to n - 1, by the mixer of splitmix64."""
+    z = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key)
+    z = (z ^ z >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ z >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return z ^ z >> np.uint64(31)
+
+
+def _limits(dropout: float) -> list[int]:
+    """Ascending limits: as many candidates pass in a row as limits are above a draw."""
+    found, chance = [], 1.0
+    while len(found) < MOST_PASS and (limit := int((chance := chance * (1.0 - dropout)) * (1 << 64))):
+        found.append(min(limit, (1 << 64) - 1))
+    return found[::-1]
 
 
 class _Segmented(dict):
-    """Chunk -> its ids in one variant, as little-endian unsigned 32-bit bytes.
+    """Chunk, or (chunk, skipped candidates...) -> (candidates met, ids as little-endian unsigned 32-bit bytes).
 
     Full, it becomes the older generation, from which chunks that come again are taken over.
     """
 
-    def __init__(self, vocab: Vocabulary, dropout: float, seed: int):
+    def __init__(self, vocab: Vocabulary):
         super().__init__()
-        self.vocab, self.dropout, self.seed, self.older = vocab, dropout, seed, {}
+        self.vocab, self.older = vocab, {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.older.get(chunk)
-        if ids is None:
-            ids = pack(segment(chunk, self.vocab, self.dropout, xxhash.xxh64_intdigest(chunk, self.seed)))
+    def __missing__(self, key: str | tuple) -> tuple[int, bytes]:
+        chunk, *skips = (key,) if isinstance(key, str) else key
+        found = self.older.get(key)
+        if found is None:
+            ids, met = segment(chunk, self.vocab, iter(skips))
+            found = met, pack(ids)
         if len(chunk) <= KEEP_CHARS:
             if len(self) >= KEEP:
                 self.older = dict(self)
                 self.clear()
-            self[chunk] = ids
-        return ids
+            self[key] = found
+        return found
 
 
 def pack(ids: list[int]) -> bytes:
@@ -152,30 +172,61 @@ def pack(ids: list[int]) -> bytes:
 
 
 @cache
-def coder(model: str = "piece_bpe_32k.model", dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> MergeDropout:
+def coder(model: str = "piece_bpe_32k.model", dropout: float = DROPOUT, seed: int = SEED) -> MergeDropout:
     """One for a worker process, whose tasks share its dictionaries."""
-    return MergeDropout(model, dropout, seed, variants)
+    return MergeDropout(model, dropout, seed)
 
 
 class MergeDropout:
     """``encode(text, key)``: ids as bytes; ``decode(ids)``: the text."""
 
-    def __init__(self, model: str = "piece_bpe_32k.model", dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
-        self.vocab, self.seed = vocabulary(model), seed
-        self.tables = [_Segmented(self.vocab, dropout, xxhash.xxh64_intdigest(f"{seed}:{v}")) for v in range(variants if dropout else 1)]
+    def __init__(self, model: str = "piece_bpe_32k.model", dropout: float = DROPOUT, seed: int = SEED):
+        self.vocab, self.seed, self.dropout = vocabulary(model), seed, dropout
+        self.table = _Segmented(self.vocab)
+        self.limits = _limits(dropout)
+        self.limit_array, self.most = np.array(self.limits, np.uint64), len(self.limits)
 
     def encode(self, text: str, key: int = 0) -> bytes:
         if not text:
             return b""
         text = f" {text}"
         chunks = _CHUNK.findall(text) if "  " in text else [f" {x}" for x in text[1:].split(" ")]
-        n = len(self.tables)
-        if n == 1:
-            return b"".join(map(self.tables[0].__getitem__, chunks))
-        first, found = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), self.seed), [b""] * len(chunks)
-        for v in range(n):
-            found[v::n] = map(self.tables[(first + v) % n].__getitem__, chunks[v::n])
-        return b"".join(found)
+        if not self.dropout:
+            return b"".join([self.table[x][1] for x in chunks])
+        key = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), self.seed)
+        passed = (self.most - np.searchsorted(self.limit_array, _first_draws(key, len(chunks)), "right")).tolist()
+        table, out = self.table, []
+        for place, chunk in enumerate(chunks):
+            if len(chunk) <= KEEP_CHARS:
+                met, ids = table[chunk]
+                out.append(ids if passed[place] >= met else self._skipping(chunk, key, place, passed[place]))
+            else:
+                out.append(pack(segment(chunk, self.vocab, self._skips(key, place, passed[place]))[0]))
+        return b"".join(out)
+
+    def _skips(self, key: int, place: int, passed: int) -> Iterator[int]:
+        """The skipped candidates of a place, without end; ``passed``: by its first draw."""
+        at, nth = 0, 0
+        while True:
+            again = 0
+            at += passed
+            while passed == self.most == MOST_PASS:  # so many pass and more may
+                again += 1
+                passed = self.most - bisect_right(self.limits, _draw(key, place, nth, again))
+                at += passed
+            yield at
+            at, nth = at + 1, nth + 1
+            passed = self.most - bisect_right(self.limits, _draw(key, place, nth))
+
+    def _skipping(self, chunk: str, key: int, place: int, passed: int) -> bytes:
+        """The ids of a chunk of which a candidate may be skipped, by way of the dictionary."""
+        path: tuple = (chunk,)
+        met, ids = self.table[chunk]
+        for skip in self._skips(key, place, passed):
+            if skip >= met:
+                return ids
+            path = (*path, skip)
+            met, ids = self.table[path]
 
     def decode(self, ids: bytes) -> str:
         spelled = self.vocab.spelled
@@ -187,10 +238,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = "piece_bpe_32k.model",
-           dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+           dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """(doc_id, ids): one row per input row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(model, dropout, seed, variants)
+        bpe = coder(model, dropout, seed)
         for b in slices(batches):
             found = [np.frombuffer(bpe.encode(t, k), "<u4").astype(np.int32) for t, k in zip(texts(b), b.column("key").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "ids"])
@@ -211,10 +262,10 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", mod
 
 
 def round_trips(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = "piece_bpe_32k.model",
-                dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+                dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """(doc_id, n_ids, ids_crc32, n_bytes, lossless): each text encoded, decoded and compared."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = coder(model, dropout, seed, variants)
+        bpe = coder(model, dropout, seed)
         for b in slices(batches):
             out = []
             for text, key in zip(texts(b), b.column("key").to_pylist(), strict=True):

@@ -63,3 +63,35 @@ def test_whole_table(spark):
         found = np.array(by_id[r.doc_id], "<u4").tobytes()
         assert rows[r.doc_id].n_ids == len(found) // 4 and rows[r.doc_id].ids_crc32 == zlib.crc32(found)
         assert rows[r.doc_id].n_bytes == len(r.text.encode())
+
+
+def test_each_occurrence_has_the_distribution_of_its_own_draws():
+    """' of' against draws one by one: many occurrences, with the shares that independent skips give."""
+    from collections import Counter
+
+    coder, rng, n = sp_dropout.MergeDropout(), np.random.default_rng(1), 20_000
+    for word in (" of", " water"):
+        got = Counter()
+        for key in range(20):
+            data, at = ids(coder.encode(" ".join([word[1:]] * 1000), key)), 0
+            while at < len(data):
+                end = at + 1
+                while end < len(data) and not coder.vocab.spelled[data[end]].startswith(b" "):
+                    end += 1
+                got[tuple(data[at:end])] += 1
+                at = end
+        want = Counter()
+        for _ in range(n):
+            draws = rng.random(64) < sp_dropout.DROPOUT
+            want[tuple(sp_dropout.segment(word, coder.vocab, iter(np.flatnonzero(draws).tolist()))[0])] += 1
+        assert sum(got.values()) == n and len(got) > 2
+        for k in set(got) | set(want):
+            assert abs(got[k] - want[k]) < 6 * (got[k] + want[k] + 1) ** 0.5, (word, k, got[k], want[k])
+
+
+def test_long_chunks_skip_as_short_ones_do():
+    coder, text = sp_dropout.MergeDropout(), "ab" * 40
+    skips = coder._skips(7, 0, 3)
+    first = [next(skips) for _ in range(50)]
+    assert first[0] == 3 and first == sorted(set(first))
+    assert coder.decode(coder.encode(text, 3)) == text and len({coder.encode(text, k) for k in range(20)}) > 10
