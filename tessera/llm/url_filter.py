@@ -3,8 +3,8 @@
 A rule (host, path) fits its host and all subdomains when the path starts with the rule's; the
 longest wins. Where none fits, the verdict is the model's: character n-grams of host and path,
 hashed into a fixed number of features and weighted by a logistic regression that is trained
-from a small labelled URL table. The table is a parameter of at most a few hundred rows; its
-weights are a vector of fixed size, sent with the tasks.
+from a small labelled URL table, in which hosts decide in some rows and paths in others. The table
+is a parameter of at most a few thousand rows; its weights are a vector of fixed size, sent with the tasks.
 
 Null urls and urls without ``://`` have an empty host and path; no rule fits them and the model
 judges the empty string (allow). Rows that repeat are judged each. Other columns are not read.
@@ -37,17 +37,30 @@ ALLOWED = ("news weather science library museum university school history garden
 SYLLABLES = "an ber den el for ing lan mor nor on ran shi th tion ver wel".split()
 _PREFIXES = ("", "www.", "m.", "blog.")
 _SUFFIXES = ("example.com", "example.org", "example.net")
+#: Endings of hosts outside the stand-in domains.
+_FURTHER_SUFFIXES = ("com", "org", "net", "de", "co.uk", "io", "info")
 _PATHS = ("/en/1234", "/fr/77.html", "/de/5/", "/es/909", "")
+#: Forms of paths whose words decide: a word of the label, and a neutral word.
+_WORD_PATHS = ("/{0}/{1}.html", "/en/{0}", "/{1}/{0}-{1}/12", "/{0}-{1}.php", "/a/{1}/{0}/", "/{0}", "/{0}/", "/{1}/{0}.html", "/{0}", "/en/{0}/12")
 _ENDINGS = ("", "-x", "-hub", "24", "-online", "-world")
 
 
 def labelled_urls() -> list[tuple[str, str, int]]:
-    """(host, path, label; 1: block): names under endings, hosts and paths dealt in turn, so that only names tell."""
+    """(host, path, label; 1: block), dealt in turn: names under endings, so that in these rows only names tell,
+    then words in paths under neutral hosts, each host with either label, so that in these only paths tell. Short names to block have few n-grams and stand in more rows."""
     further = [a + b for i, a in enumerate(SYLLABLES) for b in SYLLABLES[i % 3::3]]
     rows = []
     for label, names, times in ((1, BLOCKED, 4), (0, ALLOWED, 4), (0, further, 3)):
         for k, name in enumerate(n for n in names for _ in range(times)):
             rows.append((f"{_PREFIXES[k % 4]}{name}{_ENDINGS[k % 6]}.{_SUFFIXES[k % 3]}", _PATHS[k % 5], label))
+    for label, names, times in ((1, BLOCKED, 16), (1, [n for n in BLOCKED if len(n) < 6], 16), (0, ALLOWED, 8), (0, further, 7)):
+        for k, name in enumerate(n for n in names for _ in range(times)):
+            rows.append((f"{_PREFIXES[k % 4]}{name}{_ENDINGS[k % 6]}.{_FURTHER_SUFFIXES[k % 7]}", _PATHS[k % 5], label))
+    neutral = [*ALLOWED, *further]
+    for label, words in ((1, BLOCKED), (0, ALLOWED), (0, further)):
+        for k, word in enumerate(w for w in words for _ in range(20 if label else 10)):
+            host = f"{_PREFIXES[k % 4]}{neutral[k * 7 % len(neutral)]}.{(_SUFFIXES + _FURTHER_SUFFIXES)[k // 3 % 10]}"
+            rows.append((host, _WORD_PATHS[k % 10].format(word, neutral[k * 5 % len(neutral)]), label))
     return rows
 
 

@@ -80,3 +80,18 @@ def test_held_out_accuracy():
         fitted = url_filter.train([r for i, r in enumerate(labelled) if i % 2 != k])
         right += sum((model_verdict(host, path, *fitted) == "block") == bool(label) for host, path, label in labelled[k::2])
     assert right / len(labelled) > 0.9
+
+
+@pytest.mark.parametrize("host", ["library.example.org", "www.museum.de", "m.garden-news.co.uk", "thering.example.net", "history.info"])
+def test_verdicts_that_differ_by_path_alone(host):
+    weights, bias = model()
+    for path in ("/porn/xxx-casino.html", "/en/casino-bonus/12", "/poker", "/docs/cheap-meds.php"):
+        assert model_verdict(host, path, weights, bias) == "block", path
+    for path in ("/history/garden.html", "/en/school-museum/12", "/poetry", "/docs/index.php", "/de/5/", ""):
+        assert model_verdict(host, path, weights, bias) == "allow", path
+
+
+def test_hosts_outside_the_stand_in_domains():
+    weights, bias = model()
+    for host, verdict in (("www.casino-win.de", "block"), ("cheap-pills.io", "block"), ("porn-hub.co.uk", "block"), ("city-library.de", "allow"), ("university.co.uk", "allow")):
+        assert model_verdict(host, "/en/12", weights, bias) == verdict, host
