@@ -4,7 +4,9 @@ Source model: a character language model, counted over the letters of all docume
 a written character may stand for letters (leetspeak), may be a separator between letters of a
 word, may be noise, or may repeat a letter. The readings of a written token, or of a run of
 single characters, form a lattice; Viterbi decoding finds the reading that is likeliest under
-both. Tokens whose only reading is themselves are not decoded. Scores depend on the restored
+both. Tokens whose only reading is themselves (letters, none doubled) are not decoded; a token
+without a letter is read as a word only where that is likelier than characters by chance. Scores
+depend on the restored
 words of a whole text and on nothing else.
 
 Training: a bounded sample of labelled rows that are not held out (``TRAIN_ROWS``), equal texts
@@ -50,10 +52,15 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 SEPARATORS = set(".,-_~'/:;=^&%`\"\\)>[]{}?·•")
 #: Costs of the channel, as natural logarithms.
 STANDS_FOR, NOISE, SEPARATOR, BORDER, ONCE, TWICE = -1.0, -7.0, -0.5, -2.5, -8.0, -0.5
+#: Cost of a character without a letter that stands for itself: one symbol of SYMBOLS by chance.
+ITSELF = -float(np.log(SYMBOLS))
+#: Stars in a row that each may stand for another letter; the contexts grow 26-fold with each.
+STARS = 3
 _EITHER = ".,;:?\"'%&~…-_=^/\\·•"
 _LEFT, _RIGHT = _EITHER + "[{>", _EITHER + ")]}!"
 _NOISE_RUN = re.compile(r"([^\w\s])\1{2,}$|^([^\w\s])\2{2,}|[*#]{2,}$|^[*#]{2,}")
-_STRETCHED = re.compile(r"(\w)\1\1|(\w)\2(\w)\3(\w)\4")
+_STAR_RUN = re.compile(r"(?<!\*)\*{1,%d}$|^\*{1,%d}(?!\*)" % (STARS, STARS))
+_TWICE = re.compile(r"(\w)\1")
 _DOUBLED = re.compile(r"(\w)\1(\w)\2(\w)\3")
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]+\S){2,}(?!\S)")
 _LETTER = re.compile(r"[a-z]")
@@ -137,12 +144,17 @@ class Restorer:
 
     def decode(self, written: str, spaced: bool = False) -> str:
         """The likeliest reading; ``spaced``: a border may stand between any two characters."""
+        return self._decode(written, spaced)[1]
+
+    def _decode(self, written: str, spaced: bool = False) -> tuple[float, str]:
+        """The likeliest reading's log-probability, and the reading."""
         runs: list[tuple[str, int]] = []
         for c in written:
             if runs and runs[-1][0] == c:
                 runs[-1] = (c, runs[-1][1] + 1)
             else:
                 runs.append((c, 1))
+        runs = [x for c, n in runs for x in ([(c, 1)] * n if c == "*" and n <= STARS else [(c, n)])]
         log_p, contexts, doubled = self.log_p, self.contexts, bool(_DOUBLED.search(written))
         # context -> (log-probability, reading as a linked list)
         states: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
@@ -162,32 +174,47 @@ class Restorer:
                     if at not in following or total > following[at][0]:
                         following[at] = (total, (path, letters))
             states = following
-        best = max((score + (log_p[at * SYMBOLS] if at else 0.0), path) for at, (score, path) in states.items())[1]
+        total, best = max((score + (log_p[at * SYMBOLS] if at else 0.0), path) for at, (score, path) in states.items())
         out = []
         while best:
             best, letters = best
             out.append(letters)
-        return "".join(reversed(out))
+        return total, "".join(reversed(out))
+
+    def _without_letters(self, written: str, spaced: bool = False) -> str:
+        """The reading of symbols and digits, or nothing where they rather stand for themselves."""
+        if len(written) < 2 or not any(c in LEET for c in written):
+            return ""
+        total, found = self._decode(written, spaced)
+        return found if total > ITSELF * len(written) else ""
 
     def token(self, token: str) -> str:
         """The restored words of a token without white space, joined by spaces."""
         core = _NOISE_RUN.sub("", token).lstrip(_LEFT).rstrip(_RIGHT)
-        if core.isalpha() and not _STRETCHED.search(core):
+        whole = token.lstrip(_LEFT).rstrip(_RIGHT)
+        if core and whole != core and _LETTER.search(core) and _STAR_RUN.search(whole) and not (whole[0] == whole[-1] == "*"):
+            total, found = self._decode(core)
+            stars, filled = self._decode(whole)
+            return filled if stars > total + BORDER else found
+        if core.isalpha() and not _TWICE.search(core):
             return core
         if not _LETTER.search(core):
-            return core if core.isalpha() else ""
+            return core if core.isalpha() else self._without_letters(core)
         return self.decode(core)
 
     def spaced(self, text: str) -> list[str]:
         """The restored words of the runs of single characters in a text in lower case."""
-        return [w for m in _SPACED.finditer(text) if _LETTER.search(m[0]) for w in self.decode("".join(m[0].split()), True).split()]
+        return [w for m in _SPACED.finditer(text) for w in self._run("".join(m[0].split())).split()]
+
+    def _run(self, written: str) -> str:
+        return self.decode(written, True) if _LETTER.search(written) else self._without_letters(written, True)
 
     def restore(self, text: str) -> str:
         """The whole text, restored: each token's words, runs of single characters as words."""
         lower, out, at = text.lower(), [], 0
         for m in _SPACED.finditer(lower):
             out += [self.token(w) for w in lower[at:m.start()].split()]
-            out.append(self.decode("".join(m[0].split()), True) if _LETTER.search(m[0]) else m[0])
+            out.append(self._run("".join(m[0].split())) or m[0])
             at = m.end()
         return " ".join(w for w in [*out, *(self.token(w) for w in lower[at:].split())] if w)
 

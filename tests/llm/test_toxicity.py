@@ -153,3 +153,14 @@ def test_whole_table_accuracy(spark):
     assert all(rows.predicted == (rows.score >= 0.5))
     held = rows[rows.held_out].join(labels, how="inner")
     assert (held.predicted == held.toxic).mean() > 0.9
+
+
+def test_doubled_letters_symbols_and_stars_are_decoded(spark):
+    words = ["idiot", "moron", "class", "glass", "shit", "the", "ass", "prose"]
+    text = " ".join(words * 400 + ["tennis", "coffee", "letter"] * 200)
+    log_p = toxicity.language_model(toxicity.gram_counts(spark.createDataFrame([(1, text)], "doc_id long, text string")))
+    restorer = toxicity.Restorer(log_p)
+    for written, want in (("iidiot", "idiot"), ("morron", "moron"), ("@$$", "ass"), ("$#!+", "shit"), ("455", "ass"), ("sh**", "shit"), ("5 # ! 7", "shit"),
+                          ("class", "class"), ("tennis", "tennis"), ("coffee", "coffee"), ("the**", "the"), ("**prose**", "prose"), ("idiot###", "idiot"),
+                          ("2024", ""), ("1999", ""), ("-----", ""), ("****", "")):
+        assert restorer.restore(written) == want, (written, restorer.restore(written))
