@@ -124,6 +124,18 @@ class Restorer:
     def __init__(self, log_p: np.ndarray):
         self.log_p = array("f", log_p.tobytes())
         self.contexts = SYMBOLS ** (ORDER - 1)
+        self.endings = self._endings(log_p.reshape(-1, SYMBOLS).astype(float))
+
+    def _endings(self, log_p: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By number of stars at the end, for each context: the best log-probability of the rest, and
+        the first star's letter there (1 to 26, 0: a border, 27: nothing)."""
+        at, found = np.arange(self.contexts), [(np.where(np.arange(self.contexts) > 0, log_p[:, 0], 0.0), np.zeros(self.contexts, int))]
+        following = (at[:, None] * SYMBOLS + np.arange(1, 27)) % self.contexts
+        for _ in range(STARS):
+            rest = found[-1][0]
+            options = np.c_[NOISE + np.where(at > 0, log_p[:, 0], 0.0) + rest[0], STANDS_FOR + log_p[:, 1:27] + rest[following], NOISE + rest]
+            found.append((options.max(1), options.argmax(1)))
+        return found
 
     def _readings(self, written: str, n: int, doubled: bool) -> list[tuple[str, float]]:
         """What ``n`` of a character may read as, with its cost; a border is a space.
@@ -154,6 +166,7 @@ class Restorer:
                 runs[-1] = (c, runs[-1][1] + 1)
             else:
                 runs.append((c, 1))
+        stars = runs.pop()[1] if runs and runs[-1][0] == "*" and runs[-1][1] <= STARS and not spaced else 0
         runs = [x for c, n in runs for x in ([(c, 1)] * n if c == "*" and n <= STARS else [(c, n)])]
         log_p, contexts, doubled = self.log_p, self.contexts, bool(_DOUBLED.search(written))
         # context -> (log-probability, reading as a linked list)
@@ -174,8 +187,14 @@ class Restorer:
                     if at not in following or total > following[at][0]:
                         following[at] = (total, (path, letters))
             states = following
-        total, best = max((score + (log_p[at * SYMBOLS] if at else 0.0), path) for at, (score, path) in states.items())
-        out = []
+        ending = self.endings[stars][0]
+        total, best, at = max((score + float(ending[at]), path, at) for at, (score, path) in states.items())
+        tail = []
+        for n in range(stars, 0, -1):
+            x = int(self.endings[n][1][at])
+            tail.append("" if x == 27 else " " if x == 0 else chr(96 + x))
+            at = at if x == 27 else (at * SYMBOLS + x) % self.contexts if x else 0
+        out = ["".join(tail)]
         while best:
             best, letters = best
             out.append(letters)
