@@ -112,7 +112,7 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Only members of groups are looked up again, by (full hash, id), so the copies of a hot
     text spread over the ids instead of meeting in one task.
     """
-    dropped = cut(exact_groups(docs, id_col, text_col, bits, digest=True)
+    dropped = cut(exact_groups(docs, id_col, text_col, bits)
                   .filter("not kept").select(F.col("doc_id").alias("_xd_id"), F.col("full_hash").alias("_xd_hash"),
                                              F.col("keep_id").alias("_xd_keep")))
     tagged = docs.withColumn("_xd_hash", full_hash(normalised(F.col(text_col).cast("string"))))

@@ -65,3 +65,10 @@ def test_empty_table(spark):
 def test_main_path_has_no_python(spark):
     plan = exact_dedup.exact_groups(edge_docs(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_dropping_duplicates_hashes_only_survivors_for_the_groups(spark, monkeypatch):
+    asked, refine = [], exact_dedup.refine
+    monkeypatch.setattr(exact_dedup, "refine", lambda docs, i, t, bits, digest=False: asked.append(digest) or refine(docs, i, t, bits, digest))
+    docs = spark.createDataFrame([(1, "a b"), (2, "a  b"), (3, "c")], "doc_id long, text string")
+    assert {r.doc_id for r in exact_dedup.drop_exact_duplicates(docs).collect()} == {1, 3} and asked == [False]
