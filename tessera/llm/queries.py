@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, packing, quality, sharding, simhash, sp_dropout, substring, token_counts, toxicity, url_filter
+from tessera.llm import decontaminate, exact_dedup, packing, quality, sharding, simhash, sp_dropout, substring, token_counts, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,12 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(_table(spark, sf_dir, "documents")).drop("uid")
 
 
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_exact_dedup": op2_exact_dedup,
@@ -73,9 +79,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sp_dropout": op8_sp_dropout,
     "op9_simhash": op9_simhash,
     "op10_substring": op10_substring,
+    "op13_decontaminate": op13_decontaminate,
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: SQL for the queries that it can state; the others need a tokenizer, a 64-bit hash or a model.
 ORACLE: dict[str, str] = {
@@ -109,4 +118,21 @@ base AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
 judged AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base)
 SELECT *, NOT base_failed AND n_words - words_removed >= {quality.MIN_WORDS}
           AND n_words - words_removed >= {quality.MIN_WORDS_LEFT} * n_words AS kept FROM judged""",
+    "op13_decontaminate": f"""
+WITH letters AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS t FROM documents),
+d AS (SELECT doc_id, regexp_extract_all(t, '{_WORD}') AS w FROM letters),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_WORD}') AS w
+      FROM benchmark),
+sized AS (SELECT item, w, least(len(w), {decontaminate.SIZE}) AS n FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS g
+        FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+sizes AS (SELECT DISTINCT n FROM win),
+placed AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n),
+found AS (SELECT doc_id, i, placed.n, item FROM placed JOIN win ON win.n = placed.n AND win.g = array_to_string(w[i:i + placed.n - 1], ' ')),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+held AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+         FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)""",
 }
