@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, exact_dedup, packing, quality, sharding, simhash, sp_dropout, substring, token_counts, toxicity, url_filter
+from tessera.llm import collocations, decontaminate, exact_dedup, packing, quality, runs, sharding, simhash, sp_dropout, substring, token_counts, toxicity, url_filter
+from tessera.llm.common import let
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +63,38 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(_table(spark, sf_dir, "documents")).drop("uid")
 
 
+def _with_period(doc_id: Column, text: Column) -> Column:
+    """The text; of one document in ten, by a checksum of its id, with a tail of words that returns with a period."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, _SPACE), lambda w: w != "")
+
+    def tail(w):
+        n = F.size(w).cast("long")
+        a = g % n
+        p = F.floor((n - a) / (3 + g % 8)) + 1
+        at = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+        return let(at, lambda x: F.array_join(F.transform(x, lambda i: F.get(w, i.cast("int"))), " "))
+
+    return F.when(h % 10 == 0, let(words, lambda w: F.when(F.size(w) > 0, tail(w)))).otherwise(text)
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", _with_period(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.find_runs(docs)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+                    (-F.col("best.period")).alias("period"), F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+                    F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -79,6 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sp_dropout": op8_sp_dropout,
     "op9_simhash": op9_simhash,
     "op10_substring": op10_substring,
+    "op11_runs": op11_runs,
+    "op12_collocations": op12_collocations,
     "op13_decontaminate": op13_decontaminate,
 }
 
@@ -118,6 +153,26 @@ base AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
 judged AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base)
 SELECT *, NOT base_failed AND n_words - words_removed >= {quality.MIN_WORDS}
           AND n_words - words_removed >= {quality.MIN_WORDS_LEFT} * n_words AS kept FROM judged""",
+    "op12_collocations": f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+totals AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+places AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, range(1, {collocations.MAX_WORDS + 1}) AS sizes(m) WHERE len(w) >= m),
+f AS (SELECT lang, m, w[i:i + m - 1] AS ws, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS a
+      FROM places GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}),
+cuts AS (SELECT lang, phrase, a, m, ws, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+scored AS (SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, t.n,
+                  (1000::HUGEINT * c.a::HUGEINT * t.n::HUGEINT) // (x.a::HUGEINT * y.a::HUGEINT) AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:k], ' ')
+           JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[k + 1:c.m], ' ') JOIN totals t ON t.lang = c.lang),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (SELECT lang, ws, a, m, k, unnest(range(1, m - k + 2)) AS i FROM (SELECT lang, ws, a, m, unnest(range(2, m)) AS k FROM f WHERE m > 2)),
+covers AS (SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, max(a) AS cover FROM parts GROUP BY ALL),
+kept AS (SELECT worst.* FROM worst LEFT JOIN covers USING (lang, phrase) WHERE cover IS NULL OR 100 * cover < {collocations.COVER_PERCENT} * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= {collocations.TOP}""",
     "op13_decontaminate": f"""
 WITH letters AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}') AS t FROM documents),
 d AS (SELECT doc_id, regexp_extract_all(t, '{_WORD}') AS w FROM letters),
