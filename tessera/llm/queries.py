@@ -164,8 +164,8 @@ f AS (SELECT lang, m, w[i:i + m - 1] AS ws, array_to_string(w[i:i + m - 1], ' ')
 cuts AS (SELECT lang, phrase, a, m, ws, unnest(range(1, m)) AS k FROM f WHERE m > 1),
 scored AS (SELECT c.lang, c.phrase, c.a, c.k, x.a AS l, y.a AS r, t.n,
                   (1000::HUGEINT * c.a::HUGEINT * t.n::HUGEINT) // (x.a::HUGEINT * y.a::HUGEINT) AS score
-           FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:k], ' ')
-           JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[k + 1:c.m], ' ') JOIN totals t ON t.lang = c.lang),
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.k], ' ')
+           JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.k + 1:c.m], ' ') JOIN totals t ON t.lang = c.lang),
 worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 parts AS (SELECT lang, ws, a, m, k, unnest(range(1, m - k + 2)) AS i FROM (SELECT lang, ws, a, m, unnest(range(2, m)) AS k FROM f WHERE m > 2)),
 covers AS (SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, max(a) AS cover FROM parts GROUP BY ALL),
