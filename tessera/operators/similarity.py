@@ -1,19 +1,27 @@
 """Exact k nearest neighbours by dot product, and nearest-neighbour caption retrieval.
 
-``nearest`` is a block nested loop, not a cross join: queries are hashed into Bq blocks and
-base rows into Bb blocks (B = ceil(rows / block_rows)), each query row is copied to the Bb
-base blocks and each base row to the Bq query blocks, and every (query block, base block)
-group is scored by one NumPy matrix product inside a cogrouped ``applyInPandas``. A group
-holds at most ``block_rows`` rows per side whatever the data size, and only the k best per
-query and block leave the task; the final k come from a per-query top-k over k*Bb rows.
+``nearest`` never forms a cross join. A base that fits one block is multiplied with blocks of
+queries. A larger one is dealt to cells (``cell_index``): the vectors nearest to one of a bounded
+number of centres, with the cell's radius and longest vector. A query visits the cells with the
+best centres first; its k-th similarity there is the least that matters, and by the bound of
+Cauchy and Schwarz only cells that can reach it are visited in a second round. On vectors
+without any structure the bound spares little and the work is that of all pairs, in the same
+blocks.
+
+Blocks of either side are bounded in bytes whatever the data size; each pair of blocks is one NumPy
+matrix product inside a cogrouped ``applyInPandas``, and only the k best per query and block
+leave the task.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +29,14 @@ from tessera.functions import text as T
 from tessera.session import ensure_checkpoint_dir
 
 SIM_DECIMALS = 6
+#: Vectors of one side that a task multiplies at once.
+BLOCK_BYTES = 16 << 20
+#: Base rows that a cell should have, and bounds on the number of cells.
+CELL_ROWS = 1024
+MAX_CELLS = 4096
+CENTRE_BYTES = 16 << 20
+#: Numbers of a matrix of queries against cells that a task holds at once.
+STEP_NUMBERS = 1 << 22
 
 
 def _block_topk(k: int, decimals: int):
@@ -48,43 +64,186 @@ def _block_topk(k: int, decimals: int):
     return run
 
 
+def _top(cand: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("query").orderBy(F.col("sim").desc(), F.col("neighbour").asc())
+    return cand.withColumn("rank", F.row_number().over(w).cast("int")).filter(F.col("rank") <= k)
+
+
+def _every_block(q: DataFrame, b: DataFrame, blocks: tuple[int, int], k: int, schema: str) -> DataFrame:
+    """Candidates from every pair of blocks. Blocks by a hash of (id, vector), so that duplicate ids still spread."""
+    bq, bb = blocks
+    qs = (q.withColumn("qb", F.pmod(F.xxhash64("q", "v"), F.lit(bq)))
+          .withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(bb - 1)))))
+    bs = (b.withColumn("bb", F.pmod(F.xxhash64("b", "v"), F.lit(bb)))
+          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))))
+    return qs.groupBy("qb", "bb").cogroup(bs.groupBy("qb", "bb")).applyInPandas(_block_topk(k, SIM_DECIMALS), schema)
+
+
+def _matrix(batch: pa.RecordBatch, dim: int) -> np.ndarray:
+    return batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+
+
+def _in_steps(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Slices of so few rows that a row of ``width`` numbers for each of them stays small."""
+    rows = max(1, STEP_NUMBERS // width)
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Cells of base vectors, each of the vectors nearest to its centre.
+
+    ``size`` counts a cell's rows, ``radius`` is the largest distance from the centre and ``norm`` the
+    longest vector. A vector of the cell has a dot product with q of at most
+    ``min(q . centre + |q| radius, |q| norm)``.
+    """
+
+    centres: np.ndarray
+    size: np.ndarray
+    radius: np.ndarray
+    norm: np.ndarray
+
+    def bounds(self, q: np.ndarray) -> np.ndarray:
+        """Upper bounds of the dot products: a row per query, a column per cell."""
+        length = np.linalg.norm(q, axis=1)[:, None]
+        return np.where(self.size, np.minimum(q @ self.centres.T + length * self.radius, length * self.norm), -np.inf)
+
+    def home(self, q: np.ndarray, enough: int) -> np.ndarray:
+        """True for the cells with the best centres that hold ``enough`` rows together."""
+        order = np.argsort(np.where(self.size, -(q @ self.centres.T), np.inf), axis=1, kind="stable")
+        before = np.cumsum(self.size[order], axis=1) - self.size[order]
+        out = np.zeros(order.shape, bool)
+        np.put_along_axis(out, order, (before < enough) & (self.size[order] > 0), axis=1)
+        return out
+
+
+def cell_index(base: DataFrame, n_rows: int, dim: int, key: str = "key", vec: str = "features",
+               cell_rows: int = CELL_ROWS) -> tuple[DataFrame, Cells]:
+    """Deal ``n_rows`` vectors to cells of about ``cell_rows``: rows (b, v, cell, uid), written once, and the cells.
+
+    The centres are base vectors with the smallest hash, at most ``MAX_CELLS`` of them and at most
+    ``CENTRE_BYTES``: they, and two numbers for each cell, are all that the driver and the tasks hold.
+    """
+    n_cells = max(1, min(math.ceil(n_rows / cell_rows), MAX_CELLS, CENTRE_BYTES // (8 * dim)))
+    b = base.select(F.col(key).alias("b"), F.col(vec).alias("v")).filter(F.col("v").isNotNull())
+    picked = b.select("v", F.xxhash64("v").alias("h")).orderBy("h").limit(n_cells).select("v").distinct().collect()
+    centres = np.array([r["v"] for r in picked], np.float64).reshape(-1, dim)
+    half = (centres ** 2).sum(1) / 2
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _in_steps(batches, len(centres)):
+            v = _matrix(batch, dim)
+            cell = np.argmax(v @ centres.T - half, axis=1)
+            away, length = np.linalg.norm(v - centres[cell], axis=1), np.linalg.norm(v, axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(away), pa.array(length)],
+                                             ["b", "v", "cell", "away", "length"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in b.schema)
+    rows = (b.mapInArrow(assign, f"{fields}, cell int, away double, length double")
+            .withColumn("uid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    size, radius, norm = (np.zeros(len(centres)) for _ in range(3))
+    for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("away"), F.max("length").alias("length")).collect():
+        size[r["cell"]], radius[r["cell"]], norm[r["cell"]] = r["n"], r["away"], r["length"]
+    return rows.select("b", "v", "cell", "uid"), Cells(centres, size.astype(np.int64), radius, norm)
+
+
+def _visits(q: DataFrame, choose: Callable[[np.ndarray, np.ndarray], np.ndarray], dim: int, width: int) -> DataFrame:
+    """(q, v, cell): each query with the cells that ``choose(vectors, least similarities)`` marks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _in_steps(batches, width):
+            least = batch.column("least").to_numpy(zero_copy_only=False).astype(np.float64)
+            row, cell = np.nonzero(choose(_matrix(batch, dim), least))
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column("q").take(at), batch.column("v").take(at), pa.array(cell.astype(np.int32))],
+                                             ["q", "v", "cell"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in q.schema if f.name != "least")
+    return q.mapInArrow(run, f"{fields}, cell int")
+
+
+def _visit(visits: DataFrame, rows: DataFrame, cells: Cells, block_rows: int, k: int, schema: str, report: dict) -> DataFrame:
+    """Candidates of each query from the cells it visits.
+
+    A cell of more than ``block_rows`` rows, or queries, is split into parts; each pair of parts is one group.
+    """
+    spark = visits.sparkSession
+    asked = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}  # a row per cell
+    parts = [(c, math.ceil(int(cells.size[c]) / block_rows), math.ceil(n / block_rows)) for c, n in asked.items()]
+    report["pairs_scored"] += sum(n * int(cells.size[c]) for c, n in asked.items())
+    report["block_pairs_scored"] += sum(a * b for _, a, b in parts)
+    table = F.broadcast(spark.createDataFrame(parts, "cell int, parts int, q_parts int"))  # MAX_CELLS rows at most
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    qs = (visits.join(table, "cell").withColumn("qp", F.pmod(F.xxhash64("q", "v"), F.col("q_parts")).cast("int"))
+          .withColumn("bp", upto("parts")))
+    bs = (rows.join(table, "cell").withColumn("bp", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
+          .withColumn("qp", upto("q_parts")))
+    by = ["cell", "bp", "qp"]
+    return (qs.select(*by, "q", "v").groupBy(*by).cogroup(bs.select(*by, "b", "v").groupBy(*by))
+            .applyInPandas(_block_topk(k, SIM_DECIMALS), schema))
+
+
+def _by_cells(q: DataFrame, rows: DataFrame, cells: Cells, dim: int, block_rows: int, k: int, drop_self: bool, schema: str, report: dict) -> DataFrame:
+    """Candidates in two rounds: the home cells give each query its k-th similarity, then come the cells whose bound reaches it."""
+    width, enough = len(cells.size), k + drop_self
+
+    def scored(visits: DataFrame) -> DataFrame:
+        found = _visit(visits, rows, cells, block_rows, enough, schema, report)
+        return found.filter(F.col("query") != F.col("neighbour")) if drop_self else found
+
+    def further(v: np.ndarray, least: np.ndarray) -> np.ndarray:
+        # similarities are rounded, and the bound is a sum of rounded products
+        slack = 10.0 ** -SIM_DECIMALS + 1e-9 * np.linalg.norm(v, axis=1) * cells.norm.max()
+        return (cells.bounds(v) >= (least - slack)[:, None]) & ~cells.home(v, enough)
+
+    first = _visits(q.withColumn("least", F.lit(None).cast("double")), lambda v, least: cells.home(v, enough), dim, width)
+    near = _top(scored(first), k).drop("rank").checkpoint(eager=True)
+    least = near.groupBy("query").agg(F.when(F.count(F.lit(1)) >= k, F.min("sim")).otherwise(F.lit(float("-inf"))).alias("least"))
+    asking = q.join(least, q["q"].eqNullSafe(least["query"]), "left").select("q", "v", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
+    return near.unionByName(scored(_visits(asking, further, dim, width)))
+
+
 def nearest(query: DataFrame, base: DataFrame, k: int = 5, query_key: str = "key", base_key: str = "key",
-            vec: str = "features", block_rows: int = 2048, exclude_self: bool = False,
-            materialize: bool = True) -> DataFrame:
+            vec: str = "features", block_rows: int | None = None, exclude_self: bool = False,
+            materialize: bool = True, cell_rows: int = CELL_ROWS, report: dict | None = None) -> DataFrame:
     """(query, neighbour, sim, rank): the k base rows with the largest dot product.
 
     Similarity is rounded to 6 decimals before ranking; ties go to the lowest neighbour id.
+    ``block_rows`` is the most rows of either side that a task multiplies at once, by default as many
+    as ``BLOCK_BYTES`` hold. A base of one such block is scored whole; a larger one through cells.
+    ``report`` receives the number of all pairs and of those scored, in vectors and in blocks.
     The result (k rows per query) is checkpointed reliably: downstream plans read it several
-    times, and each read would otherwise rerun the quadratic block product.
+    times, and each read would otherwise rerun the block products.
     """
     ensure_checkpoint_dir(query.sparkSession)
     q = query.select(F.col(query_key).alias("q"), F.col(vec).alias("v")).filter(F.col("v").isNotNull())
     b = base.select(F.col(base_key).alias("b"), F.col(vec).alias("v")).filter(F.col("v").isNotNull())
     # both sizes in one job (a tagged union), to choose the block counts
-    sizes = {r["s"]: r["n"] for r in q.select(F.lit(0).alias("s")).unionByName(b.select(F.lit(1).alias("s")))
-             .groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
-    nq, nb = sizes.get(0, 0), sizes.get(1, 0)
+    tagged = q.select(F.lit(0).alias("s"), F.size("v").alias("d")).unionByName(b.select(F.lit(1).alias("s"), F.size("v").alias("d")))
+    sizes = {r["s"]: r for r in tagged.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("low"), F.max("d").alias("dim")).collect()}
     kq = query.schema[query_key].dataType.simpleString()
     kb = base.schema[base_key].dataType.simpleString()
     schema = f"query {kq}, neighbour {kb}, sim double"
-    if nq == 0 or nb == 0:
+    if len(sizes) < 2:
         return query.sparkSession.createDataFrame([], schema + ", rank int")
-    bq, bb = max(1, math.ceil(nq / block_rows)), max(1, math.ceil(nb / block_rows))
-    # block by a hash of (id, vector) so duplicate ids still spread over blocks
-    qs = (q.withColumn("qb", F.pmod(F.xxhash64("q", "v"), F.lit(bq)))
-          .withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(bb - 1)))))
-    bs = (b.withColumn("bb", F.pmod(F.xxhash64("b", "v"), F.lit(bb)))
-          .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1)))))
-    kk = k + 1 if exclude_self else k
-    cand = (qs.groupBy("qb", "bb").cogroup(bs.groupBy("qb", "bb"))
-            .applyInPandas(_block_topk(kk, SIM_DECIMALS), schema))
-    if exclude_self:
-        cand = cand.filter(F.col("query") != F.col("neighbour"))
-    w = Window.partitionBy("query").orderBy(F.col("sim").desc(), F.col("neighbour").asc())
-    out = cand.withColumn("rank", F.row_number().over(w).cast("int")).filter(F.col("rank") <= k)
-    if not materialize:
-        return out
-    return out.checkpoint(eager=True)
+    nq, nb, dim = sizes[0]["n"], sizes[1]["n"], sizes[1]["dim"]
+    if len({x for r in sizes.values() for x in (r["low"], r["dim"])}) > 1:
+        raise ValueError("vectors differ in length")
+    block_rows = block_rows or max(1, BLOCK_BYTES // (8 * max(dim, 1)))
+    bq, bb = math.ceil(nq / block_rows), math.ceil(nb / block_rows)
+    report = {} if report is None else report
+    report.update(pairs_all=nq * nb, pairs_scored=0, block_pairs_all=bq * bb, block_pairs_scored=0)
+    if bb == 1 or dim == 0:
+        report.update(pairs_scored=nq * nb, block_pairs_scored=bq * bb)
+        cand = _every_block(q, b, (bq, bb), k + exclude_self, schema)
+        cand = cand.filter(F.col("query") != F.col("neighbour")) if exclude_self else cand
+    else:
+        rows, cells = cell_index(b, nb, dim, "b", "v", min(cell_rows, block_rows))
+        report["block_pairs_all"] = sum(math.ceil(int(n) / block_rows) for n in cells.size) * bq
+        cand = _by_cells(q, rows, cells, dim, block_rows, k, exclude_self, schema, report)
+    out = _top(cand, k)
+    return out.checkpoint(eager=True) if materialize else out
 
 
 def retrieve_caption(neighbours: DataFrame, captions: DataFrame, key: str = "key",

@@ -38,8 +38,8 @@ def caption_side(captions: DataFrame, side: str, key: str = "key", test: float =
 
 
 def neighbours_for_validation(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
-                              test: float = 0.2, seed: int = 42, block_rows: int = 2048,
-                              sides: tuple | None = None) -> DataFrame:
+                              test: float = 0.2, seed: int = 42, block_rows: int | None = None,
+                              sides: tuple | None = None, cell_rows: int = SIM.CELL_ROWS, report: dict | None = None) -> DataFrame:
     """k nearest training vectors for every held-out key that has a vector.
 
     A vector takes part only when its key has captions (semi join on the side's keys).
@@ -47,7 +47,7 @@ def neighbours_for_validation(captions: DataFrame, features: DataFrame, k: int =
     train_keys, val_keys = sides or split_sides(captions, key, test, seed)
     q = S.select_split(features, val_keys, key)
     b = S.select_split(features, train_keys, key)
-    return SIM.nearest(q, b, k, key, key, "features", block_rows)
+    return SIM.nearest(q, b, k, key, key, "features", block_rows, cell_rows=cell_rows, report=report)
 
 
 def predict_captions(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",

@@ -199,6 +199,12 @@ def q_knn(spark, sf):
     return EV.neighbours_for_validation(_captions(spark, sf), tables.features(spark, sf), K, test=TEST, seed=SEED)
 
 
+def q_knn_cells(spark, sf):
+    """The same neighbours through small cells and blocks, as a base of many blocks has them."""
+    return EV.neighbours_for_validation(_captions(spark, sf), tables.features(spark, sf), K, test=TEST, seed=SEED,
+                                        block_rows=64, cell_rows=16)
+
+
 def q_retrieve_caption(spark, sf):
     p = EV.predict_captions(_captions(spark, sf), tables.features(spark, sf), K, test=TEST, seed=SEED)
     return p.select("query", "key", "caption_no", F.round("score", 6).alias("score"))
@@ -347,6 +353,7 @@ QUERIES = {
     "clipped_matches": q_clipped_matches,
     "eval_word_counts": q_eval_word_counts,
     "knn": q_knn,
+    "knn_cells": q_knn_cells,
     "retrieve_caption": q_retrieve_caption,
     "evaluate_captions": q_evaluate_captions,
     "evaluate_captions_exact": q_evaluate_captions_exact,
@@ -472,6 +479,7 @@ _RETRIEVE_SQL = f"""{_KNN_SQL},
 
 ORACLE.update({
     "knn": f"{_KNN_SQL} SELECT query, neighbour, sim, rank FROM knn",
+    "knn_cells": f"{_KNN_SQL} SELECT query, neighbour, sim, rank FROM knn",
     "retrieve_caption": f"{_RETRIEVE_SQL} SELECT query, key, caption_no, round(score, 6) AS score FROM best",
     "evaluate_captions": f"""{_RETRIEVE_SQL},
 hyp0 AS (SELECT query AS key, {Q.eval_tok('caption')} AS t FROM best),

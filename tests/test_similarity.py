@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tessera.operators import similarity as SIM
 
@@ -22,6 +23,83 @@ def test_knn_matches_brute_force_across_blocks(spark):
     assert {(r["query"], r["neighbour"], r["rank"]) for r in got} == want
 
 
+def _vectors(spark, v, first=0):
+    return spark.createDataFrame([(first + i, x.tolist()) for i, x in enumerate(v)], "key bigint, features array<float>")
+
+
+def _brute(q, b, k, first=0, same=False):
+    """(query, neighbour, sim, rank) with the lowest id first among equal similarities."""
+    sims = np.round(q.astype(np.float32).astype(np.float64) @ b.astype(np.float32).astype(np.float64).T, 6)
+    out = set()
+    for i, row in enumerate(sims):
+        order = [j for j in np.lexsort((np.arange(len(b)), -row)).tolist() if not (same and i == j)][:k]
+        out |= {(first + i, j, round(float(row[j]), 5), rank) for rank, j in enumerate(order, 1)}
+    return out
+
+
+def _found(df):
+    return {(r["query"], r["neighbour"], round(r["sim"], 5), r["rank"]) for r in df.collect()}
+
+
+def _clusters(rng, n, dim=12, groups=25, spread=0.02):
+    centres = rng.normal(size=(groups, dim))
+    v = centres[rng.integers(groups, size=n)] + spread * rng.normal(size=(n, dim))
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def _shapes():
+    rng = np.random.default_rng(4)
+    scale = lambda n: 10 ** rng.uniform(-2, 2, size=(n, 1))
+    return {"random": (rng.normal(size=(60, 6)), rng.normal(size=(700, 6))),
+            "clustered": (_clusters(np.random.default_rng(1), 80), _clusters(np.random.default_rng(1), 1500)),
+            "unnormalised": (rng.normal(size=(50, 5)) * scale(50), rng.normal(size=(600, 5)) * scale(600)),
+            "repeated": (np.ones((5, 3)), np.repeat(rng.normal(size=(4, 3)), 200, axis=0)),
+            "zero": (np.zeros((3, 4)), np.r_[np.zeros((50, 4)), rng.normal(size=(50, 4))])}
+
+
+@pytest.mark.parametrize("shape", list(_shapes()))
+def test_cells_give_the_neighbours_of_brute_force(spark, shape):
+    q, b = _shapes()[shape]
+    report = {}
+    got = SIM.nearest(_vectors(spark, q), _vectors(spark, b), k=4, block_rows=40, cell_rows=30, report=report)
+    assert _found(got) == _brute(q, b, 4)
+    assert report["pairs_all"] == len(q) * len(b) and 0 < report["pairs_scored"] <= report["pairs_all"]
+    if shape == "clustered":
+        assert report["pairs_scored"] < 0.25 * report["pairs_all"], report
+        assert report["block_pairs_scored"] < report["block_pairs_all"]
+
+
+def test_cells_with_few_rows_and_without_self(spark):
+    v = _clusters(np.random.default_rng(3), 300, dim=5, groups=7)
+    df = _vectors(spark, v)
+    assert _found(SIM.nearest(df, df, k=3, block_rows=25, cell_rows=2, exclude_self=True)) == _brute(v, v, 3, same=True)
+    # more neighbours asked than there are
+    assert _found(SIM.nearest(df.limit(4), df.limit(30), k=50, block_rows=10, cell_rows=3)) == {
+        x for x in _brute(v[:4], v[:30], 50)}
+
+
+def test_number_of_cells_is_bounded(spark, monkeypatch):
+    v = np.random.default_rng(5).normal(size=(200, 4))
+    monkeypatch.setattr(SIM, "CENTRE_BYTES", 5 * 8 * 4)
+    rows, cells = SIM.cell_index(_vectors(spark, v), 200, 4, cell_rows=1)
+    assert len(cells.size) == 5 and cells.size.sum() == 200
+    rows = rows.collect()
+    for r in rows:
+        away = np.linalg.norm(np.array(r["v"]) - cells.centres[r["cell"]])
+        assert away <= cells.radius[r["cell"]] + 1e-9 and away <= np.linalg.norm(np.array(r["v"]) - cells.centres, axis=1).min() + 1e-9
+    q = np.random.default_rng(6).normal(size=(20, 4))
+    dots = q @ np.array([r["v"] for r in rows]).T
+    assert (dots <= cells.bounds(q)[:, [r["cell"] for r in rows]] + 1e-9).all()
+
+
+def test_vectors_of_different_lengths_are_an_error(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0])], "key bigint, features array<float>")
+    with pytest.raises(ValueError):
+        SIM.nearest(df, df)
+    none = df.limit(0)
+    assert SIM.nearest(none, df).collect() == [] and SIM.nearest(df, none).collect() == []
+
+
 def test_exclude_self(spark):
     rows = [(i, [float(i), 1.0]) for i in range(10)]
     df = spark.createDataFrame(rows, "key bigint, features array<float>")
