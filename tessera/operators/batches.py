@@ -11,26 +11,45 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
-from tessera.operators.indexing import dense_index_counted
+from tessera.operators.indexing import dense_index_counted, rank_within
 from tessera.operators.split import seeded_hash
+from tessera.session import ensure_checkpoint_dir
+
+#: Captions of a row of ``group_captions``.
+PAGE_ROWS = 1000
 
 
 def group_captions(df: DataFrame, key: str = "key", order: str = "caption_no",
-                   text: str = "caption") -> DataFrame:
-    """(key, captions array<string>) in caption order; an output formatter only.
+                   text: str = "caption", page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(key, page, first, captions array<string>): the captions of a key in order, in pages.
 
-    Collects every caption of a key into one row - the nested-list shape of the reference.
-    The library's own operators stay in long form and never call this.
+    The nested shape of the reference, with a bound: a row holds at most ``page_rows`` captions, page
+    ``p`` those from rank ``p * page_rows`` (``first``) on. Keys of one page, found by a count, are collected
+    as they are; the captions of larger keys are ranked by a segmented scan first, so that their pages
+    are spread over tasks.
     """
-    return df.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))),
-                    lambda s: s["t"]).alias("captions"))
+    rows = df.select(F.col(key).alias("k"), F.col(order).alias("o"), F.col(text).alias("t"))
+    ensure_checkpoint_dir(df.sparkSession)
+    large = rows.groupBy("k").count().filter(F.col("count") > page_rows).select("k").checkpoint(eager=True)
+    small, paged = rows.withColumn("r", F.lit(None).cast("long")), None
+    if not large.isEmpty():
+        # a right side of a key and its mark: its rows are the keys of more than page_rows captions
+        marked = rows.join(large.withColumn("m", F.lit(True)), rows["k"].eqNullSafe(large["k"]), "left").select(rows["*"], "m")
+        small = marked.filter("m IS NULL").drop("m").withColumn("r", F.lit(None).cast("long"))
+        paged = rank_within(marked.filter("m").drop("m"), "k", ["o", "t"], "r")
+    rows = small if paged is None else small.unionByName(paged)
+    page = F.coalesce(F.floor(F.col("r") / page_rows), F.lit(0)).cast("long")
+    listed = F.array_sort(F.collect_list(F.struct(F.coalesce("r", F.lit(0)).alias("r"), "o", "t")))
+    return (rows.groupBy("k", page.alias("page")).agg(listed.alias("x"))
+            .select(F.col("k").alias(key), "page", (F.col("page") * page_rows).alias("first"),
+                    F.transform("x", lambda s: s["t"]).alias("captions")))
 
 
 def flatten_captions(grouped: DataFrame, key: str = "key", captions: str = "captions") -> DataFrame:
-    """Inverse of group_captions: (key, caption_no, caption), order kept as a column."""
-    return grouped.select(key, F.posexplode(captions).alias("caption_no", "caption")) \
-        .withColumn("caption_no", F.col("caption_no").cast("bigint"))
+    """Inverse of group_captions: (key, caption_no, caption), order kept as a column, over all pages."""
+    first = F.col("first") if "first" in grouped.columns else F.lit(0).cast("long")
+    return grouped.select(key, first.alias("_first"), F.posexplode(captions).alias("caption_no", "caption")) \
+        .select(key, (F.col("_first") + F.col("caption_no")).cast("bigint").alias("caption_no"), "caption")
 
 
 def captions_per_key(df: DataFrame, key: str = "key") -> DataFrame:
@@ -57,13 +76,17 @@ def batch_max_length(batches: DataFrame, tokens: str = "tokens") -> DataFrame:
 def random_caption(df: DataFrame, seed: int, key: str = "key", order: str = "caption_no") -> DataFrame:
     """One uniformly chosen caption per key: the row with the smallest hash(seed, key, no).
 
-    An aggregation, not a window, so a hot key is reduced map-side rather than sorted in
-    one task.
+    The least hash of a key is a hash aggregation of longs with map-side sums; the row is fetched by
+    (key, hash), so the captions of a hot key are neither sorted nor gathered. Of rows that repeat key
+    and number one stays, that with the smallest hash of its other columns.
     """
-    h = seeded_hash(seed, key, order)
     others = [c for c in df.columns if c not in (key, order)]
-    pick = F.min(F.struct(h.alias("_h"), F.col(order).alias(order), *[F.col(c) for c in others]))
-    return df.groupBy(key).agg(pick.alias("_p")).select(key, *[F.col(f"_p.{c}") for c in [order] + others])
+    rows = df.withColumn("_h", seeded_hash(seed, F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(order).cast("string"), F.lit(""))))
+    for least in ("_h", "_t"):
+        best = rows.groupBy(F.col(key).alias("_k")).agg(F.min(least).alias("_best"))
+        rows = rows.join(best, rows[key].eqNullSafe(best["_k"]) & (rows[least] == best["_best"]), "left_semi")
+        rows = rows.withColumn("_t", F.xxhash64(*others) if others else F.lit(0).cast("long"))
+    return rows.select(key, order, *others).distinct()
 
 
 def attach_features(rows: DataFrame, features: DataFrame, key: str = "key") -> DataFrame:

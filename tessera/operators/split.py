@@ -11,9 +11,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.indexing import dense_index
+from tessera.session import ensure_checkpoint_dir
 
 HASH_BITS = 60
+#: Bits of a histogram of the selection; it has at most 2^12 rows.
+STEP_BITS = 12
 
 
 def held_out_below(test: float) -> int:
@@ -44,19 +46,60 @@ def split_by_key(df: DataFrame, key: str = "key", test: float = 0.2, seed: int =
 
     Default: narrow hash rule, no shuffle; a key is held out when its 60-bit hash is below
     ``test * 2^60``. ``exact=True`` holds out exactly
-    ``ceil(test * n_keys)`` keys - those with the lowest hash - via a distributed dense index.
+    ``ceil(test * n_keys)`` keys - those with the lowest hash - by a cut that ``exact_held_out`` finds.
+    Null keys are in the training split.
     """
+    held = exact_held_out(df, key, test, seed) if exact else seeded_hash(seed, key) < F.lit(held_out_below(test))
+    return df.withColumn("split", F.when(held, F.lit(test_name)).otherwise(F.lit(train_name)))
+
+
+def kth_smallest(values: DataFrame, name: str, k: int, bits: int = HASH_BITS) -> tuple[int, int] | None:
+    """(the ``k``-th smallest of a column of integers in [0, 2^bits), how many are smaller); None if there are fewer than ``k``.
+
+    A distributed selection: a histogram over the next ``STEP_BITS`` bits, refined inside the one
+    bucket that holds the value, until its values are few enough to read. Nothing is sorted; each step
+    is a count with map-side sums and returns ``2 ** STEP_BITS`` rows at most.
+    """
+    low, before = 0, 0
+    inside = values.select(F.col(name).alias("_v"))
+    while bits:
+        step = min(STEP_BITS, bits)
+        bits -= step
+        bucket = F.shiftright(F.col("_v") - F.lit(low), bits)
+        rows = inside.groupBy(bucket.alias("_b")).count().collect()
+        for b, n in sorted((r["_b"], r["count"]) for r in rows):
+            if before + n >= k:
+                low += b << bits
+                break
+            before += n
+        else:
+            return None
+        inside = inside.filter((F.col("_v") >= low) & (F.col("_v") < low + (1 << bits)))
+        if n <= 1 << STEP_BITS:
+            found = sorted(r["_v"] for r in inside.collect())
+            value = found[k - before - 1]
+            return value, before + found.index(value)
+    return low, before
+
+
+def exact_held_out(df: DataFrame, key: str = "key", test: float = 0.2, seed: int = 42) -> Column:
+    """Predicate that holds for exactly ``ceil(test * n)`` of the ``n`` keys, those with the lowest (hash, key).
+
+    The keys are made distinct and written once, as narrow rows; the cut is the value of an order
+    statistic of their hashes, so both sides are filters in the scan, without a sort or a join.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = (df.select(key).filter(F.col(key).isNotNull()).distinct()
+            .withColumn("_h", seeded_hash(seed, key)).checkpoint(eager=True))
+    m = math.ceil(test * keys.count())
+    found = kth_smallest(keys, "_h", m) if m else None
+    if found is None:
+        return F.lit(False)
+    cut, smaller = found
     h = seeded_hash(seed, key)
-    if not exact:
-        held = h < F.lit(held_out_below(test))
-        return df.withColumn("split", F.when(held, F.lit(test_name)).otherwise(F.lit(train_name)))
-    keys = df.select(key).distinct().withColumn("_h", h)
-    n = keys.count()
-    m = int(math.ceil(test * n))
-    ranked = dense_index(keys, ["_h", key], "_r")
-    sides = ranked.select(key, F.when(F.col("_r") < m, F.lit(test_name))
-                          .otherwise(F.lit(train_name)).alias("split"))
-    return df.join(sides, key)
+    # keys of one hash are told apart by their order; that there are two is a matter of 60 bits
+    last = keys.filter(F.col("_h") == cut).orderBy(key).limit(m - smaller).agg(F.max(key).alias("k")).first()["k"]
+    return (h < F.lit(cut)) | ((h == F.lit(cut)) & (F.col(key) <= F.lit(last)))
 
 
 def in_side(side: str, key: str = "key", test: float = 0.2, seed: int = 42,

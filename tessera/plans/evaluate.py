@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -12,49 +12,44 @@ from tessera.operators import split as S
 from tessera.session import ensure_checkpoint_dir
 
 
-def split_sides(captions: DataFrame, key: str = "key", test: float = 0.2, seed: int = 42,
-                exact: bool = False):
-    """(train keys, val keys) that have captions.
-
-    Default: distinct keys of a narrow hash filter. ``exact``: exactly ``ceil(test * n)``
-    held-out keys, those with the lowest seeded hash (useful when there are few keys).
-    """
+def held_out(captions: DataFrame, key: str = "key", test: float = 0.2, seed: int = 42, exact: bool = False) -> Column:
+    """Predicate of the held-out keys: a rule on the key's hash, or exactly ``ceil(test * n)`` of the
+    keys that have captions, those with the lowest hash (useful when there are few keys)."""
     if exact:
-        # one row per key, read by several consumers: computed and materialized once
-        ensure_checkpoint_dir(captions.sparkSession)
-        keys = S.split_keys(captions, key, test=test, seed=seed, exact=True).checkpoint(eager=True)
-        return tuple(keys.filter(F.col("split") == side).select(key) for side in ("train", "val"))
-    return tuple(S.split_rows(captions, side, key, test, seed).select(key).distinct()
-                 for side in ("train", "val"))
+        return S.exact_held_out(captions, key, test, seed)
+    return S.in_side("val", key, test, seed)
 
 
 def caption_side(captions: DataFrame, side: str, key: str = "key", test: float = 0.2,
-                 seed: int = 42, sides: tuple | None = None) -> DataFrame:
-    """Captions on one side of the split: a narrow hash filter, no join; or, given
-    precomputed ``sides`` (train keys, val keys), a semi join on that side's keys."""
-    if sides is not None:
-        return S.select_split(captions, sides[0] if side == "train" else sides[1], key)
-    return S.split_rows(captions, side, key, test, seed)
+                 seed: int = 42, held: Column | None = None) -> DataFrame:
+    """Captions on one side of the split: a narrow filter by ``held``, the hash rule if none is given."""
+    held = held_out(captions, key, test, seed) if held is None else held
+    return captions.filter(held if side == "val" else ~held)
+
+
+def split_sides(captions: DataFrame, key: str = "key", test: float = 0.2, seed: int = 42, exact: bool = False):
+    """(train keys, val keys) that have captions."""
+    held = held_out(captions, key, test, seed, exact)
+    return tuple(caption_side(captions, side, key, held=held).select(key).distinct() for side in ("train", "val"))
 
 
 def neighbours_for_validation(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
                               test: float = 0.2, seed: int = 42, block_rows: int | None = None,
-                              sides: tuple | None = None, cell_rows: int = SIM.CELL_ROWS, report: dict | None = None) -> DataFrame:
+                              held: Column | None = None, cell_rows: int = SIM.CELL_ROWS, report: dict | None = None) -> DataFrame:
     """k nearest training vectors for every held-out key that has a vector.
 
     A vector takes part only when its key has captions (semi join on the side's keys).
     """
-    train_keys, val_keys = sides or split_sides(captions, key, test, seed)
-    q = S.select_split(features, val_keys, key)
-    b = S.select_split(features, train_keys, key)
+    q, b = (S.select_split(features, caption_side(captions, side, key, test, seed, held).select(key).distinct(), key)
+            for side in ("val", "train"))
     return SIM.nearest(q, b, k, key, key, "features", block_rows, cell_rows=cell_rows, report=report)
 
 
 def predict_captions(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
-                     test: float = 0.2, seed: int = 42, sides: tuple | None = None) -> DataFrame:
+                     test: float = 0.2, seed: int = 42, held: Column | None = None) -> DataFrame:
     """(query, key, caption_no, caption, score): one retrieved caption per held-out key."""
-    nb = neighbours_for_validation(captions, features, k, key, test, seed, sides=sides)
-    return SIM.retrieve_caption(nb, caption_side(captions, "train", key, test, seed, sides), key)
+    nb = neighbours_for_validation(captions, features, k, key, test, seed, held=held)
+    return SIM.retrieve_caption(nb, caption_side(captions, "train", key, test, seed, held), key)
 
 
 def evaluate_captions(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
@@ -63,10 +58,10 @@ def evaluate_captions(captions: DataFrame, features: DataFrame, k: int = 5, key:
     """(metric, score): corpus BLEU of retrieved captions against each held-out key's own
     captions, both tokenized by ``tokenizer`` (the evaluation tokenizer by default)."""
     ensure_checkpoint_dir(captions.sparkSession)
-    sides = split_sides(captions, key, test, seed, exact=True) if exact else None
-    pred = predict_captions(captions, features, k, key, test, seed, sides)
+    held = held_out(captions, key, test, seed, exact)
+    pred = predict_captions(captions, features, k, key, test, seed, held)
     # one row per query, read twice by BLEU (matches and lengths): materialize it once
     hyp = pred.select(F.col("query").alias(key), tokenizer("caption").alias("tokens")).checkpoint(eager=True)
-    refs = caption_side(captions, "val", key, test, seed, sides).select(
+    refs = caption_side(captions, "val", key, test, seed, held).select(
         key, F.col("caption_no").alias("ref_no"), tokenizer("caption").alias("tokens"))
     return BL.corpus_bleu(hyp, refs, weights, key)

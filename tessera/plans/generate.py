@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -10,7 +10,7 @@ from tessera.operators import bleu as BL
 from tessera.operators import nextword as NW
 from tessera.operators import similarity as SIM
 from tessera.operators import vocab as V
-from tessera.plans.evaluate import caption_side, neighbours_for_validation, split_sides
+from tessera.plans.evaluate import caption_side, held_out, neighbours_for_validation
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -81,25 +81,28 @@ def _decode_near(nb: DataFrame, vocab: DataFrame, enc: DataFrame, corpus: DataFr
 
 def generate_captions(captions: DataFrame, features: DataFrame, k: int = 5, num_words: int = 10000,
                       max_tokens: int = 30, key: str = "key", test: float = 0.2, seed: int = 42,
-                      exact: bool = False, strip: bool = True) -> DataFrame:
+                      exact: bool = False, strip: bool = True, held: Column | None = None) -> DataFrame:
     """(query, tokens, text) for every held-out key with a vector, from the training side.
 
-    ``exact`` holds out exactly ``ceil(test * n)`` keys, as in ``evaluate_captions``.
+    ``exact`` holds out exactly ``ceil(test * n)`` keys, as in ``evaluate_captions``; ``held`` is a
+    predicate of the held-out keys that is known already.
     """
-    sides = split_sides(captions, key, test, seed, exact=True) if exact else None
-    vocab, enc, corpus, _ = corpus_model(caption_side(captions, "train", key, test, seed, sides), num_words)
-    nb = neighbours_for_validation(captions, features, k, key, test, seed, sides=sides)
+    held = held_out(captions, key, test, seed, exact) if held is None else held
+    vocab, enc, corpus, _ = corpus_model(caption_side(captions, "train", key, test, seed, held), num_words)
+    nb = neighbours_for_validation(captions, features, k, key, test, seed, held=held)
     return _decode_near(nb, vocab, enc, corpus, max_tokens, key, strip)
 
 
 def evaluate_generated(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
-                       test: float = 0.2, seed: int = 42, tokenizer=T.eval_tokenize) -> DataFrame:
+                       test: float = 0.2, seed: int = 42, tokenizer=T.eval_tokenize, weights: dict | None = None,
+                       exact: bool = False, num_words: int = 10000, max_tokens: int = 30) -> DataFrame:
     """(metric, score): corpus BLEU of generated captions against held-out keys' captions."""
-    gen = generate_captions(captions, features, k, key=key, test=test, seed=seed)
+    held = held_out(captions, key, test, seed, exact)
+    gen = generate_captions(captions, features, k, num_words, max_tokens, key, test, seed, held=held)
     hyp = gen.select(F.col("query").alias(key), tokenizer("text").alias("tokens"))
-    refs = caption_side(captions, "val", key, test, seed).select(
+    refs = caption_side(captions, "val", key, test, seed, held).select(
         key, F.col("caption_no").alias("ref_no"), tokenizer("caption").alias("tokens"))
-    return BL.corpus_bleu(hyp, refs, None, key)
+    return BL.corpus_bleu(hyp, refs, weights, key)
 
 
 def held_out_cross_entropy(captions: DataFrame, num_words: int = 10000, alpha: float = 1.0,

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tessera.operators.indexing import rank_within
 
 def read_captions(spark: SparkSession, path: str, key_col: str = "image", text_col: str = "caption",
-                  key: str = "key", number: bool = True, multi_line: bool = True) -> DataFrame:
+                  key: str = "key", number: bool = True, multi_line: bool | None = True) -> DataFrame:
     """(key, caption_no, caption) from comma-separated files with a header.
 
     Columns are found by their names in the header, in any place; others are read past, and a
@@ -18,9 +18,12 @@ def read_captions(spark: SparkSession, path: str, key_col: str = "image", text_c
     With ``number`` the caption order inside its file becomes ``caption_no`` (0-based per key,
     files in path order).
 
-    A file with ``multi_line`` is read by one task. ``multi_line=False`` splits large files,
-    for files without quoted newlines.
+    With ``multi_line``, the default, a file is read by one task, which many files of up to some hundred
+    MB bear well. Few large files are better split, by ``multi_line=False``: right where no field holds a
+    newline. ``None`` looks first (``has_quoted_newlines``), which reads the files once more, in parallel.
     """
+    if multi_line is None:
+        multi_line = has_quoted_newlines(spark, path)
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     names = reader.csv(path).columns
     missing = {key_col, text_col} - set(names)
@@ -37,6 +40,12 @@ def read_captions(spark: SparkSession, path: str, key_col: str = "image", text_c
     return caption_numbers(df, key, ["_file", "_block", "_row"]).drop("_file", "_block", "_row")
 
 
+def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
+    """Whether a line has an odd number of quotes: without one, every record is a line of its own."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def rename_key(df: DataFrame, from_: str, to: str = "key") -> DataFrame:
     """Rename the key column (the reference renames ``image`` to ``filename``)."""
     if from_ not in df.columns:

@@ -62,3 +62,25 @@ def test_group_and_flatten_round_trip(spark):
 def test_steps_per_epoch_truncates(spark):
     df = spark.range(1000).select(F.col("id").alias("key"))
     assert B.steps_per_epoch(df, 384).first()["steps"] == 2
+
+
+def test_groups_come_in_pages_of_bounded_size(spark):
+    rows = spark.range(1_000_000).selectExpr("0L AS key", "id AS caption_no", "concat('c', id) AS caption")
+    rest = spark.createDataFrame([(1, 0, "a"), (1, 1, None), (2, 0, "b"), (None, 0, "n")], "key bigint, caption_no bigint, caption string")
+    got = B.group_captions(rows.unionByName(rest), page_rows=10_000)
+    sizes = {(r["key"], r["page"]): r["n"] for r in got.selectExpr("key", "page", "size(captions) AS n").collect()}
+    assert sizes == {**{(0, p): 10_000 for p in range(100)}, (1, 0): 2, (2, 0): 1, (None, 0): 1}
+    flat = B.flatten_captions(got)
+    assert flat.filter("key = 0 AND caption <> concat('c', caption_no)").isEmpty() and flat.count() == 1_000_004
+    assert sorted(map(tuple, flat.filter("key <> 0 OR key IS NULL").collect()), key=repr) == sorted(map(tuple, rest.collect()), key=repr)
+
+
+def test_random_caption_neither_sorts_nor_gathers(spark):
+    df = spark.createDataFrame([(k, i, f"t{k}{i}") for k in range(20) for i in range(9)] + [(3, 1, "t31")] * 3 + [(3, 1, "other")] + [(None, 0, "n")],
+                               "key bigint, caption_no bigint, caption string")
+    out = B.random_caption(df, 7)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
+    rows = out.collect()
+    assert sorted([r["key"] for r in rows], key=repr) == sorted([*range(20), None], key=repr)
+    assert out.exceptAll(df).isEmpty() and sorted(map(tuple, B.random_caption(df.repartition(5), 7).collect()), key=repr) == sorted(map(tuple, rows), key=repr)

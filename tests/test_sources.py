@@ -166,3 +166,37 @@ def test_normalize_keeps_key_name_and_type(spark):
     assert dict(IMG.normalize_images(df, (2, 1), key="item").dtypes)["item"] == "bigint"
     assert np.allclose(out[7], [0, 0, 0, 1, 1, 1])
     assert np.allclose(out[8], [30 / 255, 20 / 255, 10 / 255] * 2, atol=1e-6)
+
+
+def test_fingerprint_follows_the_files(spark, tmp):
+    folder = os.path.join(tmp, "t")
+    spark.range(100).repartition(4).write.parquet(folder)
+    df = lambda: spark.read.parquet(folder).select((spark.range(1).count() + C.F.col("id")).alias("x"))
+    first = C.fingerprint(spark, [df()], "p")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert C.fingerprint(spark, [df()], "p") == first  # files in another order and grouping
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert C.fingerprint(spark, [df()], "q") != first
+    counted = df().groupBy("x").count()  # an aggregate has no hidden columns
+    second = C.fingerprint(spark, [counted])
+    spark.range(5).write.mode("append").parquet(folder)
+    grown = C.fingerprint(spark, [df()], "p")
+    assert grown != first and C.fingerprint(spark, [df().groupBy("x").count()]) != second
+    part = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))[0]
+    os.utime(os.path.join(folder, part), (1, 1))
+    touched = C.fingerprint(spark, [df()], "p")
+    assert touched not in (first, grown)
+    os.rename(os.path.join(folder, part), os.path.join(folder, "renamed.parquet"))
+    assert C.fingerprint(spark, [df()], "p") != touched
+    assert C.fingerprint(spark, [spark.range(3)], "p") == C.fingerprint(spark, [spark.range(9)], "p")
+
+
+def test_the_check_for_quoted_newlines_chooses_the_reader(spark, tmp):
+    plain = _write(tmp, "plain.csv", 'image,caption\na.jpg,"say ""hi"""\na.jpg,two\n')
+    broken = _write(tmp, "broken.csv", 'image,caption\na.jpg,"two\nlines"\n')
+    assert not CAP.has_quoted_newlines(spark, plain) and CAP.has_quoted_newlines(spark, broken)
+    for path, want in ((plain, ['say "hi"', "two"]), (broken, ["two\nlines"])):
+        rows = CAP.read_captions(spark, path, multi_line=None).orderBy("caption_no").collect()
+        assert [r["caption"] for r in rows] == want

@@ -78,3 +78,57 @@ def test_split_side_is_a_narrow_filter_equal_to_the_semi_join(spark):
     assert "Exchange" not in side._jdf.queryExecution().executedPlan().toString()
     keys = S.split_keys(c).filter("split = 'val'")
     assert sorted(map(tuple, side.collect())) == sorted(map(tuple, S.select_split(c, keys).collect()))
+
+
+def test_rank_within_carries_keys_over_partitions(spark):
+    from pyspark.sql import functions as F
+    before = spark.conf.get("spark.sql.adaptive.skewJoin.enabled")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "70")
+    try:
+        # one key with a third of the rows, keys of one row, a null key, and long runs that fill partitions
+        rows = [("hot", i) for i in range(2000)] + [(f"k{i:04}", 0) for i in range(2000)] + [(None, i) for i in range(1000)] + [("z", i) for i in range(1000)]
+        df = spark.createDataFrame(rows, "key string, o bigint").repartition(9, "o")
+        for n in (3, 8, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            out = rank_within(df, "key", ["o"], "r")
+            assert sorted(map(tuple, out.select("key", "o", "r").collect()), key=repr) == sorted([(k, o, o) for k, o in rows], key=repr)
+            p = out._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning" not in p and "SortMergeJoin" not in p
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert rank_within(df.limit(0), "key", ["o"], "r").collect() == []
+
+
+def test_kth_smallest(spark):
+    import numpy as np
+    for values in (np.random.default_rng(1).integers(0, 1 << 60, 20_000).tolist(), [5] * 6000 + [4, 6], list(range(9000)), [(1 << 60) - 1]):
+        df = spark.createDataFrame([(v,) for v in values], "v bigint")
+        ordered = sorted(values)
+        for k in {1, len(values) // 3 + 1, len(values)}:
+            cut = ordered[k - 1]
+            assert S.kth_smallest(df, "v", k) == (cut, ordered.index(cut))
+        assert S.kth_smallest(df, "v", len(values) + 1) is None
+
+
+def test_exact_split_is_a_filter_without_a_sort(spark):
+    rows = spark.range(30_000).selectExpr("CAST(id % 7001 AS string) AS key", "id").unionAll(spark.sql("SELECT CAST(NULL AS string), -1L"))
+    for test in (0.0, 0.2, 1.0):
+        out = S.split_by_key(rows, "key", test=test, exact=True)
+        p = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in p and "Sort" not in p and "Join" not in p
+        held = {r["key"] for r in out.filter("split = 'val'").collect()}
+        assert len(held) == -(-7001 * int(10 * test) // 10)
+        assert held.isdisjoint({r["key"] for r in out.filter("split = 'train'").collect()})
+
+
+def test_exact_split_tells_equal_hashes_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(S, "seeded_hash", lambda seed, *c: (F.col(c[0]) % 3).cast("long"))
+    out = S.split_by_key(spark.range(100).withColumnRenamed("id", "key"), "key", test=0.5, exact=True)
+    held = sorted(r["key"] for r in out.filter("split = 'val'").collect())
+    assert held == sorted(sorted(range(100), key=lambda k: (k % 3, k))[:50])
