@@ -6,17 +6,20 @@ equal phrases together, and the size of an equal partition is the phrase's count
 
 1. Words are counted per language. A word below ``min_count`` is in no frequent phrase, so it ends
    pieces from here on; so does, after a count of the neighbouring pairs, every pair below it. Both
-   counts are summed in each task before the shuffle, and both sets travel as filters whose size
-   follows from a count (``members``); what a filter lets through by mistake only costs time.
-2. The suffixes that are left, of two words or more, are summed over equal ones and routed by their
-   language and leading word. Where more than ``max_group`` distinct suffixes share a leading word,
-   they are routed by two leading words, and so on up to ``max_words``, so no task sorts more than
-   ``max_group`` of a kind; counts of the prefixes that were split are summed on the way.
-3. Each task sorts its suffixes by three-way partitions at growing depth. A partition whose
+   sets travel as filters whose size follows from a count (``members``); what a filter lets through by
+   mistake, or because there are too many keys for one, only costs time.
+2. The suffixes that are left, of two words or more, are routed by their leading word. Where a word
+   occurs more than ``max_group`` times, two leading words route them, so no task sorts more than
+   ``max_group`` of a kind. Under a pair that is more frequent still, each task sums the prefixes of its
+   suffixes, and the sums are routed prefix by prefix.
+3. Each bucket's suffixes are sorted by three-way partitions at growing depth. A partition whose
    occurrences add up to less than ``min_count`` is abandoned.
 4. Each phrase is scored at its weakest cut, by joins with the counts of both parts, in exact
    decimals; phrases that a longer one covers are dropped, and the best of each language stay.
 
+Pairs and suffixes are summed in each task and shuffled as sorted, compressed blocks, a row per block
+and bucket; there are ``BUCKETS`` buckets for each shuffle partition of the session.
+
 Words are bytes other than blanks and tabs, in A-Z lower-cased text; pieces end at ``.,;:!?`` and the
 characters 10 to 13. A null text counts as empty, a null language as ``und``. Rows that repeat each
 other all count. Other columns are not read; an empty table gives an empty result.
@@ -42,10 +45,14 @@ MIN_COUNT = 100
 TOP = 2000
 #: A phrase is dropped when a longer one has at least this share of its occurrences.
 COVER_PERCENT = 100
-#: Distinct suffixes with one leading word, beyond which more leading words route them.
+#: Occurrences of a leading word, or pair, beyond which more leading words route the suffixes.
 MAX_GROUP = 200_000
-#: Rows that a task sums, or sorts, at a time.
+#: Rows that a task sums at a time.
 KEEP = 1_000_000
+#: Bits of a pair's key. Pairs that share a key only pass the filter together.
+PAIR_BITS = 48
+#: Buckets for each shuffle partition.
+BUCKETS = 4
 #: Distinct words of a task's dictionary; it is begun again beyond. Squared and multiplied by KEEP it fits 63 bits.
 KEEP_WORDS = 500_000
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -127,14 +134,31 @@ def _numbers(text: bytes, known: _Words) -> tuple[np.ndarray, list[bytes]]:
 
 
 def _pairs(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """The key of each word with its neighbour where both are wanted, else 0."""
+    """The key of each word with its neighbour where both are wanted, else 0; ``PAIR_BITS`` bits."""
     h = (keys[:-1] * _MIX) ^ keys[1:]
     h = (h ^ (h >> np.uint64(29))) * _MIX
-    h ^= h >> np.uint64(32)
+    h >>= np.uint64(64 - PAIR_BITS)
     h[h == 0] = 1
     return np.where(wanted[:-1] & wanted[1:], h, np.uint64(0))
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte of the same rank, so that the zeros lie together."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _numbers_of(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def _shrink(data: bytes) -> bytes:
+    return pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _grow(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, size, codec="zstd", asbytes=True)
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     return found, np.bincount(inverse, np.concatenate(counts), len(found)).astype(np.int64)
@@ -154,8 +178,45 @@ def _scan(batches, bits: np.ndarray | None):
         yield lang, d, numbers, words, _pairs(keys[numbers], wanted[numbers])
 
 
-def pair_counts(docs: DataFrame, word_bits: np.ndarray | None) -> DataFrame:
-    """(pair, n): occurrences of neighbouring words that both pass the filter, by the pair's key."""
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of each bucket; a partition is sorted by bucket."""
+    rows: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if rows and row["bucket"] != rows[0]["bucket"]:
+                yield rows
+                rows = []
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def _dealt(blocks: DataFrame) -> DataFrame:
+    return blocks.repartition("bucket").sortWithinPartitions("bucket")
+
+
+def _buckets(df: DataFrame) -> int:
+    return max(1, BUCKETS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def pair_counts(docs: DataFrame, word_bits: np.ndarray | None, least: int) -> DataFrame:
+    """(pair, n): keys of neighbouring words that both pass the filter and occur together ``least`` times or more.
+
+    A task hands its sums on as sorted keys with their differences, a block for each range of keys.
+    """
+    buckets = _buckets(docs)
+    width = -(-(1 << PAIR_BITS) // buckets)
+
+    def blocks(keys, counts):
+        border = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) * np.uint64(width)).tolist()
+        rows = []
+        for k, (low, high) in enumerate(zip(border, border[1:])):
+            if low < high:
+                steps = np.diff(keys[low:high], prepend=np.uint64(0))
+                rows.append((k, high - low, _shrink(_planes(steps) + _planes(counts[low:high]))))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
+                                           pa.array([r[2] for r in rows], pa.binary())], ["bucket", "size", "block"])
+
     def run(batches):
         keys, counts, size = [], [], 0
         for *_, pairs in _scan(batches, word_bits):
@@ -163,17 +224,24 @@ def pair_counts(docs: DataFrame, word_bits: np.ndarray | None) -> DataFrame:
             keys.append(k)
             counts.append(n)
             size += len(k)
-            if size > 2 * KEEP:
+            if size > 3 * KEEP:
                 k, n = _summed(keys, counts)
                 keys, counts, size = [k], [n], len(k)
-                if size > KEEP:
-                    yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], ["pair", "n"])
+                if size > 2 * KEEP:
+                    yield blocks(k, n)
                     keys, counts, size = [], [], 0
         if keys:
-            k, n = _summed(keys, counts)
-            yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], ["pair", "n"])
+            yield blocks(*_summed(keys, counts))
 
-    return docs.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    def add(batches):
+        for rows in _by_bucket(batches):
+            halves = [(_grow(r["block"], 16 * r["size"]), 8 * r["size"]) for r in rows]
+            k, n = _summed([np.cumsum(_numbers_of(x[:at]), dtype=np.uint64) for x, at in halves],
+                           [_numbers_of(x[at:]).astype(np.int64) for x, at in halves])
+            kept = n >= least
+            yield pa.RecordBatch.from_arrays([pa.array(k[kept].view(np.int64)), pa.array(n[kept])], ["pair", "n"])
+
+    return _dealt(docs.mapInArrow(run, "bucket int, size long, block binary")).mapInArrow(add, "pair long, n long")
 
 
 def _equal_rows(columns: np.ndarray, base: int) -> np.ndarray:
@@ -184,25 +252,46 @@ def _equal_rows(columns: np.ndarray, base: int) -> np.ndarray:
     return rank
 
 
-def suffixes(docs: DataFrame, word_bits: np.ndarray | None, pair_bits: np.ndarray | None, max_words: int) -> DataFrame:
-    """(lang, phrase, pair, n): suffixes of two words or more up to a pair that fails the filter, equal ones of a slice summed."""
-    def run(batches):
-        waiting: dict[str, list] = {}
-
-        def rows(lang):
-            d, *parts = waiting.pop(lang)
-            numbers, pairs = np.concatenate([x[0] for x in parts], axis=1), np.concatenate([x[1] for x in parts])
-            rank = _equal_rows(numbers, len(d.keys) + 1)
-            _, first = np.unique(rank, return_index=True)
-            names = list(d)
-            phrases = [b" ".join([names[x] for x in row if x]).decode() for row in numbers[:, first].T.tolist()]
-            return pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), pa.array(pairs[first].view(np.int64)),
-                pa.array(np.bincount(rank).astype(np.int64))], ["lang", "phrase", "pair", "n"])
+def suffixes(docs: DataFrame, word_bits: np.ndarray | None, pair_bits: np.ndarray | None, hot_words: np.ndarray | None,
+             hot_pairs: np.ndarray | None, max_words: int) -> DataFrame:
+    """(bucket, lang, whole, size, bytes, block): suffixes of two words or more up to a pair that fails the filter.
+
+    Equal ones of a slice are summed. A block holds sorted phrases and their counts. ``whole`` blocks
+    have prefixes under the most frequent pairs, which are phrases by themselves.
+    """
+    buckets = _buckets(docs)
+
+    def rows(lang, d, parts):
+        numbers, pairs = np.concatenate([x[0] for x in parts], axis=1), np.concatenate([x[1] for x in parts])
+        rank = _equal_rows(numbers, len(d.keys) + 1)
+        _, first = np.unique(rank, return_index=True)
+        numbers, pairs, counts = numbers[:, first], pairs[first], np.bincount(rank).tolist()
+        keys = np.array(d.keys, np.uint64)[numbers[0]]
+        bucket = (np.where(holds(hot_words, keys), pairs, keys) % np.uint64(buckets)).tolist()
+        names, found, prefixes = list(d), {}, Counter()
+        for row, to, hot, n in zip(numbers.T.tolist(), bucket, holds(hot_pairs, pairs).tolist(), counts):
+            words = [names[x] for x in row if x]
+            if hot:
+                for k in range(2, len(words) + 1):
+                    prefixes[b" ".join(words[:k])] += n
+            else:
+                found.setdefault((to, False), []).append((b" ".join(words), n))
+        for phrase, n in prefixes.items():
+            found.setdefault((xxhash.xxh3_64_intdigest(phrase, d.seed) % buckets, True), []).append((phrase, n))
+        out = []
+        for (to, whole), listed in found.items():
+            listed.sort()
+            text, counted = b"\n".join([x[0] for x in listed]), _planes(np.array([x[1] for x in listed]))
+            out.append((to, lang, whole, len(listed), len(text) + len(counted), _shrink(counted + text)))
+        types = [pa.int32(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)],
+                                          ["bucket", "lang", "whole", "size", "bytes", "block"])
 
+    def run(batches):
+        waiting: dict[str, tuple] = {}
         for lang, d, numbers, _, pairs in _scan(batches, word_bits):
-            if lang in waiting and (waiting[lang][0] is not d or sum(len(x[1]) for x in waiting[lang][1:]) > KEEP):
-                yield rows(lang)
+            if lang in waiting and (waiting[lang][0] is not d or sum(len(x[1]) for x in waiting[lang][1]) > KEEP):
+                yield rows(lang, *waiting.pop(lang))
             linked = (pairs != 0) & holds(pair_bits, pairs)
             at = np.flatnonzero(linked)
             if not len(at):
@@ -215,31 +304,11 @@ def suffixes(docs: DataFrame, word_bits: np.ndarray | None, pair_bits: np.ndarra
             for k in range(2, max_words):
                 alive &= linked[at + k - 1]
                 found[k] = np.where(alive, numbers[at + k], 0)
-            waiting.setdefault(lang, [d]).append((found, pairs[at]))
-        for lang in list(waiting):
-            yield rows(lang)
-
-    return docs.mapInArrow(run, "lang string, phrase string, pair long, n long")
-
+            waiting.setdefault(lang, (d, []))[1].append((found, pairs[at]))
+        for lang, x in waiting.items():
+            yield rows(lang, *x)
 
-def _leading(k) -> "F.Column":
-    return F.substring_index("phrase", " ", k) if isinstance(k, int) else F.array_join(F.slice(F.split("phrase", " "), F.lit(1), k), " ")
-
-
-def route(found: DataFrame, max_words: int, max_group: int) -> tuple[DataFrame, list[DataFrame]]:
-    """(lang, phrase, n, depth): how many leading words route a suffix; and counts of the prefixes that were split."""
-    routed, split = found.withColumn("depth", F.lit(1)), []
-    for k in range(1, max_words):
-        deep = routed.filter(F.col("depth") == k).select("lang", _leading(k).alias("lead"), "n")
-        hot = cut(deep.groupBy("lang", "lead").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).filter(F.col("rows") > max_group))
-        if hot.isEmpty():
-            break
-        if k > 1:
-            split.append(hot.select("lang", F.col("lead").alias("phrase"), "n"))
-        mark = hot.select("lang", "lead", F.lit(k).alias("depth"), F.lit(True).alias("hot"))
-        routed = (routed.withColumn("lead", _leading(k)).join(mark, ["lang", "lead", "depth"], "left")
-                  .select("lang", "phrase", "n", F.when(F.col("hot"), k + 1).otherwise(F.col("depth")).alias("depth")))
-    return routed, split
+    return docs.mapInArrow(run, "bucket int, lang string, whole boolean, size long, bytes long, block binary")
 
 
 def multikey_quicksort(columns: np.ndarray, weights: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -270,45 +339,44 @@ def multikey_quicksort(columns: np.ndarray, weights: np.ndarray, least: int) ->
     return out
 
 
-def _sorted_counts(table: pa.Table, max_words: int, least: int) -> pa.RecordBatch:
-    phrases = table.column("phrase").combine_chunks()
+def _sorted_counts(langs: pa.Array, phrases: pa.Array, weights: np.ndarray, max_words: int, least: int) -> list[tuple]:
+    """(lang, phrase, n) of the prefixes of two words or more with at least ``least`` occurrences."""
     split = pc.split_pattern(phrases, " ")
     lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
     codes = pc.list_flatten(split).dictionary_encode().indices.to_numpy(zero_copy_only=False)
     first = np.cumsum(lengths) - lengths
     columns = np.full((max_words + 1, len(lengths)), -1, np.int32)
-    columns[0] = table.column("lang").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    columns[0] = langs.dictionary_encode().indices.to_numpy(zero_copy_only=False)
     for k in range(max_words):
         has = lengths > k
         columns[k + 1][has] = codes[first[has] + k]
-    depth = table.column("depth").to_numpy()
-    # a prefix shorter than its rows' route has rows elsewhere too; its count is known from the routing
-    found = [x for x in multikey_quicksort(columns, table.column("n").to_numpy(), least) if x[1] >= max(2, depth[x[0]])]
-    rows = pa.array([x[0] for x in found], pa.int64())
-    names = [" ".join(p.split(" ")[:x[1]]) for p, x in zip(phrases.take(rows).to_pylist(), found)]
-    return pa.RecordBatch.from_arrays([table.column("lang").combine_chunks().take(rows), pa.array(names, pa.string()),
-                                       pa.array([x[2] for x in found], pa.int64())], ["lang", "phrase", "n"])
+    found = [x for x in multikey_quicksort(columns, weights, least) if x[1] >= 2]
+    at = pa.array([x[0] for x in found], pa.int64())
+    return [(lang, " ".join(p.split(" ")[:x[1]]), x[2]) for lang, p, x in zip(langs.take(at).to_pylist(), phrases.take(at).to_pylist(), found)]
 
 
-def sort_suffixes(routed: DataFrame, max_words: int, least: int) -> DataFrame:
-    """(lang, phrase, n): phrases of two words or more with at least ``least`` occurrences."""
+def sort_suffixes(blocks: DataFrame, max_words: int, least: int) -> DataFrame:
+    """(lang, phrase, n): phrases of two words or more with at least ``least`` occurrences, bucket by bucket."""
     def run(batches):
-        waiting, size = [], 0
-        for batch in batches:
-            waiting.append(batch)
-            size += batch.num_rows
-            if size > KEEP:
-                table = pa.Table.from_batches(waiting)
-                last = [table.column(c)[size - 1] for c in ("lang", "lead")]
-                unfinished = pc.sum(pc.and_(pc.equal(table.column("lang"), last[0]), pc.equal(table.column("lead"), last[1]))).as_py()
-                if unfinished < size:
-                    yield _sorted_counts(table.slice(0, size - unfinished), max_words, least)
-                waiting, size = table.slice(size - unfinished).to_batches(), unfinished
-        if size:
-            yield _sorted_counts(pa.Table.from_batches(waiting), max_words, least)
-
-    rows = routed.withColumn("lead", _leading(F.col("depth"))).repartition("lang", "lead").sortWithinPartitions("lang", "lead")
-    return rows.mapInArrow(run, "lang string, phrase string, n long")
+        for rows in _by_bucket(batches):
+            sums, langs, phrases, weights = Counter(), [], [], []
+            for r in rows:
+                data, n = _grow(r["block"], r["bytes"]), r["size"]
+                listed, counted = data[8 * n:].decode().split("\n"), _numbers_of(data[:8 * n]).astype(np.int64)
+                if r["whole"]:
+                    for phrase, k in zip(listed, counted.tolist()):
+                        sums[r["lang"], phrase] += k
+                else:
+                    langs += [r["lang"]] * n
+                    phrases += listed
+                    weights.append(counted)
+            out = [(*x, n) for x, n in sums.items() if n >= least]
+            if phrases:
+                out += _sorted_counts(pa.array(langs, pa.string()), pa.array(phrases, pa.string()), np.concatenate(weights), max_words, least)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))],
+                                             ["lang", "phrase", "n"])
+
+    return _dealt(blocks).mapInArrow(run, "lang string, phrase string, n long")
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, max_group: int = MAX_GROUP,
@@ -321,17 +389,12 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
         raise ValueError("min_count is at least 1, max_words at least 2")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     words = cut(word_counts(rows).filter((F.col("n") >= min_count) | F.col("word").isNull()))
-    word_bits = key_filter(cut(word_keys(words.filter("word IS NOT NULL"))), "key")
-    pairs = cut(pair_counts(rows, word_bits).filter(F.col("n") >= min_count).select("pair"))
-    pair_bits = key_filter(pairs, "pair")
-    left = suffixes(rows, word_bits, pair_bits, max_words)
-    if pair_bits is None:  # too many pairs for a filter: the suffixes meet the pairs in a join
-        left = left.join(pairs, "pair", "left_semi")
-    left = cut(left.groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
-    routed, split = route(left, max_words, max_group)
-    found = sort_suffixes(routed, max_words, min_count)
-    for x in split:
-        found = found.unionByName(x.filter(F.col("n") >= min_count))
+    known = words.filter("word IS NOT NULL")
+    word_bits = key_filter(cut(word_keys(known)), "key")
+    hot_words = key_filter(cut(word_keys(known.filter(F.col("n") > max_group))), "key")
+    pairs = cut(pair_counts(rows, word_bits, min_count))
+    pair_bits, hot_pairs = key_filter(pairs, "pair"), key_filter(pairs.filter(F.col("n") > max_group), "pair")
+    found = sort_suffixes(suffixes(rows, word_bits, pair_bits, hot_words, hot_pairs, max_words), max_words, min_count)
     return cut(words.select("lang", F.col("word").alias("phrase"), F.when(F.col("word").isNull(), 0).otherwise(1).alias("n_words"), "n")
                .unionByName(found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("n_words"), "n")))
 
