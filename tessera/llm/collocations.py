@@ -49,6 +49,8 @@ COVER_PERCENT = 100
 MAX_GROUP = 200_000
 #: Rows that a task sums at a time.
 KEEP = 1_000_000
+#: Languages whose totals are broadcast, 1 MB at most.
+MANY_LANGS = 10_000
 #: Bits of a pair's key. Pairs that share a key only pass the filter together.
 PAIR_BITS = 48
 #: Buckets for each shuffle partition.
@@ -409,7 +411,9 @@ def score(counts: DataFrame) -> DataFrame:
     """(lang, phrase, n_words, a, l, r, n, score): each phrase of two words or more at its weakest cut."""
     known = counts.filter("n_words > 0")
     part = lambda name, value: known.select("lang", F.col("phrase").alias(name), F.col("n").alias(value))
-    total = counts.filter("n_words = 0").select("lang", F.col("n").alias("total"))
+    total = cut(counts.filter("n_words = 0").select("lang", F.col("n").alias("total")))
+    if total.count() <= MANY_LANGS:  # else the join by language, which a common language makes uneven
+        total = F.broadcast(total)
     cuts = (known.filter("n_words > 1").withColumn("k", F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)))
             .withColumn("first", F.array_join(F.slice(F.split("phrase", " "), F.lit(1), F.col("k")), " "))
             .withColumn("rest", F.array_join(F.slice(F.split("phrase", " "), F.col("k") + 1, F.col("n_words")), " ")))
