@@ -128,6 +128,24 @@ def ngrams(tokens, n, sep: str = " ") -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row; inside lambdas Spark would compute it for each element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def counted(items: Column) -> Column:
+    """Array of (item, c: int): the distinct items of an array with how often they occur, in order.
+
+    Counted in the row: the items are sorted, and equal ones are neighbours.
+    """
+    def runs(s):
+        starts = F.filter(F.transform(s, lambda x, i: i), lambda i: (i == 0) | (F.get(s, i - 1) != F.get(s, i)))
+        return let(starts, lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(s, i).alias("item"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("c"))))
+
+    return let(F.sort_array(items), runs)
+
+
 def token_lengths(tokens) -> Column:
     """Length of a token array."""
     return F.size(_c(tokens))

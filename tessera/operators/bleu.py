@@ -1,18 +1,22 @@
-"""Corpus and sentence BLEU (Papineni et al. 2002), all orders in one pass.
+"""Corpus and sentence BLEU (Papineni et al. 2002), all orders in one pass and one partitioning.
 
 Inputs are long tables of token arrays:
   hyp : (key, tokens)            one hypothesis per key
-  refs: (key, ref_no, tokens)    any number of references per key
+  refs: (key, ref_no, tokens)    any number of references per key, a row each
 
-n is a column, so orders 1..max_n share one explode, one pair of aggregations and one
-join. Unsmoothed: any order with positive weight and zero matches gives 0. A hypothesis
+Hypotheses and references are one table of counted n-grams: each row counts its own, exploded once
+for the orders 1..max_n and, as order 0, its length. One shuffle by (key, n, gram) makes
+the hypothesis' count, the largest count of a reference and their meeting at the same time; a second
+one by key sums the matches and finds the closest length. Each side is read once.
+
+Unsmoothed: any order with positive weight and zero matches gives 0. A hypothesis
 shorter than n still adds 1 to that order's denominator (``max(1, count)``), the rule of
 the library the reference calls. Hypotheses without any reference are left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -26,32 +30,46 @@ DEFAULT_WEIGHTS = {
 }
 
 
-def _grams(df: DataFrame, ids: list, tokens: str, max_n: int) -> DataFrame:
-    with_n = df.select(*ids, tokens, F.explode(F.sequence(F.lit(1), F.lit(max_n))).alias("n"))
-    return with_n.select(*ids, "n", F.explode(T.ngrams(tokens, F.col("n"))).alias("gram"))
+def _counted_grams(df: DataFrame, key: str, tokens: str, max_n: int, is_hyp: bool) -> DataFrame:
+    """(key, n, gram, h, r): the n-grams of each row with their counts; order 0 has the length as its gram."""
+    t = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+
+    def order(n: int) -> Column:
+        return F.transform(T.counted(T.ngrams(t, n)), lambda x: F.struct(F.lit(n).alias("n"), x["item"].alias("gram"), x["c"].alias("c")))
+
+    length = F.array(F.struct(F.lit(0).alias("n"), F.size(t).cast("string").alias("gram"), F.lit(1).alias("c")))
+    rows = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.inline(F.concat(length, *map(order, range(1, max_n + 1)))))
+    none = F.lit(None).cast("long")
+    c = F.col("c").cast("long")
+    return rows.select("key", "n", "gram", (c if is_hyp else none).alias("h"), (none if is_hyp else c).alias("r"))
 
 
-def _matches(hyp: DataFrame, refs: DataFrame, key: str, tokens: str, ref_id: str, max_n: int) -> DataFrame:
-    """(key, n, matches) of all hypotheses; one without references has no match.
+def _key_statistics(hyp: DataFrame, refs: DataFrame, key: str, tokens: str, max_n: int) -> DataFrame:
+    """(key, m1.., g1.., hyp_lens, ref_lens) of the keys with a hypothesis and a reference.
 
-    Reference counts are reduced per (key, ref, n, gram) and then to the max per
-    (key, n, gram), both with map-side partial aggregation, so a frequent word in a huge
-    key does not pile up in one task.
+    ``m`` are clipped matches, ``g`` the hypothesis' n-grams, ``*_lens`` distinct lengths.
     """
-    hc = _grams(hyp, [key], tokens, max_n).groupBy(key, "n", "gram").agg(F.count(F.lit(1)).alias("h"))
-    rc = (_grams(refs, [key, ref_id], tokens, max_n)
-          .groupBy(key, ref_id, "n", "gram").agg(F.count(F.lit(1)).alias("c"))
-          .groupBy(key, "n", "gram").agg(F.max("c").alias("r")))
-    return (hc.join(rc, [key, "n", "gram"], "left")
-            .groupBy(key, "n")
-            .agg(F.sum(F.least(F.col("h"), F.coalesce(F.col("r"), F.lit(0)))).alias("matches")))
+    grams = _counted_grams(hyp, key, tokens, max_n, True).unionByName(_counted_grams(refs, key, tokens, max_n, False))
+    met = grams.groupBy("key", "n", "gram").agg(F.sum("h").alias("h"), F.max("r").alias("r"))
+    of = lambda n, v: F.sum(F.when(F.col("n") == n, v).otherwise(F.lit(0))).cast("bigint")
+    match = F.when(F.col("h").isNotNull(), F.least("h", F.coalesce("r", F.lit(0)))).otherwise(F.lit(0))
+    aggs = [f(n).alias(f"{name}{n}") for n in range(1, max_n + 1)
+            for name, f in (("m", lambda n: of(n, match)), ("g", lambda n: of(n, F.coalesce("h", F.lit(0)))))]
+    length = F.col("gram").try_cast("int")
+    lens = [F.collect_list(F.when((F.col("n") == 0) & F.col(c).isNotNull(), length)).alias(name)
+            for c, name in (("h", "hyp_lens"), ("r", "ref_lens"))]
+    return met.groupBy("key").agg(*aggs, *lens).filter((F.size("hyp_lens") > 0) & (F.size("ref_lens") > 0))
 
 
 def clipped_ngram_matches(hyp: DataFrame, refs: DataFrame, key: str = "key", tokens: str = "tokens",
-                          ref_id: str = "ref_no", max_n: int = 4) -> DataFrame:
-    """(key, n, matches): sum over the hypothesis n-grams of min(hyp count, max ref count)."""
-    paired = hyp.join(refs.select(key).distinct(), key, "left_semi")
-    return _matches(paired, refs, key, tokens, ref_id, max_n)
+                          max_n: int = 4) -> DataFrame:
+    """(key, n, matches): sum over the hypothesis n-grams of min(hyp count, max ref count).
+
+    A row for each order of which the hypothesis has an n-gram.
+    """
+    stats = _key_statistics(hyp, refs, key, tokens, max_n)
+    orders = F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"m{n}").alias("matches"), F.col(f"g{n}").alias("g")) for n in range(1, max_n + 1)])
+    return stats.select(F.col("key").alias(key), F.inline(orders)).filter("g > 0").select(key, "n", "matches")
 
 
 def closest_reference_length(hyp: DataFrame, refs: DataFrame, key: str = "key",
@@ -69,28 +87,21 @@ def closest_reference_length(hyp: DataFrame, refs: DataFrame, key: str = "key",
 
 
 def bleu_statistics(hyp: DataFrame, refs: DataFrame, key: str = "key", tokens: str = "tokens",
-                    ref_id: str = "ref_no", max_n: int = 4, by_key: bool = False) -> DataFrame:
+                    max_n: int = 4, by_key: bool = False) -> DataFrame:
     """Sufficient statistics: m1..m{max_n}, d1..d{max_n}, hyp_len, ref_len (per key or corpus)."""
-    matches = _matches(hyp, refs, key, tokens, ref_id, max_n)  # none of a hypothesis without references
-    lengths = closest_reference_length(hyp, refs, key, tokens)
-    # one long table: matches as rows n=1..max_n, lengths as one row per key with n = 0
-    long = (matches.select(key, "n", F.col("matches").alias("v"))
-            .unionByName(lengths.select(key, F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("v"),
-                                        "hyp_len", "ref_len"), allowMissingColumns=True))
-    aggs = []
-    for n in range(1, max_n + 1):
-        aggs.append(F.sum(F.when(F.col("n") == n, F.col("v")).otherwise(F.lit(0))).cast("bigint").alias(f"m{n}"))
-        aggs.append(F.sum(F.when(F.col("n") == 0, F.greatest(F.col("hyp_len") - n + 1, F.lit(1)))
-                          .otherwise(F.lit(0))).cast("bigint").alias(f"d{n}"))
-    aggs += [F.sum(F.coalesce("hyp_len", F.lit(0))).cast("bigint").alias("hyp_len"),
-             F.sum(F.coalesce("ref_len", F.lit(0))).cast("bigint").alias("ref_len")]
+    def closest(x):
+        near = F.array_min(F.transform("ref_lens", lambda r: F.struct(F.abs(r - x).alias("d"), r.alias("r"))))
+        return near["r"]
+
+    total = lambda f: F.aggregate(F.transform("hyp_lens", lambda x: f(x).cast("bigint")), F.lit(0).cast("bigint"), lambda a, v: a + v)
+    columns = [x for n in range(1, max_n + 1)
+               for x in (F.col(f"m{n}"), total(lambda x, n=n: F.greatest(x - n + 1, F.lit(1))).alias(f"d{n}"))]
+    stats = _key_statistics(hyp, refs, key, tokens, max_n).select(
+        F.col("key").alias(key), *columns, total(lambda x: x).alias("hyp_len"), total(closest).alias("ref_len"))
     if by_key:
-        paired = F.count_if(F.col("n") == 0).alias("_paired")
-        return long.groupBy(key).agg(*aggs, paired).filter("_paired > 0").drop("_paired")
+        return stats
     # an empty corpus has zero counts, not nulls
-    return long.agg(*aggs).select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-                                    for c in [a for n in range(1, max_n + 1) for a in (f"m{n}", f"d{n}")]
-                                    + ["hyp_len", "ref_len"]])
+    return stats.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in stats.columns if c != key])
 
 
 def _score(weights):
@@ -117,18 +128,18 @@ def _order(weights: dict) -> int:
 
 
 def corpus_bleu(hyp: DataFrame, refs: DataFrame, weights: dict | None = None, key: str = "key",
-                tokens: str = "tokens", ref_id: str = "ref_no") -> DataFrame:
+                tokens: str = "tokens") -> DataFrame:
     """(metric, score): numerators and denominators summed over the corpus before dividing."""
     weights = weights or DEFAULT_WEIGHTS
-    stats = bleu_statistics(hyp, refs, key, tokens, ref_id, _order(weights))
+    stats = bleu_statistics(hyp, refs, key, tokens, _order(weights))
     return stats.select(F.inline(_scores(weights)))
 
 
 def sentence_bleu(hyp: DataFrame, refs: DataFrame, weights: dict | None = None, key: str = "key",
-                  tokens: str = "tokens", ref_id: str = "ref_no") -> DataFrame:
+                  tokens: str = "tokens") -> DataFrame:
     """(key, metric, score): the same statistics grouped by key."""
     weights = weights or DEFAULT_WEIGHTS
-    stats = bleu_statistics(hyp, refs, key, tokens, ref_id, _order(weights), by_key=True)
+    stats = bleu_statistics(hyp, refs, key, tokens, _order(weights), by_key=True)
     return stats.select(key, F.inline(_scores(weights)))
 
 

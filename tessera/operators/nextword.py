@@ -16,7 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_checkpoint_dir
+
 WEIGHT_DECIMALS = 6
+#: Contexts of the corpus model that travel with the tasks of a decode: 16 MB.
+LOCAL_ROWS = 1_000_000
 
 
 def _windows(tokens: str, n: int):
@@ -85,14 +89,52 @@ def neighbour_next_token(neighbours: DataFrame, encoded: DataFrame, key: str = "
     # counted once per key that is a neighbour, so a popular one's captions are not copied per query
     used = encoded.select(key, tokens).join(near.select(key).distinct(), key, "left_semi")
 
-    def weighted(n: int, context: list) -> DataFrame:
-        counts = shifted_pairs(used, tokens, n, (key,)).groupBy(key, *context, "next").agg(F.count(F.lit(1)).alias("_n"))
-        return (near.join(counts, key).groupBy("query", *context, "next")
-                .agg(F.round(F.sum(F.col("w") * F.col("_n")), WEIGHT_DECIMALS).alias("score")))
+    # every window of two ids is one of three's beginning, but for the last of a caption
+    tri = shifted_pairs(used, tokens, 3, (key,)).groupBy(key, "c2", "c1", "next").agg(F.count(F.lit(1)).alias("_n"))
+    last = F.slice(F.col(tokens), -2, 2)
+    ends = used.filter(F.size(tokens) >= 2).select(key, last[0].alias("c1"), last[1].alias("next"), F.lit(1).cast("long").alias("_n"))
+    bi = (tri.select(key, F.col("c2").alias("c1"), F.col("c1").alias("next"), "_n").unionByName(ends)
+          .groupBy(key, "c1", "next").agg(F.sum("_n").alias("_n")))
+
+    def weighted(counts: DataFrame, context: list) -> DataFrame:
+        scores = (near.join(counts, key).groupBy("query", *context, "next")
+                  .agg(F.round(F.sum(F.col("w") * F.col("_n")), WEIGHT_DECIMALS).alias("score")))
+        return argmax_next(scores, ["query", *context], "score")
+
+    return weighted(tri, ["c2", "c1"]), weighted(bi, ["c1"])
+
+
+def _continue(table: dict, out: list[int], answer: int | None, corpus, start_id: int, end_id: int, max_tokens: int) -> bool:
+    """Append ids until the caption ends (False) or the corpus' choice after its last word has to be asked for (True).
+
+    ``corpus(word)`` gives that choice or None where it is known here; else ``answer`` is the choice
+    for the first word that needs one, 0 for none.
+    """
+    while len(out) < max_tokens and (not out or out[-1] != end_id):
+        last = out[-1] if out else start_id
+        before = (out[-2] if len(out) > 1 else start_id) if out else None
+        found = table.get((before, last)) or table.get((None, last))
+        if found is None:
+            if corpus is not None:
+                found = corpus(last)
+            elif answer is None:
+                return True
+            else:
+                found, answer = answer or None, None
+            if found is None:
+                return False
+        out.append(found)
+    return False
+
 
-    tri, bi = weighted(3, ["c2", "c1"]), weighted(2, ["c1"])
-    return (argmax_next(tri, ["query", "c2", "c1"], "score"),
-            argmax_next(bi, ["query", "c1"], "score"))
+def _small_corpus(corpus_next: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """(words, choices) sorted by word, of at most ``LOCAL_ROWS`` contexts; else None."""
+    table = corpus_next.select(F.col("c1").cast("int").alias("c1"), F.col("next").cast("int").alias("next")).limit(LOCAL_ROWS + 1).toArrow()
+    if table.num_rows > LOCAL_ROWS:
+        return None
+    words, after = (table.column(c).to_numpy().astype(np.int64) for c in ("c1", "next"))
+    order = np.argsort(words)
+    return words[order], after[order]
 
 
 def greedy_decode(queries: DataFrame, start_id: int, end_id: int, corpus_next: DataFrame,
@@ -102,60 +144,72 @@ def greedy_decode(queries: DataFrame, start_id: int, end_id: int, corpus_next: D
 
     Next id = two-word choice, else one-word choice, else the corpus choice (``corpus_next``:
     (c1, next)). A query stops after the end id (which is kept), after ``max_tokens`` ids,
-    or when no table continues it.
+    or when no table continues it. Null queries are left out.
 
     A query's choices are sorted together in one shuffle and its whole loop runs over them; a
     task holds one query's choices at a time, a row per distinct context of its neighbours'
-    captions. The corpus choices travel with the tasks: one pair of ints per context word, so
-    their size is bounded by the vocabulary's.
+    captions. The corpus choices travel with the tasks, two arrays of ints, when a count shows at
+    most ``LOCAL_ROWS`` of them. A larger corpus stays a table: a query that runs out of its own
+    choices asks for one word, the answers are joined, and the open queries go on, a round for
+    each such step.
     """
-    choices = corpus_next.select("c1", "next").toPandas().astype(np.int64).sort_values("c1")
-    words, after = choices["c1"].to_numpy(), choices["next"].to_numpy()
     none = F.lit(None).cast("int")
-    rows = queries.select("query", none.alias("c2"), none.alias("c1"), none.alias("next"))
-    if bi_next is not None:
-        rows = rows.unionByName(bi_next.select("query", none.alias("c2"), F.col("c1").cast("int"), F.col("next").cast("int")))
-    if tri_next is not None:
-        rows = rows.unionByName(tri_next.select("query", F.col("c2").cast("int"), F.col("c1").cast("int"), F.col("next").cast("int")))
-
-    def decode(table: dict) -> list[int]:
-        before, last, out = None, start_id, []
-        while len(out) < max_tokens:
-            found = table.get((before, last)) or table.get((None, last))
-            if found is None:
-                at = int(np.searchsorted(words, last))
-                if at == len(words) or words[at] != last:
-                    break
-                found = int(after[at])
-            out.append(found)
-            if found == end_id:
-                break
-            before, last = last, found
-        return out
+    kind = queries.schema["query"].dataType.simpleString()
+    choices = [d.select("query", (F.col("c2") if has else F.lit(None)).cast("int").alias("c2"), F.col("c1").cast("int"), F.col("next").cast("int"))
+               for d, has in ((bi_next, False), (tri_next, True)) if d is not None]
+    asked = (queries.filter(F.col("query").isNotNull()).groupBy("query").agg(F.count(F.lit(1)).alias("times"))
+             .select("query", F.array().cast("array<int>").alias("tokens"), F.col("times"), none.alias("answer")))
+    local = _small_corpus(corpus_next)
+
+    def look(word: int) -> int | None:
+        words, after = local
+        at = int(np.searchsorted(words, word))
+        return int(after[at]) if at < len(words) and words[at] == word else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query, asked, table = None, 0, {}
+        query, state, table = None, None, {}
 
         def done() -> pa.RecordBatch:
-            tokens = decode(table) if asked else []
-            return pa.RecordBatch.from_arrays([pa.array([query] * asked, kind), pa.array([tokens] * asked, pa.list_(pa.int32()))],
-                                              names=["query", "tokens"])
-
-        kind = None
+            tokens, times, answer = state
+            tokens = list(tokens)
+            wants = _continue(table, tokens, answer, look if local else None, start_id, end_id, max_tokens)
+            last = (tokens[-1] if tokens else start_id) if wants else None
+            return pa.RecordBatch.from_arrays([pa.array([query], of), pa.array([tokens], pa.list_(pa.int32())), pa.array([times], pa.int64()),
+                                               pa.array([last], pa.int32())], names=["query", "tokens", "times", "wants"])
+
+        of = None
         for b in batches:
-            kind = b.schema.field("query").type
-            for q, c2, c1, found in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            of = b.schema.field("query").type
+            for q, c2, c1, found, tokens, times, answer in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if q != query:
-                    if asked:
+                    if state:
                         yield done()
-                    query, asked, table = q, 0, {}
+                    query, state, table = q, None, {}
                 if c1 is None:
-                    asked += 1
+                    state = (tokens, times, answer)
                 else:
                     table[c2, c1] = found
-        if asked:
+        if state:
             yield done()
 
-    kind = queries.schema["query"].dataType.simpleString()
-    rows = rows.filter(F.col("query").isNotNull()).repartition("query").sortWithinPartitions("query")
-    return rows.mapInArrow(run, f"query {kind}, tokens array<int>")
+    def step(open_rows: DataFrame, own: list[DataFrame]) -> DataFrame:
+        rows = open_rows.select("query", none.alias("c2"), none.alias("c1"), none.alias("next"), "tokens", "times", "answer")
+        for d in own:
+            rows = rows.unionByName(d.filter(F.col("query").isNotNull()), allowMissingColumns=True)
+        rows = rows.repartition("query").sortWithinPartitions("query")
+        return rows.mapInArrow(run, f"query {kind}, tokens array<int>, times long, wants int")
+
+    found = step(asked, choices)
+    if local is None:
+        ensure_checkpoint_dir(queries.sparkSession)
+        choices = [d.checkpoint(eager=True) for d in choices]
+        found, ended = found.checkpoint(eager=True), []
+        while not (waiting := found.filter("wants IS NOT NULL")).isEmpty():  # max_tokens rounds at most
+            ended.append(found.filter("wants IS NULL"))
+            words = waiting.select("wants").distinct()
+            answers = words.join(corpus_next.select(F.col("c1").cast("int").alias("wants"), F.col("next").cast("int").alias("answer")), "wants", "left")
+            asking = waiting.join(answers, "wants").select("query", "tokens", "times", F.coalesce("answer", F.lit(0)).alias("answer"))
+            found = step(asking, [d.join(waiting.select("query"), "query", "left_semi") for d in choices]).checkpoint(eager=True)
+        for d in ended:
+            found = found.unionByName(d)
+    return found.select("query", "tokens", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("query", "tokens")

@@ -21,12 +21,15 @@ from tessera.session import ensure_checkpoint_dir
 LOOKUP_ROWS = 1_000_000
 
 
-def _small(vocab: DataFrame) -> tuple[pa.Array, pa.Array] | None:
-    """(words, ids) of a vocabulary of at most LOOKUP_ROWS rows, else None."""
-    rows = vocab.select("word", "id").limit(LOOKUP_ROWS + 1).collect()
-    if len(rows) > LOOKUP_ROWS:
+Lookup = tuple[pa.Array, pa.Array]
+
+
+def lookup(vocab: DataFrame) -> Lookup | None:
+    """(words, ids) of a vocabulary of at most LOOKUP_ROWS rows, else None; read as Arrow, without Python objects."""
+    table = vocab.select("word", F.col("id").cast("int").alias("id")).limit(LOOKUP_ROWS + 1).toArrow()
+    if table.num_rows > LOOKUP_ROWS:
         return None
-    return pa.array([r["word"] for r in rows], pa.string()), pa.array([r["id"] for r in rows], pa.int32())
+    return tuple(table.column(c).combine_chunks().cast(t) for c, t in (("word", pa.string()), ("id", pa.int32())))
 
 
 def _looked_up(lists: pa.ListArray, known: pa.Array, values: pa.Array) -> pa.ListArray:
@@ -100,14 +103,15 @@ def marker_ids(vocab: DataFrame, words=(T.MARK_START, T.MARK_END)) -> DataFrame:
 
 
 def encode(df: DataFrame, vocab: DataFrame, key: str = "key", order: str = "caption_no",
-           text: str = "caption", marked: bool = True) -> DataFrame:
+           text: str = "caption", marked: bool = True, known: Lookup | None = None) -> DataFrame:
     """(key, caption_no, tokens array<int>): words outside the vocabulary vanish, order kept.
 
-    A caption with no known word, and a null caption, give ``[]``; one row per input row.
+    A caption with no known word, and a null caption, give ``[]``; one row per input row. ``known`` is
+    the vocabulary's ``lookup`` where the caller has it already, as a stream does.
     """
     src = T.mark(text) if marked else F.col(text)
     rows = df.select(key, order, T.tokenize(src).alias("_words"))
-    small = _small(vocab)
+    small = known or lookup(vocab)
     if small is None:
         words = rows.withColumn("_row", F.monotonically_increasing_id()).select(
             key, order, "_row", F.posexplode_outer("_words").alias("pos", "word"))
@@ -133,23 +137,23 @@ def token_to_word(ids: DataFrame, vocab: DataFrame, id_col: str = "id") -> DataF
 
 
 def decode(df: DataFrame, vocab: DataFrame, key: str = "key", order: str = "caption_no",
-           tokens: str = "tokens") -> DataFrame:
-    """(key, caption_no, text): padding and unknown ids skipped, words joined by one blank."""
-    small = _small(vocab)
+           tokens: str = "tokens", keep: tuple = ()) -> DataFrame:
+    """(key, caption_no, keep.., text): padding and unknown ids skipped, words joined by one blank."""
+    small = lookup(vocab)
+    columns = [key, order, *keep]
     if small is None:
         exploded = df.withColumn("_row", F.monotonically_increasing_id()).select(
-            key, order, "_row", F.posexplode_outer(tokens).alias("pos", "_tid"))
+            *columns, "_row", F.posexplode_outer(tokens).alias("pos", "_tid"))
         looked = exploded.join(inverse_vocabulary(vocab), F.col("_tid") == F.col("id"), "left")
         item = F.when((F.col("_tid") != T.PAD_ID) & F.col("word").isNotNull(), F.struct(F.col("pos"), F.col("word")))
-        return looked.groupBy(key, order, "_row").agg(
+        return looked.groupBy(*columns, "_row").agg(
             F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda s: s["word"]), " ")
             .alias("text")).drop("_row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words = _looked_up(b.column("_ids"), small[1], small[0])
-            yield pa.RecordBatch.from_arrays([b.column(key), b.column(order), pc.binary_join(words, " ")],
-                                             names=[key, order, "text"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pc.binary_join(words, " ")], names=[*columns, "text"])
 
-    rows = df.select(key, order, F.filter(tokens, lambda x: x != T.PAD_ID).cast("array<int>").alias("_ids"))
-    return rows.mapInArrow(run, f"{_type(df, key)}, {_type(df, order)}, text string")
+    rows = df.select(*columns, F.filter(tokens, lambda x: x != T.PAD_ID).cast("array<int>").alias("_ids"))
+    return rows.mapInArrow(run, ", ".join(_type(df, c) for c in columns) + ", text string")

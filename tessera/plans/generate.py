@@ -54,9 +54,8 @@ def corpus_greedy_decode(captions: DataFrame, num_words: int = 10000, max_tokens
 def _with_text(dec: DataFrame, vocab: DataFrame, start: int, end: int, strip: bool) -> DataFrame:
     """Add the text of the decoded ids; ``strip`` leaves the marker words out of it."""
     ids = T.strip_ids("tokens", [start, end]) if strip else F.col("tokens")
-    stripped = dec.select(F.col("query").alias("key"), F.lit(0).alias("caption_no"), ids.alias("tokens"))
-    text = V.decode(stripped, vocab).select(F.col("key").alias("query"), "text")
-    return dec.join(text, "query")
+    rows = dec.select("query", F.lit(0).alias("_no"), "tokens", ids.alias("_shown"))
+    return V.decode(rows, vocab, "query", "_no", "_shown", ("tokens",)).select("query", "tokens", "text")
 
 
 def caption(queries: DataFrame, base: DataFrame, captions: DataFrame, k: int = 5, num_words: int = 10000,

@@ -15,6 +15,7 @@ from tessera.operators import vocab as V
 from tessera.plans import evaluate as EV
 from tessera.plans import generate as GEN
 from tessera.plans import sqlparts as Q
+from tessera.plans import vectors as VEC
 from tessera.sources import cache as C
 from tessera.sources import captions as CAP
 from tessera.sources import images as IMG
@@ -187,7 +188,89 @@ def q_normalize_images(spark, sf):
     return out[0].unionByName(out[1])
 
 
+def _bitmap_files(spark, sf) -> str:
+    """Image files that Spark derives from the vectors, one for each, in a folder ``key=<id>``.
+
+    A wireless bitmap is a short header and one bit per pixel. Row r of an 8 x 10 bitmap holds the signs of
+    values 7r+1 to 7r+7 behind a black pixel, so all bytes are ASCII and the text writer can write them; its
+    newline is the last row.
+    """
+    out = P.scratch_path(spark, "bitmaps")
+    e = tables.table(spark, sf, "embeddings").select(F.col("vec_id").alias("key"), "embedding")
+    row = lambda r: F.aggregate(F.slice("embedding", r * 7 + 1, 7), F.lit(0), lambda a, v: a * 2 + (v > 0).cast("int"))
+    data = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(8)), lambda r: F.chr(row(r))), "")
+    header = F.concat(*[F.chr(F.lit(b)) for b in (0, 0, 8, 10)])
+    e.select("key", F.concat(header, data).alias("value")).repartition("key").write.partitionBy("key").text(out)
+    return out
+
+
+def _key_of_folder(df):
+    return df.withColumn("key", F.regexp_replace("key", "^key=", "").cast("bigint"))
+
+
+def q_read_images(spark, sf):
+    """O4: files decoded by Spark's image source; the white pixels of each, and its first row."""
+    imgs = _key_of_folder(IMG.read_images(spark, _bitmap_files(spark, sf), recursive=True, key_part=-2))
+    white = F.length(F.hex("data")) - F.length(F.replace(F.hex("data"), F.lit("F"), F.lit("")))
+    return imgs.select("key", "height", "width", "n_channels", (white / 6).cast("int").alias("n_white"),
+                       F.substring(F.hex("data"), 1, 48).alias("first_row"))
+
+
+def row_mean_model():
+    """A fixed stand-in encoder: the mean of each row of pixels (rows, columns, channels)."""
+    def predict(batch: np.ndarray) -> np.ndarray:
+        return np.asarray(batch, dtype=np.float64).mean(axis=(2, 3)).astype(np.float32)
+    return predict
+
+
+def q_image_vectors(spark, sf):
+    """Image files to stored vectors as a batch: half of them first, then all; each is scored once."""
+    files, store = _bitmap_files(spark, sf), P.scratch_path(spark, "image-vectors")
+    for part in ("key=*[02468]", "*"):
+        found = VEC.image_vectors(spark, f"{files}/{part}", row_mean_model, store, (8, 10), recursive=True, key_part=-2)
+    return _feature_summary(_key_of_folder(found))
+
+
+def q_image_vectors_stream(spark, sf):
+    """The same as a stream: every file once, also after a restart."""
+    files, store, ckpt = _bitmap_files(spark, sf), P.scratch_path(spark, "image-vectors"), P.scratch_path(spark, "ckpt")
+    for _ in range(2):
+        VEC.image_vectors_stream(spark, files, row_mean_model, store, ckpt, (8, 10), recursive=True, key_part=-2,
+                                 max_files=200).awaitTermination()
+    return _feature_summary(_key_of_folder(spark.read.parquet(store)))
+
+
+def top_values_model():
+    """A decoder that reads its vector: the position (from 1) of the largest value not yet chosen."""
+    def step(feats: np.ndarray, seq: np.ndarray) -> np.ndarray:
+        scores = np.concatenate([np.full((len(feats), 1), -np.inf), feats], axis=1)
+        np.put_along_axis(scores, seq, -np.inf, axis=1)
+        return scores
+    return step
+
+
+def q_score_vectors(spark, sf):
+    """O37 with a model whose every step depends on the vector and on the tokens before."""
+    out = SC.score_sequences(tables.features(spark, sf), top_values_model, 0, 7, max_tokens=30)
+    return out.select("key", F.size("tokens").alias("n_tokens"),
+                      F.array_join(F.col("tokens").cast("array<string>"), " ").alias("tokens"))
+
+
+def q_resize_images(spark, sf):
+    """O5 at other sizes: 8 x 8 images made 5 wide and 3 high (filtered down) and 11 x 12 (up)."""
+    gray = _image_rows(spark, sf).filter("kind = 'gray'").drop("kind")
+    out = [IMG.normalize_images(gray, size).select(
+        "key", "height", "width", F.array_join(F.transform("pixels", lambda v: F.round(v.cast("double") * 255).cast("int").cast("string")), " ")
+        .alias("pixels")) for size in ((5, 3), (11, 12))]
+    return out[0].unionByName(out[1])
+
+
 QUERIES = {
+    "read_images": q_read_images,
+    "image_vectors": q_image_vectors,
+    "image_vectors_stream": q_image_vectors_stream,
+    "score_vectors": q_score_vectors,
+    "resize_images": q_resize_images,
     "normalize_images": q_normalize_images,
     "read_captions": q_read_captions,
     "missing_counts": q_missing_counts,
@@ -227,7 +310,50 @@ px AS (
 f AS (SELECT key, kind, height, width, list_transform(rgb, lambda v: CAST(CAST(v / 255.0 AS FLOAT) AS DOUBLE)) AS p
       FROM px)"""
 
+_BITMAP = """rows AS (
+  SELECT vec_id AS key, list_transform(range(9), lambda r: list_transform(embedding[r * 7 + 1:r * 7 + 7], lambda v: CASE WHEN v > 0 THEN 1 ELSE 0 END)) AS b
+  FROM embeddings),
+counts AS (SELECT key, list_append(list_transform(b, lambda r: list_sum(r)), 2) AS n, b[1] AS first FROM rows)"""
+_IMAGE_VECTORS = f"""WITH {_BITMAP}
+SELECT key, CAST(10 AS INTEGER) AS n_dim, round(list_sum(list_transform(n, lambda x: x / 8.0)), 6) AS f_sum FROM counts"""
+
+#: The weights of the filter as the published formula states them: sinc(x) sinc(x / 3) inside three lobes, widened when shrinking.
+_LANCZOS = """
+  SELECT o, i, w / sum(w) OVER (PARTITION BY o) AS w FROM (
+    SELECT o, i, CASE WHEN x = 0 THEN 1.0 WHEN abs(x) >= 3 THEN 0.0
+                      ELSE sin(pi() * x) / (pi() * x) * sin(pi() * x / 3) / (pi() * x / 3) END AS w
+    FROM (SELECT o, i, ((i + 0.5) - (o + 0.5) * (8.0 / {n})) / greatest(8.0 / {n}, 1.0) AS x
+          FROM range({n}) a(o), range(8) b(i)))"""
+
+
+def _resized(w: int, h: int) -> str:
+    across, down = _LANCZOS.format(n=w), _LANCZOS.format(n=h)
+    return f"""
+SELECT key, CAST({h} AS INTEGER) AS height, CAST({w} AS INTEGER) AS width,
+       string_agg(v || ' ' || v || ' ' || v, ' ' ORDER BY y, x) AS pixels
+FROM (SELECT key, y, x, CAST(CAST(least(greatest(round_even(sum(wy * p.v * wx), 0), 0), 255) AS INTEGER) AS VARCHAR) AS v
+      FROM (SELECT key, unnest(range(64)) // 8 AS sy, unnest(range(64)) % 8 AS sx, CAST(unnest(b) AS DOUBLE) AS v FROM bytes) p
+      JOIN (SELECT o AS y, i AS sy, w AS wy FROM ({down})) USING (sy)
+      JOIN (SELECT o AS x, i AS sx, w AS wx FROM ({across})) USING (sx)
+      GROUP BY key, y, x)
+GROUP BY key"""
+
+
 ORACLE = {
+    "read_images": f"""WITH {_BITMAP}
+SELECT key, CAST(10 AS INTEGER) AS height, CAST(8 AS INTEGER) AS width, CAST(3 AS INTEGER) AS n_channels,
+       CAST(list_sum(n) AS INTEGER) AS n_white,
+       '000000' || array_to_string(list_transform(first, lambda v: CASE WHEN v = 1 THEN 'FFFFFF' ELSE '000000' END), '') AS first_row
+FROM counts""",
+    "image_vectors": _IMAGE_VECTORS,
+    "image_vectors_stream": _IMAGE_VECTORS,
+    "score_vectors": """
+WITH v AS (SELECT vec_id AS key, unnest(range(len(embedding))) + 1 AS i, unnest(embedding) AS x FROM embeddings),
+r AS (SELECT key, i, row_number() OVER (PARTITION BY key ORDER BY x DESC, i) AS rank FROM v),
+e AS (SELECT key, least(30, max(CASE WHEN i = 7 THEN rank END)) AS last FROM r GROUP BY key)
+SELECT key, CAST(count(*) AS INTEGER) AS n_tokens, string_agg(CAST(i AS VARCHAR), ' ' ORDER BY rank) AS tokens
+FROM r JOIN e USING (key) WHERE rank <= last GROUP BY key""",
+    "resize_images": f"WITH {_IMG_BYTES} SELECT * FROM ({_resized(5, 3)}) UNION ALL SELECT * FROM ({_resized(11, 12)})",
     "normalize_images": f"""WITH {_IMG_BYTES}
 SELECT key, kind, CAST(height AS INTEGER) AS height, CAST(width AS INTEGER) AS width,
        CAST(3 AS INTEGER) AS channels, CAST(len(p) AS INTEGER) AS n_values,

@@ -107,3 +107,26 @@ def test_cross_entropy_with_a_hot_context_moves_distinct_pairs_only(spark):
     n, h = 400 * 50 + 20, lambda c, t: -math.log((c + 1) / (t + 10))
     assert got["pairs"] == n
     assert got["cross_entropy"] == pytest.approx(((n - 10) * h(5, 5) + 10 * h(1, 1)) / n)
+
+
+def test_a_large_corpus_model_is_asked_in_rounds(spark, monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(2)
+    corpus = [(c, int(rng.integers(2, 40))) for c in range(1, 40) if c % 7]
+    tri = [(q, int(a), int(b), int(n)) for q in range(12) for a, b, n in rng.integers(1, 40, (15, 3)).tolist()]
+    tri = list({(q, a, b): (q, a, b, n) for q, a, b, n in tri}.values())
+    bi = list({(q, b): (q, b, int(rng.integers(2, 40))) for q, a, b, _ in tri if b % 2}.values())
+    ask = spark.createDataFrame([(q,) for q in [*range(14), 3, 3]], "query bigint")
+    tables = (spark.createDataFrame(corpus, "c1 int, next int"), spark.createDataFrame(tri, "query bigint, c2 int, c1 int, next int"),
+              spark.createDataFrame(bi, "query bigint, c1 int, next int"))
+    decode = lambda **kw: sorted((r["query"], r["tokens"]) for r in NW.greedy_decode(ask, 1, 2, *tables, max_tokens=12).collect())
+    local = decode()
+    monkeypatch.setattr(NW, "LOCAL_ROWS", 5)
+    assert decode() == local and len(local) == 16 and len({len(t) for _, t in local}) > 2
+
+
+def test_decoded_captions_are_computed_once(spark):
+    from tessera.plans import registry as REG
+    from conftest import SF001
+    p = REG.q_generate_captions(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert p.count("MapInArrow") == 2  # the decode, and ids to text

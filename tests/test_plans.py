@@ -40,9 +40,20 @@ def test_large_vocabularies_are_joined_and_give_the_same(spark, monkeypatch):
     assert {(r["key"], r["caption_no"]): r["text"] for r in V.decode(enc, vocab).collect()} == text
 
 
-def test_bleu_has_no_cartesian(spark):
-    p = plan(REG.q_corpus_bleu(spark, SF01))
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+def test_bleu_reads_each_side_once_in_one_partitioning(spark):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for q, single in ((REG.q_corpus_bleu, 1), (REG.q_bleu_statistics, 1), (REG.q_sentence_bleu, 0), (REG.q_clipped_matches, 0)):
+            p = plan(q(spark, SF01))
+            assert "Join" not in p and "CartesianProduct" not in p
+            # by key and gram, by key, and for the corpus by nothing
+            assert p.count("Exchange hashpartitioning") == 2 and p.count("Exchange SinglePartition") == single
+            assert p.count("FileScan") == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_knn_is_cogrouped_not_cartesian(spark):
@@ -69,7 +80,7 @@ def test_vocabulary_top_n_is_bounded(spark):
 
 # decode loops and streams run many jobs while being built; their joins are guarded elsewhere
 _SLOW = {"generate_captions", "evaluate_generated", "corpus_greedy_decode", "score_sequences",
-         "encode_stream", "features_stream"}
+         "encode_stream", "features_stream", "image_vectors_stream"}
 
 
 def test_registered_plans_have_no_pairs_and_no_unbounded_single_partition(spark):
