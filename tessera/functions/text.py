@@ -22,17 +22,17 @@ FILTER_PATTERN = r"""[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~\t\n]"""
 EVAL_PATTERN = r"[\p{L}\p{N}_]+(?:'[\p{L}\p{N}_]+)?|[^\s\p{L}\p{N}_]"
 # Evaluation tokenizer: the published Penn Treebank word rules on lower-case text, as
 # replacements in order; the text is padded by blanks before and split at blanks after. Both
-# engines run this one list. Abbreviations keep their period (marked while the ends of
-# sentences are split off); other periods inside a text end a sentence after two characters.
-ABBREVIATIONS = "mr|mrs|ms|dr|prof|sr|jr|st|vs|etc|inc|co|no|fig|approx"
-EVAL_RULES = (
+# engines run these lists. Between them the periods inside the text that end no sentence are
+# marked: those of known abbreviations, initials and ordinals.
+EVAL_RULES_BEFORE = (
     (r'([\s(\[{<])"', r"\1 `` "),
     ('"', " '' "),
     (r"([:,])([^\d])", r" \1 \2"),
     (r"\.\.\.", " ... "),
     (r"([;@#$%&])", r" \1 "),
-    (rf"\s({ABBREVIATIONS})\.", " \\1\u0001"),
-    (r"([^.\s]{2})\.([\])}>']*\s)", r"\1 . \2"),
+)
+EVAL_RULES_AFTER = (
+    (r"([^.\s])\.([\])}>']*\s)", r"\1 . \2"),
     (r"([^.])\.([\])}>']*)\s*$", r"\1 . \2 "),
     ("\u0001", "."),
     (r"([?!])", r" \1 "),
@@ -45,6 +45,13 @@ EVAL_RULES = (
     (r" (can|d|gim|gon|got|lem|more|wan)(not|'ye|me|na|ta|'n) ", r" \1 \2 "),  # neighbours share a blank
     (r" ('t)(is|was) ", r" \1 \2 "),
 )
+# A word with a period at its end, inside brackets or quotes; initials and ordinals.
+PERIOD_WORD = r"^[(\[{<'`]*(.*[^.])\.[\])}>']*$"
+INITIAL_OR_ORDINAL = r"^(\p{L}|\d+)$"
+BLANKS = r"[ \t\n\r\f]+"
+# Characters around a word that are no part of it.
+OPENING = r"""["'(\[{<`]"""
+TRAILING = r"""["')\]}>,;:!?]"""
 # Padding id; also rendered as a blank word by token_to_word.
 PAD_ID = 0
 # -----------------------------------------------------------------------------------------
@@ -68,12 +75,33 @@ def tokenize(c) -> Column:
     return F.filter(F.split(cleaned, " "), lambda x: x != F.lit(""))
 
 
-def eval_tokenize(c) -> Column:
-    """Evaluation tokenizer: lower case, clitics and punctuation as tokens of their own, while
-    numbers, abbreviations, ellipses and hyphenated words stay whole."""
-    text = F.concat(F.lit(" "), F.lower(_c(c)), F.lit(" "))
-    for pattern, replacement in EVAL_RULES:
+def _replaced(text: Column, rules) -> Column:
+    for pattern, replacement in rules:
         text = F.regexp_replace(text, pattern, replacement.replace("\\1", "$1").replace("\\2", "$2"))
+    return text
+
+
+def eval_tokenize(c, abbreviations=()) -> Column:
+    """Evaluation tokenizer: lower case, clitics and punctuation as tokens of their own, while
+    numbers, ellipses and hyphenated words stay whole.
+
+    A period at the end of a word is a token, for it ends a sentence, unless the word is one of
+    ``abbreviations`` (lower case, without the period; ``operators.sentences`` learns them from a
+    corpus), an initial or an ordinal with words behind it.
+    """
+    text = _replaced(F.concat(F.lit(" "), F.lower(_c(c)), F.lit(" ")), EVAL_RULES_BEFORE)
+
+    def marked(words: Column) -> Column:
+        def word(w, i):
+            inner = F.regexp_extract(w, PERIOD_WORD, 1)
+            keeps = inner.rlike(INITIAL_OR_ORDINAL)
+            if abbreviations:
+                keeps = keeps | inner.isin(*abbreviations)
+            return F.when((i < F.size(words) - 1) & w.contains(".") & keeps, F.regexp_replace(w, r"\.([\])}>']*)$", "\u0001$1")).otherwise(w)
+        return F.transform(words, word)
+
+    words = let(F.split(F.regexp_replace(text, rf"{BLANKS}$", ""), BLANKS), marked)
+    text = _replaced(F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")), EVAL_RULES_AFTER)
     return F.filter(F.split(text, r"\s+"), lambda x: x != F.lit(""))
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import bleu as BL
+from tessera.operators import sentences as SENT
 from tessera.operators import similarity as SIM
 from tessera.operators import split as S
 from tessera.session import ensure_checkpoint_dir
@@ -52,13 +56,20 @@ def predict_captions(captions: DataFrame, features: DataFrame, k: int = 5, key:
     return SIM.retrieve_caption(nb, caption_side(captions, "train", key, test, seed, held), key)
 
 
+def learned_tokenizer(captions: DataFrame) -> Callable:
+    """The evaluation tokenizer with the abbreviations that the captions use."""
+    return partial(T.eval_tokenize, abbreviations=SENT.abbreviation_list(captions))
+
+
 def evaluate_captions(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
-                      test: float = 0.2, seed: int = 42, tokenizer=T.eval_tokenize,
+                      test: float = 0.2, seed: int = 42, tokenizer: Callable | None = None,
                       weights: dict | None = None, exact: bool = False) -> DataFrame:
     """(metric, score): corpus BLEU of retrieved captions against each held-out key's own
-    captions, both tokenized by ``tokenizer`` (the evaluation tokenizer by default)."""
+    captions, both tokenized by ``tokenizer``: by default the evaluation tokenizer with the
+    abbreviations of the training captions."""
     ensure_checkpoint_dir(captions.sparkSession)
     held = held_out(captions, key, test, seed, exact)
+    tokenizer = tokenizer or learned_tokenizer(caption_side(captions, "train", key, held=held))
     pred = predict_captions(captions, features, k, key, test, seed, held)
     # one row per query, read twice by BLEU (matches and lengths): materialize it once
     hyp = pred.select(F.col("query").alias(key), tokenizer("caption").alias("tokens")).checkpoint(eager=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tessera.operators import bleu as BL
 from tessera.operators import nextword as NW
 from tessera.operators import similarity as SIM
 from tessera.operators import vocab as V
-from tessera.plans.evaluate import caption_side, held_out, neighbours_for_validation
+from tessera.plans.evaluate import caption_side, held_out, learned_tokenizer, neighbours_for_validation
 from tessera.session import ensure_checkpoint_dir
 
 
@@ -93,10 +95,11 @@ def generate_captions(captions: DataFrame, features: DataFrame, k: int = 5, num_
 
 
 def evaluate_generated(captions: DataFrame, features: DataFrame, k: int = 5, key: str = "key",
-                       test: float = 0.2, seed: int = 42, tokenizer=T.eval_tokenize, weights: dict | None = None,
+                       test: float = 0.2, seed: int = 42, tokenizer: Callable | None = None, weights: dict | None = None,
                        exact: bool = False, num_words: int = 10000, max_tokens: int = 30) -> DataFrame:
     """(metric, score): corpus BLEU of generated captions against held-out keys' captions."""
     held = held_out(captions, key, test, seed, exact)
+    tokenizer = tokenizer or learned_tokenizer(caption_side(captions, "train", key, held=held))
     gen = generate_captions(captions, features, k, num_words, max_tokens, key, test, seed, held=held)
     hyp = gen.select(F.col("query").alias(key), tokenizer("text").alias("tokens"))
     refs = caption_side(captions, "val", key, test, seed, held).select(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as T
 from tessera.operators import batches as B
 from tessera.operators import bleu as BL
+from tessera.operators import sentences as SENT
 from tessera.operators import split as S
 from tessera.operators import vocab as V
 from tessera.plans import evaluate as EV
@@ -233,10 +234,16 @@ def flagship(spark, sf):
 
 def q_eval_word_counts(spark, sf):
     c = _captions(spark, sf)
-    return c.select(F.explode(T.eval_tokenize("caption")).alias("word")).groupBy("word").agg(
+    return c.select(F.explode(EV.learned_tokenizer(c)("caption")).alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("n"))
 
 
+def q_abbreviations(spark, sf):
+    """Abbreviations that the documents use, with the counts behind them."""
+    found = SENT.abbreviations(tables.documents(spark, sf))
+    return found.select("type", "n", "n_period", F.round("score", 6).alias("score"))
+
+
 def _train_encoded(spark, sf):
     tr = _train(spark, sf)
     return V.encode(tr, _vocab(spark, sf))
@@ -352,6 +359,7 @@ QUERIES = {
     "closest_reference_length": q_closest_reference_length,
     "clipped_matches": q_clipped_matches,
     "eval_word_counts": q_eval_word_counts,
+    "abbreviations": q_abbreviations,
     "knn": q_knn,
     "knn_cells": q_knn_cells,
     "retrieve_caption": q_retrieve_caption,
@@ -482,9 +490,10 @@ ORACLE.update({
     "knn_cells": f"{_KNN_SQL} SELECT query, neighbour, sim, rank FROM knn",
     "retrieve_caption": f"{_RETRIEVE_SQL} SELECT query, key, caption_no, round(score, 6) AS score FROM best",
     "evaluate_captions": f"""{_RETRIEVE_SQL},
-hyp0 AS (SELECT query AS key, {Q.eval_tok('caption')} AS t FROM best),
-refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption')} AS t
-         FROM captions c JOIN split s USING (key) WHERE s.split = 'val'),
+{Q.abbreviation_cte('train')},
+hyp0 AS (SELECT query AS key, {Q.eval_tok('caption', 'known')} AS t FROM best, abbr),
+refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption', 'known')} AS t
+         FROM abbr, captions c JOIN split s USING (key) WHERE s.split = 'val'),
 {Q.bleu_ctes()}
 {Q.bleu_scores_select('stats')}""",
 })
@@ -496,14 +505,17 @@ _EXACT_SPLIT = f"""split AS (
 ORACLE["evaluate_captions_exact"] = f"""WITH {Q.captions_cte()}, {_EXACT_SPLIT}, {Q.train_cte()},
 {Q.knn_ctes(K)},
 {Q.retrieve_ctes()},
-hyp0 AS (SELECT query AS key, {Q.eval_tok('caption')} AS t FROM best),
-refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption')} AS t
-         FROM captions c JOIN split s USING (key) WHERE s.split = 'val'),
+{Q.abbreviation_cte('train')},
+hyp0 AS (SELECT query AS key, {Q.eval_tok('caption', 'known')} AS t FROM best, abbr),
+refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption', 'known')} AS t
+         FROM abbr, captions c JOIN split s USING (key) WHERE s.split = 'val'),
 {Q.bleu_ctes()}
 {Q.bleu_scores_select('stats')}"""
 
-ORACLE["eval_word_counts"] = f"""
-SELECT word, count(*) AS n FROM (SELECT unnest({Q.eval_tok('text')}) AS word FROM conversations) GROUP BY word"""
+ORACLE["eval_word_counts"] = f"""WITH {Q.abbreviation_cte('conversations', 'text')}
+SELECT word, count(*) AS n FROM (SELECT unnest({Q.eval_tok('text', 'known')}) AS word FROM conversations, abbr) GROUP BY word"""
+ORACLE["abbreviations"] = f"""WITH {Q.abbreviation_cte('documents', 'text')}
+SELECT type, n, n_period, round(score, 6) AS score FROM abbr_all WHERE score >= {SENT.THRESHOLD}"""
 
 _MODEL_SQL = f"""{_WITH},
 {Q.vocab_cte('train', NUM_WORDS)},
@@ -546,9 +558,10 @@ SELECT count(*) AS pairs, round(avg(-ln(num / den)), 6) AS cross_entropy,
     "corpus_greedy_decode": f"{_GREEDY_SQL} {Q.decoded_select()}",
     "generate_captions": f"{_GEN_SQL} {Q.decoded_select()}",
     "evaluate_generated": f"""{_GEN_SQL},
-hyp0 AS (SELECT query AS key, {Q.eval_tok('text')} AS t FROM decoded),
-refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption')} AS t
-         FROM captions c JOIN split s USING (key) WHERE s.split = 'val'),
+{Q.abbreviation_cte('train')},
+hyp0 AS (SELECT query AS key, {Q.eval_tok('text', 'known')} AS t FROM decoded, abbr),
+refs AS (SELECT c.key, c.caption_no AS ref_no, {Q.eval_tok('c.caption', 'known')} AS t
+         FROM abbr, captions c JOIN split s USING (key) WHERE s.split = 'val'),
 {Q.bleu_ctes()}
 {Q.bleu_scores_select('stats')}""",
 })

@@ -3,7 +3,9 @@ Spark column functions so both sides tokenize and hash identically."""
 
 from __future__ import annotations
 
-from tessera.functions.text import EVAL_PATTERN, EVAL_RULES, FILTER_PATTERN, MARK_END, MARK_START
+from tessera.functions.text import (BLANKS, EVAL_PATTERN, EVAL_RULES_AFTER, EVAL_RULES_BEFORE, FILTER_PATTERN, INITIAL_OR_ORDINAL,
+                                    MARK_END, MARK_START, OPENING, PERIOD_WORD, TRAILING)
+from tessera.operators.sentences import NEARLY_ALWAYS, THRESHOLD
 from tessera.operators.split import held_out_below
 
 
@@ -13,14 +15,44 @@ def tok(expr: str) -> str:
             f"lambda x: x <> '')")
 
 
-def eval_tok(expr: str) -> str:
-    """Evaluation tokenizer in DuckDB: the same replacements."""
-    text = f"(' ' || lower({expr}) || ' ')"
-    for pattern, replacement in EVAL_RULES:
-        text = f"regexp_replace({text}, {_quoted(pattern)}, {_quoted(replacement)}, 'g')"
+def eval_tok(expr: str, known: str = "[]") -> str:
+    """Evaluation tokenizer in DuckDB: the same replacements; ``known`` is a list of abbreviations."""
+    def replaced(text, rules):
+        for pattern, replacement in rules:
+            text = f"regexp_replace({text}, {_quoted(pattern)}, {_quoted(replacement)}, 'g')"
+        return text
+
+    text = replaced(f"(' ' || lower({expr}) || ' ')", EVAL_RULES_BEFORE)
+    words = f"regexp_split_to_array(regexp_replace({text}, '{BLANKS}$', ''), '{BLANKS}')"
+    inner = f"regexp_extract(x, {_quoted(PERIOD_WORD)}, 1)"
+    words = (f"list_transform({words}, lambda x, i: CASE WHEN i < len({words}) AND contains(x, '.') AND "
+             f"(regexp_matches({inner}, '{INITIAL_OR_ORDINAL}') OR coalesce(list_contains({known}, {inner}), false)) "
+             f"THEN regexp_replace(x, {_quoted(MARKED[0])}, {_quoted(MARKED[1])}) ELSE x END)")
+    text = replaced(f"(' ' || array_to_string({words}, ' ') || ' ')", EVAL_RULES_AFTER)
     return f"list_filter(regexp_split_to_array({text}, '\\s+'), lambda x: x <> '')"
 
 
+#: The final period of a word, and its mark.
+MARKED = (r"\.([\])}>']*)$", "\u0001\\1")
+
+
+def abbreviation_cte(src: str, text: str = "caption") -> str:
+    """CTE ``abbr(known)``: one row with the list of abbreviations learned from the texts of ``src``."""
+    return rf"""
+abbr_words AS (SELECT regexp_replace(regexp_replace(w, {_quoted('^' + OPENING + '+')}, ''), {_quoted(TRAILING + '+$')}, '') AS w
+               FROM (SELECT unnest(regexp_split_to_array(lower({text}), '{BLANKS}')) AS w FROM {src})),
+abbr_types AS (SELECT CASE WHEN regexp_matches(w, '[^.]\.$') THEN w[1:len(w) - 1] ELSE w END AS type, regexp_matches(w, '[^.]\.$') AS dot
+               FROM abbr_words WHERE w <> ''),
+abbr_total AS (SELECT count(*) AS n, count(*) FILTER (WHERE dot) AS d FROM abbr_types),
+abbr_counts AS (SELECT type, count(*) AS n, count(*) FILTER (WHERE dot) AS n_period, len(replace(type, '.', '')) AS letters FROM abbr_types GROUP BY type),
+abbr_all AS (SELECT type, c.n, n_period,
+                    2 * (n_period * ln({NEARLY_ALWAYS}) + (c.n - n_period) * ln({1 - NEARLY_ALWAYS})
+                         - n_period * ln(d / t.n) - (c.n - n_period) * ln(1 - d / t.n))
+                    * exp(-letters) * (len(type) - letters + 1) * pow(letters, -(c.n - n_period)) AS score
+             FROM abbr_counts c, abbr_total t WHERE n_period > 0 AND d < t.n AND regexp_matches(type, '\p{{L}}')),
+abbr AS (SELECT list(type) AS known FROM abbr_all WHERE score >= {THRESHOLD})"""
+
+
 def plain_tok(expr: str) -> str:
     return f"regexp_extract_all(lower({expr}), {_quoted(EVAL_PATTERN)})"
 

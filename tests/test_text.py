@@ -63,6 +63,8 @@ def test_evaluation_tokens(spark):
         'He said "hi there" (ok).': "he said `` hi there '' ( ok ) .",
         "dogs' toys, red-blue; $5 -- 10%!": "dogs ' toys , red-blue ; $ 5 -- 10 % !",
         "Dr. Smith left. He ran.": "dr. smith left . he ran .",
+        "J. R. Smith came 3. and Bob 12. or so.": "j. r. smith came 3. and bob 12. or so .",
+        "He saw Dr.": "he saw dr .", "(Dr.) No. etc. and so on": "( dr. ) no . etc . and so on",
         "cannot gonna 'tis": "can not gon na 't is",
         "what?! no; yes: a": "what ? ! no ; yes : a",
         "": "", "  ": "", "...": "...",
@@ -70,8 +72,29 @@ def test_evaluation_tokens(spark):
     import duckdb
 
     from tessera.plans import sqlparts as Q
+    known = ["dr", "u.s"]
     df = spark.createDataFrame([(t,) for t in golden], "t string")
-    got = {r["t"]: " ".join(r["w"]) for r in df.select("t", T.eval_tokenize("t").alias("w")).collect()}
+    got = {r["t"]: " ".join(r["w"]) for r in df.select("t", T.eval_tokenize("t", known).alias("w")).collect()}
     assert got == golden
     for text, words in golden.items():
-        assert " ".join(duckdb.execute(f"SELECT {Q.eval_tok('t')} FROM (SELECT ? AS t)", [text]).fetchone()[0]) == words
+        assert " ".join(duckdb.execute(f"SELECT {Q.eval_tok('t', "['dr', 'u.s']")} FROM (SELECT ? AS t)", [text]).fetchone()[0]) == words
+
+
+def test_abbreviations_are_learned_from_the_corpus(spark):
+    """Types of no list: a title, a unit and one with inner periods; words that end sentences are none."""
+    from tessera.operators import sentences as S
+    import numpy as np
+    rng = np.random.default_rng(3)
+    nouns = ["river", "house", "garden", "window", "teacher", "morning", "bottle", "engine"]
+    texts = []
+    for i in range(400):
+        a, b, c = rng.choice(nouns, 3)
+        texts.append([f"Grx. {a.title()} saw the {b} near the {c}.", f"The {a} holds 3 kvq. of {b}, said Grx. {c.title()}.",
+                      f"Some z.q.w. rules for the {a} and the {b}.", f"A {a} is not a {b} (or a {c})."][i % 4])
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,), ("",)], "caption string")
+    found = {r["type"]: r for r in S.abbreviations(df).collect()}
+    assert set(found) == {"grx", "kvq", "z.q.w"} and found["grx"]["n"] == found["grx"]["n_period"] == 200
+    known = S.abbreviation_list(df)
+    words = one(spark, T.eval_tokenize("s", known), "Grx. House has 2 kvq. of z.q.w. sand. The river ends here.")
+    assert words == "grx. house has 2 kvq. of z.q.w. sand . the river ends here .".split()
+    assert S.abbreviation_list(df.limit(0)) == [] and S.abbreviation_list(spark.createDataFrame([("a. b.",)], "caption string")) == []
