@@ -18,7 +18,7 @@ equal phrases together, and the size of an equal partition is the phrase's count
    decimals; phrases that a longer one covers are dropped, and the best of each language stay.
 
 Pairs and suffixes are summed in each task and shuffled as sorted, compressed blocks, a row per block
-and bucket; there are ``BUCKETS`` buckets for each shuffle partition of the session.
+and bucket; see ``blocks``.
 
 Words are bytes other than blanks and tabs, in A-Z lower-cased text; pieces end at ``.,;:!?`` and the
 characters 10 to 13. A null text counts as empty, a null language as ``und``. Rows that repeat each
@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.blocks import by_bucket, count_keys, dealt, grow, n_buckets, numbers_of, planes, shrink
 from tessera.llm.common import cut, slices
 from tessera.llm.members import holds, key_filter
 
@@ -53,8 +54,6 @@ KEEP = 1_000_000
 MANY_LANGS = 10_000
 #: Bits of a pair's key. Pairs that share a key only pass the filter together.
 PAIR_BITS = 48
-#: Buckets for each shuffle partition.
-BUCKETS = 4
 #: Distinct words of a task's dictionary; it is begun again beyond. Squared and multiplied by KEEP it fits 63 bits.
 KEEP_WORDS = 500_000
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -144,28 +143,6 @@ def _pairs(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(wanted[:-1] & wanted[1:], h, np.uint64(0))
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """64-bit numbers byte by byte of the same rank, so that the zeros lie together."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _numbers_of(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<u8").ravel()
-
-
-def _shrink(data: bytes) -> bytes:
-    return pa.compress(data, codec="zstd", asbytes=True)
-
-
-def _grow(data: bytes, size: int) -> bytes:
-    return pa.decompress(data, size, codec="zstd", asbytes=True)
-
-
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    return found, np.bincount(inverse, np.concatenate(counts), len(found)).astype(np.int64)
-
-
 def _scan(batches, bits: np.ndarray | None):
     """(lang, dictionary, numbers, pair keys) of a slice's texts of one language."""
     known: dict[str, _Words] = {}
@@ -180,70 +157,13 @@ def _scan(batches, bits: np.ndarray | None):
         yield lang, d, numbers, words, _pairs(keys[numbers], wanted[numbers])
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-    """The rows of each bucket; a partition is sorted by bucket."""
-    rows: list[dict] = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if rows and row["bucket"] != rows[0]["bucket"]:
-                yield rows
-                rows = []
-            rows.append(row)
-    if rows:
-        yield rows
-
-
-def _dealt(blocks: DataFrame) -> DataFrame:
-    return blocks.repartition("bucket").sortWithinPartitions("bucket")
-
-
-def _buckets(df: DataFrame) -> int:
-    return max(1, BUCKETS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def pair_counts(docs: DataFrame, word_bits: np.ndarray | None, least: int) -> DataFrame:
-    """(pair, n): keys of neighbouring words that both pass the filter and occur together ``least`` times or more.
-
-    A task hands its sums on as sorted keys with their differences, a block for each range of keys.
-    """
-    buckets = _buckets(docs)
-    width = -(-(1 << PAIR_BITS) // buckets)
-
-    def blocks(keys, counts):
-        border = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64) * np.uint64(width)).tolist()
-        rows = []
-        for k, (low, high) in enumerate(zip(border, border[1:])):
-            if low < high:
-                steps = np.diff(keys[low:high], prepend=np.uint64(0))
-                rows.append((k, high - low, _shrink(_planes(steps) + _planes(counts[low:high]))))
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
-                                           pa.array([r[2] for r in rows], pa.binary())], ["bucket", "size", "block"])
-
-    def run(batches):
-        keys, counts, size = [], [], 0
+    """(pair, n): keys of neighbouring words that both pass the filter and occur together ``least`` times or more."""
+    def keys(batches):
         for *_, pairs in _scan(batches, word_bits):
-            k, n = np.unique(pairs[pairs != 0], return_counts=True)
-            keys.append(k)
-            counts.append(n)
-            size += len(k)
-            if size > 3 * KEEP:
-                k, n = _summed(keys, counts)
-                keys, counts, size = [k], [n], len(k)
-                if size > 2 * KEEP:
-                    yield blocks(k, n)
-                    keys, counts, size = [], [], 0
-        if keys:
-            yield blocks(*_summed(keys, counts))
-
-    def add(batches):
-        for rows in _by_bucket(batches):
-            halves = [(_grow(r["block"], 16 * r["size"]), 8 * r["size"]) for r in rows]
-            k, n = _summed([np.cumsum(_numbers_of(x[:at]), dtype=np.uint64) for x, at in halves],
-                           [_numbers_of(x[at:]).astype(np.int64) for x, at in halves])
-            kept = n >= least
-            yield pa.RecordBatch.from_arrays([pa.array(k[kept].view(np.int64)), pa.array(n[kept])], ["pair", "n"])
-
-    return _dealt(docs.mapInArrow(run, "bucket int, size long, block binary")).mapInArrow(add, "pair long, n long")
+            yield pairs[pairs != 0]
+
+    return count_keys(docs, keys, least, PAIR_BITS, KEEP).withColumnRenamed("key", "pair")
 
 
 def _equal_rows(columns: np.ndarray, base: int) -> np.ndarray:
@@ -261,7 +181,7 @@ def suffixes(docs: DataFrame, word_bits: np.ndarray | None, pair_bits: np.ndarra
     Equal ones of a slice are summed. A block holds sorted phrases and their counts. ``whole`` blocks
     have prefixes under the most frequent pairs, which are phrases by themselves.
     """
-    buckets = _buckets(docs)
+    buckets = n_buckets(docs)
 
     def rows(lang, d, parts):
         numbers, pairs = np.concatenate([x[0] for x in parts], axis=1), np.concatenate([x[1] for x in parts])
@@ -283,8 +203,8 @@ def suffixes(docs: DataFrame, word_bits: np.ndarray | None, pair_bits: np.ndarra
         out = []
         for (to, whole), listed in found.items():
             listed.sort()
-            text, counted = b"\n".join([x[0] for x in listed]), _planes(np.array([x[1] for x in listed]))
-            out.append((to, lang, whole, len(listed), len(text) + len(counted), _shrink(counted + text)))
+            text, counted = b"\n".join([x[0] for x in listed]), planes(np.array([x[1] for x in listed]))
+            out.append((to, lang, whole, len(listed), len(text) + len(counted), shrink(counted + text)))
         types = [pa.int32(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)],
                                           ["bucket", "lang", "whole", "size", "bytes", "block"])
@@ -360,11 +280,11 @@ def _sorted_counts(langs: pa.Array, phrases: pa.Array, weights: np.ndarray, max_
 def sort_suffixes(blocks: DataFrame, max_words: int, least: int) -> DataFrame:
     """(lang, phrase, n): phrases of two words or more with at least ``least`` occurrences, bucket by bucket."""
     def run(batches):
-        for rows in _by_bucket(batches):
+        for rows in by_bucket(batches):
             sums, langs, phrases, weights = Counter(), [], [], []
             for r in rows:
-                data, n = _grow(r["block"], r["bytes"]), r["size"]
-                listed, counted = data[8 * n:].decode().split("\n"), _numbers_of(data[:8 * n]).astype(np.int64)
+                data, n = grow(r["block"], r["bytes"]), r["size"]
+                listed, counted = data[8 * n:].decode().split("\n"), numbers_of(data[:8 * n]).astype(np.int64)
                 if r["whole"]:
                     for phrase, k in zip(listed, counted.tolist()):
                         sums[r["lang"], phrase] += k
@@ -378,7 +298,7 @@ def sort_suffixes(blocks: DataFrame, max_words: int, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))],
                                              ["lang", "phrase", "n"])
 
-    return _dealt(blocks).mapInArrow(run, "lang string, phrase string, n long")
+    return dealt(blocks).mapInArrow(run, "lang string, phrase string, n long")
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, max_group: int = MAX_GROUP,
