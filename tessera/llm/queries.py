@@ -139,10 +139,7 @@ lw AS (SELECT doc_id, t, host, raw, trim(regexp_replace(lower(raw), '{_SPACE}',
               len(list_filter(regexp_split_to_array(raw, '{_SPACE}'), lambda x: x <> '')) AS nw
        FROM ln WHERE regexp_replace(raw, '{_SPACE}', '', 'g') <> ''),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM lw GROUP BY doc_id),
-hosts AS (SELECT host, count(DISTINCT t) AS n FROM d GROUP BY host),
-held AS (SELECT host, line, count(DISTINCT t) AS n_docs FROM lw GROUP BY host, line),
-bad AS (SELECT host, line FROM held JOIN hosts USING (host)
-        WHERE n_docs > greatest({float(quality.MAX_LINE_DOCS)}::DOUBLE, n * {quality.MAX_LINE_SHARE}::DOUBLE)),
+bad AS (SELECT host, line FROM lw GROUP BY host, line HAVING count(DISTINCT t) > {quality.MAX_LINE_DOCS}),
 lost AS (SELECT doc_id, sum(nw) AS lost_words, count(*) AS lost_lines FROM lw JOIN bad USING (host, line) GROUP BY doc_id),
 base AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
                 CAST(length(regexp_replace(t, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
