@@ -55,6 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared storage, with the file system that its path names."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def checkpoint_scope(spark: SparkSession) -> Iterator[str]:
     """Own the checkpoints made inside: they go to a folder that is removed at the end.
@@ -70,5 +77,4 @@ def checkpoint_scope(spark: SparkSession) -> Iterator[str]:
         yield inner
     finally:
         sc._jsc.sc().setCheckpointDir(outer.rsplit("/", 1)[0])  # Spark makes a folder of its own below
-        path = sc._jvm.org.apache.hadoop.fs.Path(inner.rsplit("/", 1)[0])
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(spark, inner.rsplit("/", 1)[0])
