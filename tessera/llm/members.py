@@ -44,8 +44,9 @@ def key_filter(keys: DataFrame, name: str, max_bits: int = MAX_BITS) -> np.ndarr
             yield pa.RecordBatch.from_arrays([pa.array(both.astype(np.int64) + 1)], ["at"])
 
     found = (keys.select(name).mapInArrow(places, "at long")
-             .select(F.bitmap_bucket_number("at").alias("bucket"), F.bitmap_bit_position("at").alias("at"))
-             .groupBy("bucket").agg(F.bitmap_construct_agg(F.col("at")).alias("bits")))
+             .select(F.bitmap_bucket_number("at").alias("bucket"), F.bitmap_bit_position("at").cast("int").alias("at"))
+             .repartition("bucket")  # a row per key is shuffled, not a bitmap per task
+             .groupBy("bucket").agg(F.bitmap_construct_agg(F.col("at").cast("long")).alias("bits")))
     out = np.zeros((1 << bits) // 8, np.uint8)
     for r in found.collect():
         at = (r["bucket"] - 1) * (_ROW // 8)
