@@ -10,6 +10,11 @@
 - ``sp_dropout``   seeded merge-dropout encoding and lossless decoding
 - ``simhash``      SimHash near duplicates through a Gray-order hierarchical index
 - ``substring``    repeated passages by collinear chaining
+- ``runs``         maximal repetitions of words by a Re-Pair grammar
+- ``collocations`` phrases by multikey quicksort of suffix pointers
+- ``decontaminate`` benchmark windows in documents by a prefix-filtered set join
+
+``blocks`` and ``members`` shuffle keys compactly and filter them.
 
 ``queries`` registers one query per operator. Nothing else in the library imports this package.
 """

@@ -30,6 +30,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): each node of ``edges`` (a, b: long) with the smallest node it reaches.
 
+    Edges with a null end and loops are left out, so a node with no other edge has no row; repeated
+    edges count once; no edges give an empty result.
+
     Alternates large-star and small-star steps until the edges are stars, which takes a number
     of rounds that grows with the logarithm of the nodes. Minima are summed in each task before
     the shuffle; minima are written to the shared folder before they are joined back, so that a

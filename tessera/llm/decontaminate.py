@@ -28,7 +28,6 @@ table of documents gives an empty result, an empty benchmark finds nothing.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
