@@ -16,7 +16,8 @@ FAST = ["word_counts", "split_keys", "split_sizes", "vocabulary", "encode", "dec
         "bleu_statistics", "corpus_bleu", "knn", "retrieve_caption", "evaluate_captions",
         "next_token_counts", "cross_entropy", "read_captions", "extract_features", "encode_stream",
         "evaluate_captions_exact", "dense_index", "split_exact", "token_words", "ngram_counts",
-        "normalize_images"]
+        "normalize_images", "knn_cells", "abbreviations", "score_vectors", "resize_images", "random_caption", "group_captions",
+        "generate_captions", "evaluate_generated"]
 
 
 def norm(v):

@@ -1,6 +1,5 @@
 """Scale guards on physical plans: no cartesian products, no broadcast of unbounded sides."""
 
-from tessera.operators import bleu as BL
 from tessera.operators import vocab as V
 from tessera.plans import registry as REG
 from tessera.sources import tables
