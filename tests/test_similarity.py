@@ -1,4 +1,8 @@
+import tracemalloc
+
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from tessera.operators import similarity as SIM
@@ -115,3 +119,35 @@ def test_retrieve_picks_consensus(spark):
         "key bigint, caption_no bigint, caption string")
     r = SIM.retrieve_caption(nb, caps).first()
     assert (r["key"], r["caption_no"]) == (1, 0)
+
+
+def _peak_mb(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_pair_of_blocks_is_scored_in_bounded_memory():
+    """All similarities of the two blocks would take 200 MB, and as much again for each step on them."""
+    v = np.random.default_rng(0).normal(size=(5000, 8)).astype(np.float32)
+    q, b = pd.DataFrame({"q": range(5000), "v": list(v)}), pd.DataFrame({"b": range(5000), "v": list(v)})
+    out = []
+    assert _peak_mb(lambda: out.append(SIM._block_topk(3, 6)(q, b))) < 100
+    best = out[0].sort_values(["sim", "neighbour"], ascending=[False, True]).groupby("query").first()
+    sims = np.round(v.astype(np.float64) @ v.astype(np.float64).T, 6)
+    assert np.array_equal(best["neighbour"].to_numpy(), sims.argmax(1)) and len(out[0]) == 15000
+
+
+def test_visits_leave_the_task_in_bounded_batches():
+    """A query without near cells visits all of them; its vector goes along to each."""
+    dim, cells, n = 64, 4000, 300
+    v = pa.array(np.random.default_rng(0).normal(size=(n, dim)).astype(np.float32).tolist(), pa.list_(pa.float32()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), v, pa.array([None] * n, pa.float64())], ["q", "v", "least"])
+    sizes, seen = [], 0
+    for out in SIM._visited(iter([batch]), lambda x, least: np.ones((len(x), cells), bool), dim, cells):
+        sizes.append(out.column("v").nbytes)
+        seen += int(out.column("q").to_numpy().sum()) + out.num_rows
+    assert max(sizes) <= SIM.VISIT_BYTES and seen == cells * sum(range(n)) + cells * n
