@@ -1,12 +1,14 @@
 import os
 import struct
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import vocab as V
+from tessera.plans import io_queries
 from tessera.sources import cache as C
 from tessera.sources import captions as CAP
 from tessera.sources import images as IMG
@@ -200,3 +202,30 @@ def test_the_check_for_quoted_newlines_chooses_the_reader(spark, tmp):
     for path, want in ((plain, ['say "hi"', "two"]), (broken, ["two\nlines"])):
         rows = CAP.read_captions(spark, path, multi_line=None).orderBy("caption_no").collect()
         assert [r["caption"] for r in rows] == want
+
+
+def test_image_files_are_those_of_sparks_text_writer(spark, tmp_path, monkeypatch):
+    """Repeated and null ids, a null vector: same folders and bytes; and the files are dealt to several tasks."""
+    rows = [(i, [float((i * j) % 7 - 3) for j in range(64)]) for i in range(250)] + [(3, [1.0] * 64), (None, [-1.0] * 64), (900, None)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+
+    def written():
+        folder = io_queries._bitmap_files(spark, str(tmp_path)).removeprefix("file:")
+        found = sorted(p for p in Path(folder).glob("key=*/[!._]*"))
+        return {p.parent.name: sorted(p.read_bytes().split(b"\n")) for p in found}, len(found)
+
+    tasks, run = spark.sparkContext.accumulator(0), io_queries._folder_writer
+
+    def counted(out):
+        write = run(out)
+
+        def each(batches):
+            tasks.add(1)
+            return write(batches)
+        return each
+
+    monkeypatch.setattr(io_queries, "_folder_writer", counted)
+    by_arrow = written()
+    assert tasks.value > 1 and by_arrow[1] == 252
+    monkeypatch.setattr(io_queries, "_known_to_arrow", lambda path: False)
+    assert written() == by_arrow
