@@ -95,3 +95,27 @@ def test_long_chunks_skip_as_short_ones_do():
     first = [next(skips) for _ in range(50)]
     assert first[0] == 3 and first == sorted(set(first))
     assert coder.decode(coder.encode(text, 3)) == text and len({coder.encode(text, k) for k in range(20)}) > 10
+
+
+def test_a_batch_gives_what_agendas_one_by_one_give(monkeypatch):
+    """Tables of agendas against ``segment`` with the draws of each occurrence; no short chunk is segmented by itself."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(rng.choice(list("abetheing\u2581\u4f60\x00\n\U0001f642"), rng.integers(0, 12))) for _ in range(rng.integers(0, 60))) for _ in range(150)]
+    texts += ["", " ", "  x  ", "x" * 47, "a\x00", prose(300, 2)]
+    keys = [int(k) for k in rng.integers(-2 ** 63, 2 ** 63 - 1, len(texts))]
+    for dropout in (0.005, 0.1, 0.6, 1.0):
+        coder, want = sp_dropout.MergeDropout(dropout=dropout, seed=4), []
+        for text, key in zip(texts, keys, strict=True):
+            mixed = sp_dropout.xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 4)
+            chunks = sp_dropout._chunks(text)
+            first = coder._passed(sp_dropout._first_draws(np.full(len(chunks), mixed, np.uint64), np.arange(len(chunks)))).tolist()
+            want.append(b"".join(sp_dropout.pack(sp_dropout.segment(c, coder.vocab, coder._skips(mixed, i, first[i]))[0]) for i, c in enumerate(chunks)))
+        with monkeypatch.context() as m:
+            m.setattr(sp_dropout, "segment", None)
+            assert coder.encode_all(texts, keys) == want
+            assert [coder.encode(t, k) for t, k in zip(texts, keys, strict=True)] == want
+
+
+def test_draws_of_arrays_are_the_draws_one_by_one():
+    key, place, nth = np.array([0, 5, 2 ** 64 - 1], np.uint64), np.array([0, 3, 2 ** 32 - 1]), np.array([1, 1, 7])
+    assert sp_dropout._draws(key, place, nth).tolist() == [sp_dropout._draw(*x) for x in zip(key.tolist(), place.tolist(), nth.tolist())]
