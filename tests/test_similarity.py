@@ -151,3 +151,24 @@ def test_visits_leave_the_task_in_bounded_batches():
         sizes.append(out.column("v").nbytes)
         seen += int(out.column("q").to_numpy().sum()) + out.num_rows
     assert max(sizes) <= SIM.VISIT_BYTES and seen == cells * sum(range(n)) + cells * n
+
+
+def test_equal_vectors_are_one_centre(spark):
+    """A base of few vectors that come often has as many cells as one without copies."""
+    v = np.random.default_rng(8).normal(size=(40, 4))
+    rows, cells = SIM.cell_index(_vectors(spark, np.repeat(v, 25, axis=0)), 1000, 4, cell_rows=25)
+    assert len(cells.size) == 40 and set(cells.size.tolist()) == {25} and rows.count() == 1000
+
+
+def test_small_blocks_do_not_make_a_group_for_each_cell(spark, monkeypatch):
+    """Cells are scored a chunk at a time, also where chunks and queries are split into parts."""
+    q, b = _shapes()["clustered"]
+    report = {}
+    got = SIM.nearest(_vectors(spark, q), _vectors(spark, b), k=4, block_rows=8, cell_rows=4, report=report)
+    assert _found(got) == _brute(q, b, 4) and report["block_pairs_scored"] == 2  # a group in each round
+    monkeypatch.setattr(SIM, "BLOCK_BYTES", 20 * 8 * b.shape[1])
+    for shape in ("clustered", "random", "repeated"):
+        q, b = _shapes()[shape]
+        report = {}
+        got = SIM.nearest(_vectors(spark, q), _vectors(spark, b), k=4, block_rows=8, cell_rows=4, report=report)
+        assert _found(got) == _brute(q, b, 4) and report["block_pairs_scored"] > 2
